@@ -1,0 +1,18 @@
+"""Giving a small number of large input splits to the whole cluster."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """Repartition by key if the input has fewer splits than there are cores.
+
+    A file that is one row group, or one JSON array, is a single split, and
+    everything up to the first shuffle would run on one core.  An input with
+    enough splits, which any large table has, is returned as it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(cores, key)
