@@ -20,7 +20,6 @@ from forumgauge.plans import pipeline
 from forumgauge.sources import marts as mart_files
 from forumgauge.sources import raw, tables
 from forumgauge.sources.paths import work_folder
-from forumgauge.sources.spread import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,10 +49,6 @@ MART_KINDS = {
 
 # --- Inputs ---------------------------------------------------------------------
 
-def _texts(s: SparkSession, d: str) -> DataFrame:
-    return spread(tables.post_texts(s, d), "doc_id")
-
-
 def _cleaned(s: SparkSession, d: str) -> DataFrame:
     """All cleaned posts with measures and time keys, without text."""
     return enrich.add_measures_time(tables.add_measures(tables.post_ids(s, d), d))
@@ -61,7 +56,7 @@ def _cleaned(s: SparkSession, d: str) -> DataFrame:
 
 def _labelled(s: SparkSession, d: str, kinds: Iterable[str] = (), salaries: bool = False) -> DataFrame:
     """Text posts with labels; the text is gone before measures are joined."""
-    return pipeline.text_labels(_texts(s, d), kinds, salaries)
+    return pipeline.text_labels(tables.post_texts(s, d), kinds, salaries)
 
 
 def _tagged(s: SparkSession, d: str, kinds: Iterable[str] = (), salaries: bool = False) -> DataFrame:
@@ -85,12 +80,12 @@ def _rolled(s: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _dated_raw(s: SparkSession, d: str) -> DataFrame:
-    posts = spread(tables.posts(s, d), "id")
+    posts = tables.posts(s, d)
     return posts.withColumn("date", F.date_format(F.timestamp_seconds("created_utc"), "yyyy-MM-dd"))
 
 
 def _words(s: SparkSession, d: str) -> DataFrame:
-    posts = enrich.prepare_words(enrich.add_full_text(_texts(s, d)))
+    posts = enrich.prepare_words(tables.post_texts(s, d))
     return posts.select("doc_id", "id", "title", "filtered_words")
 
 
@@ -208,7 +203,7 @@ def skills_default(s, d):
 # --- Projections and filters ---------------------------------------------------------
 
 def _full(s, d):
-    return enrich.add_full_text(_texts(s, d))
+    return enrich.add_full_text(tables.post_texts(s, d))
 
 
 def created_datetime(s, d):
@@ -250,7 +245,7 @@ def remove_stopwords(s, d):
 
 
 def short_post_filter(s, d):
-    return enrich.keep_text_posts(_texts(s, d)).select("id", "title")
+    return enrich.keep_text_posts(tables.post_texts(s, d)).select("id", "title")
 
 
 def year_month(s, d):
@@ -307,7 +302,7 @@ def _whole(function) -> Query:
 
 
 def word_freq(s, d):
-    return marts.word_freq(_words(s, d).select(F.explode("filtered_words").alias("word")))
+    return marts.word_freq(_words(s, d))
 
 
 # --- Features -------------------------------------------------------------------------

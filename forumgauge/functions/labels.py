@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from math import ceil, sqrt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,16 +33,32 @@ LABEL_COLUMNS = {
 # A pattern holds this many keywords; a larger lexicon takes several patterns.
 KEYWORDS_PER_PATTERN = 2000
 
+# Up to this many branches are simply tried one after the other.
+LINEAR_BRANCHES = 8
+
+MATCH_MODES = ("substring", "word")
+
 _WORD_CHAR = r"[\p{L}\p{N}_]"
 _NO_STRINGS = "array<string>"
+_SEPARATOR = "\x1f"
 
 
 def _quote(char: str) -> str:
     return char if char.isalnum() or char in " _" else "\\" + char
 
 
+def _one_of(chars: Iterable[str]) -> str:
+    """A test that the next character is one of these, taking nothing."""
+    return f"(?=[{''.join(map(_quote, chars))}])"
+
+
 def _tree_pattern(words: Iterable[str]) -> str:
-    """A pattern matching the longest of the words that starts at a position."""
+    """A pattern matching the longest of the words that starts at a position.
+
+    Most positions match nothing, so what counts is how few tests it takes to
+    find that out.  Where many branches meet they are tested in groups by first
+    character, and a branch is entered only if its second character can follow.
+    """
     by_first: dict[str, list[str]] = {}
     ends_here = False
     for word in words:
@@ -49,15 +66,26 @@ def _tree_pattern(words: Iterable[str]) -> str:
             by_first.setdefault(word[0], []).append(word[1:])
         else:
             ends_here = True
+    firsts = sorted(by_first)
     branches = []
-    for char, rest in by_first.items():
-        seconds = sorted({r[:1] for r in rest})
-        # Looking at the next character first skips a whole branch in one test.
-        peek = f"(?=[{''.join(map(_quote, seconds))}])" if len(seconds) > 2 and "" not in seconds else ""
-        branches.append(_quote(char) + peek + _tree_pattern(rest))
+    for char in firsts:
+        seconds = sorted({rest[:1] for rest in by_first[char]})
+        peek = _one_of(seconds) if len(seconds) > 2 and "" not in seconds else ""
+        branches.append(_quote(char) + peek + _tree_pattern(by_first[char]))
+    if not branches:
+        return ""
     if len(branches) == 1 and not ends_here:
         return branches[0]
-    return f"(?:{'|'.join(branches)})" + ("?" if ends_here else "") if branches else ""
+    if len(branches) > LINEAR_BRANCHES:
+        size = ceil(sqrt(len(branches)))
+        branches = [f"{_one_of(firsts[i:i + size])}(?:{'|'.join(branches[i:i + size])})"
+                    for i in range(0, len(branches), size)]
+    return f"(?:{'|'.join(branches)})" + ("?" if ends_here else "")
+
+
+def _strings(values: Iterable[str]) -> Column:
+    """A constant array, as one literal to split instead of one per value."""
+    return F.split(F.lit(_SEPARATOR.join(values)), _SEPARATOR)
 
 
 def _implied(keywords: list[str], match: str) -> dict[str, list[str]]:
@@ -77,17 +105,14 @@ def _implied(keywords: list[str], match: str) -> dict[str, list[str]]:
     return implied
 
 
-def _strings(values: Iterable[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
-def keyword_hits(text: Column, keywords: Iterable[str], match: str = "substring") -> Column:
-    """The distinct keywords present in a text, as ``array<string>``.
+def longest_keywords(text: Column, keywords: Iterable[str], match: str = "substring") -> Column:
+    """The distinct keywords in a text, the longest one at each position.
 
     ``match="substring"`` finds a keyword anywhere, also inside other words;
-    ``match="word"`` only where it is not part of a longer word.
+    ``match="word"`` only where it is not part of a longer word.  This is the
+    only step that reads the text; keep its result in a column of its own.
     """
-    if match not in ("substring", "word"):
+    if match not in MATCH_MODES:
         raise ValueError(f"unknown match mode {match!r}")
     ordered = sorted(set(keywords))
     lowered = F.lower(text)
@@ -100,17 +125,21 @@ def keyword_hits(text: Column, keywords: Iterable[str], match: str = "substring"
             pattern = f"(?=({tree}))"
         found.append(F.regexp_extract_all(lowered, F.lit(pattern), F.lit(1)))
     hits = F.array_distinct(found[0] if len(found) == 1 else F.concat(*found))
-
-    implied = _implied(ordered, match)
-    if implied:
-        shorter = F.create_map(*[part for kw, words in implied.items()
-                                 for part in (F.lit(kw), _strings(words))])
-        extra = F.flatten(F.transform(
-            hits, lambda h: F.coalesce(F.try_element_at(shorter, h), F.array().cast(_NO_STRINGS))))
-        hits = F.array_union(hits, extra)
     return F.coalesce(hits, F.array().cast(_NO_STRINGS))
 
 
+def with_implied(longest: Column, keywords: Iterable[str], match: str = "substring") -> Column:
+    """All keywords present, given the longest ones found at each position."""
+    implied = _implied(sorted(set(keywords)), match)
+    if not implied:
+        return longest
+    shorter = F.create_map(*[part for kw, words in implied.items()
+                             for part in (F.lit(kw), _strings(words))])
+    extra = F.flatten(F.transform(
+        longest, lambda kw: F.coalesce(F.try_element_at(shorter, kw), F.array().cast(_NO_STRINGS))))
+    return F.array_union(longest, extra)
+
+
 def _any_of(hits: Column, keywords: Iterable[str]) -> Column:
     return F.arrays_overlap(hits, _strings(keywords))
 

@@ -52,14 +52,13 @@ def is_long_enough(text: Column, min_length: int = MIN_CLEANED_LENGTH) -> Column
 
 
 def tokens(cleaned: Column) -> Column:
-    """Split on single whitespace; trailing empty tokens are dropped.
+    """The words of a cleaned text, which are separated by single spaces.
 
-    A leading space gives an empty first token.  Text made of whitespace only
-    has no tokens, the empty string has one empty token.
+    A leading space gives an empty first token, a trailing one gives nothing.
+    A text of one space has no tokens, the empty text has one empty token.
     """
-    words = F.split(F.regexp_replace(F.lower(cleaned), r"\s+$", ""), r"\s")
-    blank = (cleaned != "") & cleaned.rlike(r"^\s*$")
-    return F.when(blank, F.array().cast("array<string>")).otherwise(words)
+    words = F.split(F.rtrim(cleaned), " ")
+    return F.when(cleaned == " ", F.array().cast("array<string>")).otherwise(words)
 
 
 def without_stop_words(words: Column, stop_words: tuple[str, ...] = STOP_WORDS) -> Column:

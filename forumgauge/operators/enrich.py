@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forumgauge.functions import text as X
+from forumgauge.operators.once import compute_once
 
 
 def add_created_datetime(posts: DataFrame) -> DataFrame:
@@ -74,14 +75,15 @@ def keep_text_posts(posts: DataFrame) -> DataFrame:
 
 
 def prepare_words(posts: DataFrame) -> DataFrame:
-    """Cleaned text, tokens and stop-word-free tokens of the text posts."""
-    return add_filtered_words(add_words(add_cleaned_text(keep_text_posts(posts))))
+    """The text posts with their tokens, stop words dropped."""
+    cleaned = compute_once(keep_text_posts(posts), "cleaned_text", X.cleaned_text(X.joined_text()))
+    return add_filtered_words(add_words(cleaned))
 
 
 def explode_words(posts: DataFrame) -> DataFrame:
     """One row per word, with the fields of its post."""
     return posts.select("id", "title", "score", "num_comments", "created_datetime",
-                        F.explode("filtered_words").alias("word"))
+                        F.explode_outer("filtered_words").alias("word")).filter(F.col("word").isNotNull())
 
 
 def keep_labelled(posts: DataFrame, labels: str) -> DataFrame:

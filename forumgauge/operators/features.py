@@ -14,8 +14,8 @@ def vocabulary(posts: DataFrame, size: int = VOCABULARY_SIZE, words: str = "filt
 
     Columns ``index`` (0 is the most frequent), ``term``, ``frequency``.
     """
-    counts = posts.select(F.explode(words).alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("frequency"))
+    terms = posts.select(F.explode_outer(words).alias("term")).filter(F.col("term").isNotNull())
+    counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("frequency"))
     largest = counts.orderBy(F.desc("frequency"), "term").limit(size)
     # Only `size` rows reach the ranking.
     ranked = Window.partitionBy(F.lit(0)).orderBy(F.desc("frequency"), "term")

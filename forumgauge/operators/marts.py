@@ -51,10 +51,10 @@ SKILL = ("mentioned_skills", "skill")
 
 # --- Words -------------------------------------------------------------------
 
-def word_freq(words: DataFrame, min_length: int = 3) -> DataFrame:
-    """word (longer than ``min_length``) -> frequency, from exploded words."""
-    return (words.filter(F.length("word") > min_length)
-            .groupBy("word").agg(_count("frequency")))
+def word_freq(posts: DataFrame, min_length: int = 3) -> DataFrame:
+    """word (longer than ``min_length``) -> frequency, from tokenised posts."""
+    words = posts.select(F.explode_outer("filtered_words").alias("word"))
+    return words.filter(F.length("word") > min_length).groupBy("word").agg(_count("frequency"))
 
 
 # --- Topics and industries ----------------------------------------------------

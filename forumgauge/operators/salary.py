@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumgauge.functions.salary import HIGHEST, LOWEST, bounded_pay
+from forumgauge.sources.paths import stored
 
 BUCKETS = 1000
 
@@ -93,8 +94,12 @@ def salary_order_stats(posts: DataFrame, by: Sequence[str] = (), lowest: float =
 
 def salary_table(posts: DataFrame, by: Sequence[str] = (), lowest: float = LOWEST,
                  highest: float = HIGHEST) -> DataFrame:
-    """The published table: mention statistics and order statistics together."""
-    counts = pay_counts(posts, by, lowest, highest)
+    """The published table: mention statistics and order statistics together.
+
+    The counts are used three times.  They are few, so they are written once to
+    the shared folder rather than worked out from the posts three times.
+    """
+    counts = stored(pay_counts(posts, by, lowest, highest), "pay")
     keys = [*by, "industry"]
     joined = _mention_stats(counts, by).join(upper_median(counts, by, lowest, highest), keys, "left")
     return joined.select(

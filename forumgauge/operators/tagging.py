@@ -4,23 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forumgauge.functions.labels import LABEL_COLUMNS, keyword_hits, label_column
+from forumgauge.functions.labels import LABEL_COLUMNS, label_column, longest_keywords, with_implied
 from forumgauge.functions.lexicon import DEFAULT_LEXICON, KINDS, Lexicon
 from forumgauge.functions.salary import HOURS_PER_YEAR, annual_pays, salary_mentions
-
-
-def compute_once(table: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a costly column that is evaluated once per row.
-
-    A filter on a plain projected column moves below the projection and takes a
-    copy of the expression with it, one per use, so a filter on a label would
-    read the text again and again.  A filter on a generated column stays above
-    the generator, which here yields exactly one value per row.
-    """
-    return table.select("*", F.explode(F.array(value)).alias(name))
+from forumgauge.operators.once import compute_once
 
 
 def tag(posts: DataFrame, kinds: Iterable[str] = KINDS, text_col: str = "full_text",
@@ -28,10 +18,12 @@ def tag(posts: DataFrame, kinds: Iterable[str] = KINDS, text_col: str = "full_te
     """Add the label columns of the given kinds, reading each text once."""
     kinds = tuple(kinds)
     text, hits = F.col(text_col), F.col("_hits")
-    found = compute_once(posts, "_hits", keyword_hits(text, lexicon.keywords(*kinds), match))
+    keywords = lexicon.keywords(*kinds)
+    found = compute_once(posts, "_longest", longest_keywords(text, keywords, match))
+    found = compute_once(found, "_hits", with_implied(F.col("_longest"), keywords, match))
     return (found
             .withColumns({LABEL_COLUMNS[k]: label_column(k, hits, text, lexicon) for k in kinds})
-            .drop("_hits"))
+            .drop("_longest", "_hits"))
 
 
 def tag_industries(posts: DataFrame, **options) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from forumgauge.functions.salary import HOURS_PER_YEAR
 from forumgauge.functions.text import is_long_enough, joined_text
 from forumgauge.operators import enrich, marts, rollups, salary, tagging
 from forumgauge.sources import marts as mart_files
-from forumgauge.sources.paths import work_folder
+from forumgauge.sources.paths import stored
 
 # Published table -> how it is computed from the label table.
 TEXT_MARTS: dict[str, Callable[..., DataFrame]] = {
@@ -32,6 +33,8 @@ TEXT_MARTS: dict[str, Callable[..., DataFrame]] = {
 # These cover posts with short texts too.
 WHOLE_MARTS: dict[str, Callable[..., DataFrame]] = {"network_metrics": marts.network_metrics}
 
+PUBLISH_TOGETHER = 4
+
 LABEL_TABLE = ("id", "subreddit", "score", "num_comments", "created_datetime", "year", "month", "day",
                "hour", "year_month", *LABEL_COLUMNS.values(), "salary_mentions", "salaries", "is_text_post")
 
@@ -63,16 +66,6 @@ def label_posts(posts: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON, match: str
     return found.select(*LABEL_TABLE, *extra)
 
 
-def store_labels(labels: DataFrame, path: str) -> DataFrame:
-    """Write the label table by date and read it back.
-
-    The table survives the loss of executors, and each published table reads
-    only its own few columns of it.
-    """
-    labels.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
-    return labels.sparkSession.read.schema(labels.schema).parquet(path)
-
-
 def compute_mart(name: str, labels: DataFrame, by: Iterable[str] = ("date",)) -> DataFrame:
     """One published table from the label table."""
     by = tuple(by)
@@ -85,20 +78,27 @@ def publish_all(posts: DataFrame, path: str, date: str | None = None, fmt: str =
                 labels_path: str | None = None) -> dict[str, bool | Exception]:
     """Compute and write all published tables for the dates of ``posts``.
 
+    The label table is written once, to ``labels_path`` or the shared folder;
+    each published table then reads only its own few columns of it.
+
     Pass ``date`` for posts of a single run; otherwise ``posts`` must have a
     ``date`` column and every date is published by the same jobs.  A table that
     fails is reported in the result and does not stop the others.
     """
     if date is not None:
         posts = posts.withColumn("date", F.lit(date))
-    labels = store_labels(label_posts(posts), labels_path or work_folder(posts.sparkSession, "labels"))
-    done: dict[str, bool | Exception] = {}
-    for name in schemas.MARTS:
+    labels = stored(label_posts(posts), "labels", labels_path)
+
+    def publish(name: str) -> bool | Exception:
         try:
-            done[name] = mart_files.write_mart(compute_mart(name, labels), name, path, fmt=fmt)
+            return mart_files.write_mart(compute_mart(name, labels), name, path, fmt=fmt)
         except Exception as error:  # noqa: BLE001 - reported, the other tables go on
-            done[name] = error
-    return done
+            return error
+
+    # The tables are small jobs over the same input; run together they fill the
+    # cores that each of them leaves idle while it finishes.
+    with ThreadPoolExecutor(PUBLISH_TOGETHER) as pool:
+        return dict(zip(schemas.MARTS, pool.map(publish, schemas.MARTS)))
 
 
 def published_rows(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

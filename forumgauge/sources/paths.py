@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -30,3 +30,14 @@ def shared_folder(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for one job below the shared folder."""
     return f"{shared_folder(spark)}/forumgauge/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(table: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
+    """The table written as Parquet and read back.
+
+    Cuts the lineage with files every executor can read, so what was computed
+    survives the loss of any of them.
+    """
+    path = path or work_folder(table.sparkSession, purpose)
+    table.write.mode("overwrite").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)

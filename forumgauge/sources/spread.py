@@ -10,7 +10,8 @@ def spread(table: DataFrame, key: str) -> DataFrame:
 
     A file that is one row group, or one JSON array, is a single split, and
     everything up to the first shuffle would run on one core.  An input with
-    enough splits, which any large table has, is returned as it is.
+    enough splits, which any large table has, is returned as it is.  Meant for a
+    plain scan, whose splits are known without running anything.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
     if table.rdd.getNumPartitions() >= cores:

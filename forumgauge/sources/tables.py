@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumgauge.schemas import POST_COLUMNS
+from forumgauge.sources.spread import spread
 
 # --- Fixed values: titles by doc_id % 16 -----------------------------------------
 TITLES_TEXT = """
@@ -38,17 +39,27 @@ TITLES = tuple(TITLES_TEXT.strip().splitlines())
 MONTH_SECONDS = 2_592_000
 
 
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "pages": "page_id bigint, url string, html string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def post_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, id, title, selftext, subreddit: one row per document."""
+    documents = spread(_read(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
     doc = F.col("doc_id")
     titles = F.array(*map(F.lit, TITLES))
     body = (F.when(doc % 5 == 0, "").when(doc % 5 == 1, F.lit(None).cast("string"))
             .otherwise(F.col("text")))
-    return _read(spark, sf_dir, "documents").select(
+    return documents.select(
         "doc_id", doc.cast("string").alias("id"),
         F.element_at(titles, (doc % len(TITLES) + 1).cast("int")).alias("title"),
         body.alias("selftext"), F.col("source").alias("subreddit"))
