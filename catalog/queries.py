@@ -139,14 +139,15 @@ def registry_size(s, d):
 
 
 def collection_audit(s, d):
-    audit = ingest.collection_audit(tables.post_ids(s, d), DATE, SOURCES, LISTINGS, COLLECTED_AT)
+    posts = tables.post_ids(s, d).withColumn("date", F.lit(DATE))
+    audit = ingest.collection_audit(posts, SOURCES, LISTINGS, COLLECTED_AT)
     return _formatted(_joined(audit, "subreddits", "listings"), "collected_at_utc")
 
 
-def _written(s, d, name, fmt="csv", names=None):
+def _written(s, d, *names, fmt="csv"):
     path = work_folder(s, "marts")
-    for each in names or (name,):
-        mart_files.write_mart(_daily(s, d, each), each, path, fmt=fmt)
+    for name in names:
+        mart_files.write_mart(_daily(s, d, name), name, path, fmt=fmt)
     return path
 
 
@@ -176,8 +177,7 @@ def mart_health(s, d):
 
 
 def list_dates(s, d):
-    path = _written(s, d, None, names=("network_metrics", "experience_distribution"))
-    return mart_files.list_dates(s, path)
+    return mart_files.list_dates(s, _written(s, d, "network_metrics", "experience_distribution"))
 
 
 def load_mart(s, d):

@@ -31,8 +31,11 @@ def first_occurrence(rows: DataFrame, key: str, order: Sequence[str | Column]) -
     input partition before the shuffle, so a key with a third of all copies sends
     one row per partition.
     """
-    first = F.min_by(F.struct(*rows.columns), F.struct(*order))
-    return rows.groupBy(key).agg(first.alias("_first")).select("_first.*")
+    others = [c for c in rows.columns if c != key]
+    first = F.min_by(F.struct(*others), F.struct(*order))
+    # The key stays the grouping column itself, so a join on it needs no shuffle.
+    found = rows.groupBy(key).agg(first.alias("_first"))
+    return found.select(*[F.col(c) if c == key else F.col("_first")[c].alias(c) for c in rows.columns])
 
 
 def dedup_first_listing(posts: DataFrame, order: Sequence[str] = (
@@ -64,16 +67,28 @@ def update_registry(registry: DataFrame, posts: DataFrame) -> DataFrame:
     return registry.select("id").unionByName(new_ids(posts, registry))
 
 
+def rank_pages(pages: DataFrame, sources: Sequence[str], listings: Sequence[str]) -> DataFrame:
+    """Add the positions of a page's source and listing in the configured order."""
+    def rank(column: str, order: Sequence[str]) -> Column:
+        return F.array_position(F.array(*map(F.lit, order)), F.col(column))
+
+    return pages.withColumns({"source_rank": rank("subreddit", sources),
+                              "listing_rank": rank("listing", listings)})
+
+
 def registry_size(registry: DataFrame) -> DataFrame:
     return registry.agg(F.count(F.lit(1)).alias("tracked_ids"))
 
 
-def collection_audit(posts: DataFrame, date: str, sources: Sequence[str],
-                     listings: Sequence[str], collected_at: datetime) -> DataFrame:
-    """One row about a run: what was asked for, how many posts came, when."""
-    return posts.agg(F.count(F.lit(1)).alias("total_posts")).select(
-        F.lit(date).alias("collection_date"),
+def collection_audit(posts: DataFrame, sources: Sequence[str], listings: Sequence[str],
+                     collected_at: datetime | Column) -> DataFrame:
+    """One row per collection date: what was asked for, how many posts came, when.
+
+    Needs a ``date`` column.  A run without new posts leaves no row.
+    """
+    moment = collected_at if isinstance(collected_at, Column) else F.lit(collected_at)
+    return posts.groupBy(F.col("date").alias("collection_date")).agg(
         F.array(*map(F.lit, sources)).alias("subreddits"),
         F.array(*map(F.lit, listings)).alias("listings"),
-        "total_posts",
-        F.lit(collected_at).alias("collected_at_utc"))
+        F.count(F.lit(1)).alias("total_posts"),
+        F.max(moment).alias("collected_at_utc"))

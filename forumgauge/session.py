@@ -24,12 +24,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  memory: str = "8g", app: str = "forumgauge") -> SparkSession:
+                  memory: str = "8g", app: str = "forumgauge", **settings: str) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.driver.memory", memory)
                .config("spark.ui.enabled", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+    for key, value in settings.items():
+        builder = builder.config(key, value)
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +21,15 @@ def write_mart(table: DataFrame, name: str, path: str, date: str | None = None,
 
     Pass ``date`` for a single run, or a table that has a ``date`` column to
     write many dates at once.  Only the dates written are replaced.  The rows
-    are counted while they are written, not by a separate pass.
+    are counted while they are written, not by a separate pass.  A published
+    table is a small aggregate, whose few rows adaptive execution has already
+    gathered into as few tasks as they need.
     """
     _check(fmt)
     if date is not None:
         table = table.withColumn("date", F.lit(date))
     written = Observation()
-    counted = table.repartition("date").observe(written, F.count(F.lit(1)).alias("rows"))
+    counted = table.observe(written, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date")
     if fmt == "csv":
         writer = writer.option("header", True)
@@ -49,12 +49,12 @@ def _missing(error: AnalysisException) -> bool:
 def _headers(spark: SparkSession, folder: str, name: str) -> dict[str, list[str]]:
     """Distinct CSV header lines, each with the dates that use it.
 
-    Runs of different age may have written different columns.  A header starts
-    with the first column of the table, which no data row does.
+    Runs of different age may have written different columns.  A header is a
+    line with the name of the key column in it, which no data row has.
     """
     key = next(iter(schemas.fields(schemas.MARTS[name])))
     lines = spark.read.schema("value string, date string").text(folder)
-    found = (lines.filter(F.col("value").startswith(f"{key},")).select("value", "date").distinct()
+    found = (lines.filter(F.array_contains(F.split("value", ","), key)).select("value", "date").distinct()
              .groupBy("value").agg(F.sort_array(F.collect_list("date")).alias("dates")))
     return {row.value: row.dates for row in found.orderBy("value").collect()}
 
@@ -96,10 +96,17 @@ def load_mart(spark: SparkSession, name: str, date: str, path: str, fmt: str = "
     return load_mart_all_dates(spark, name, path, fmt).filter(F.col("date") == date)
 
 
-def list_dates(spark: SparkSession, path: str, names: Iterable[str] = tuple(schemas.MARTS),
-               fmt: str = "csv") -> DataFrame:
-    """Sorted dates for which anything was published; no rows if none."""
-    dates = spark.createDataFrame([], "date string")
-    for name in names:
-        dates = dates.unionByName(load_mart_all_dates(spark, name, path, fmt).select("date"))
-    return dates.distinct().orderBy("date")
+def list_dates(spark: SparkSession, path: str) -> DataFrame:
+    """Sorted dates for which anything was published; no rows if none.
+
+    Only the names of files are looked at, none is read.
+    """
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                 .option("pathGlobFilter", "part-*").load(path))
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        return spark.createDataFrame([], "date string")
+    date = F.regexp_extract("path", "/date=([^/]+)/", 1)
+    return files.select(date.alias("date")).filter("date <> ''").distinct().orderBy("date")

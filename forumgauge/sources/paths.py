@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,14 +18,17 @@ def shared_folder(spark: SparkSession) -> str:
     of its own; on a cluster the setting is required.
     """
     context = spark.sparkContext
-    named = spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(CHECKPOINT_SETTING)
+    named = spark.conf.get(CHECKPOINT_SETTING, None)
     if named:
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="forumgauge-")
-    spark.conf.set(CHECKPOINT_SETTING, own)
-    return own
+    return _own_folder(context.applicationId)
+
+
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"forumgauge-{application}-")
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +31,13 @@ def read_posts(spark: SparkSession, path: str, date: str | None = None, layout:
     return raw.filter(F.col("id").isNotNull()).select(*schemas.POST_COLUMNS, "date")
 
 
-def write_posts(posts: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_posts(posts: DataFrame, path: str, parts: Sequence[str] = ("date",)) -> None:
     """Write dated posts as JSON lines, one folder per date.
 
-    Overwriting replaces the dates that occur in ``posts`` and no others.
+    Replaces the folders that occur in ``posts`` and no others.
     """
-    (posts.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date").json(path))
+    (posts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).json(path))
 
 
 def parse_listings(pages: DataFrame, payload: str = "payload") -> DataFrame:
@@ -44,15 +46,24 @@ def parse_listings(pages: DataFrame, payload: str = "payload") -> DataFrame:
     return pages.withColumn("data", parsed["data"]).drop(payload)
 
 
+def read_run(spark: SparkSession, path: str, run: int) -> DataFrame:
+    """The posts one collection run has written, with their dates."""
+    posts = spark.read.schema(f"{schemas.POST}, fetched_at timestamp, date string, run bigint").json(path)
+    return posts.filter(F.col("run") == run)
+
+
+def write_run(table: DataFrame, path: str, run: int) -> None:
+    """Write what one run adds to a table, replacing an earlier attempt of it."""
+    (table.withColumn("run", F.lit(run)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path))
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """Ids collected by earlier runs; none if there was no earlier run."""
+    schema = f"{schemas.REGISTRY}, run bigint"
     try:
-        return spark.read.schema(schemas.REGISTRY).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schemas.REGISTRY)
-
-
-def append_registry(ids: DataFrame, path: str) -> None:
-    ids.write.mode("append").parquet(path)
+        return spark.createDataFrame([], schema)
