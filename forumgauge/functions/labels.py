@@ -30,6 +30,9 @@ LABEL_COLUMNS = {
     "experience": "experience_level",
 }
 
+# Label of a text in which no keyword of the kind was found.
+DEFAULTS = {"industry": DEFAULT_INDUSTRY, "topic": DEFAULT_TOPIC}
+
 # A pattern holds this many keywords; a larger lexicon takes several patterns.
 KEYWORDS_PER_PATTERN = 2000
 
@@ -140,40 +143,61 @@ def with_implied(longest: Column, keywords: Iterable[str], match: str = "substri
     return F.array_union(longest, extra)
 
 
-def _any_of(hits: Column, keywords: Iterable[str]) -> Column:
-    return F.arrays_overlap(hits, _strings(keywords))
+def _sql_strings(values: Iterable[str]) -> str:
+    quoted = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
+    return ", ".join(f"'{v}'" for v in quoted)
+
+
+def _any_of(hits: str, keywords: Iterable[str]) -> Column:
+    """Whether one of the keywords was found.
+
+    Goes over the few keywords found and looks each up in a prepared set, which
+    costs nothing for the many that were not found.
+    """
+    return F.expr(f"exists({hits}, k -> k IN ({_sql_strings(keywords)}))")
+
+
+def _number_of(hits: str, keywords: Iterable[str]) -> Column:
+    return F.expr(f"size(filter({hits}, k -> k IN ({_sql_strings(keywords)})))")
 
 
-def _matched_categories(hits: Column, categories: dict[str, tuple[str, ...]]) -> Column:
-    """Names of the categories with a keyword present, in lexicon order."""
-    return F.array_compact(F.array(*[
-        F.when(_any_of(hits, kws), F.lit(name)) for name, kws in categories.items()]))
+def _by_category(hits: str, categories: dict[str, tuple[str, ...]], default: str | None) -> Column:
+    """Names of the categories with a keyword present, else the default."""
+    names = [F.when(_any_of(hits, kws), F.lit(name)) for name, kws in categories.items()]
+    if default is not None:
+        every = [kw for kws in categories.values() for kw in kws]
+        names.append(F.when(~_any_of(hits, every), F.lit(default)))
+    return F.array_compact(F.array(*names))
 
 
-def _or_default(labels: Column, default: str) -> Column:
-    return F.when(F.size(labels) == 0, _strings([default])).otherwise(labels)
+def _by_keyword(hits: str, categories: dict[str, tuple[str, ...]]) -> Column:
+    """The same for categories of one keyword each, where one pass will do."""
+    keywords = [kws[0] for kws in categories.values()]
+    found = F.array_intersect(_strings(keywords), F.col(hits))
+    if keywords == list(categories):
+        return found
+    return F.transform(found, lambda kw: F.element_at(
+        _strings(categories), F.array_position(_strings(keywords), kw).cast("int")))
 
 
-def label_column(kind: str, hits: Column, text: Column,
-                 lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
-    """One kind of label from the keywords found in a text.
+def label_column(kind: str, hits: str, text: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
+    """One kind of label from the column of keywords found in a text.
 
     Multi-label kinds list their categories in lexicon order.
     """
     categories = lexicon.categories(kind)
     if kind == "sentiment":
-        positive, negative = (F.size(F.array_intersect(_strings(categories[p]), hits))
-                              for p in ("Positive", "Negative"))
+        positive, negative = (_number_of(hits, categories[p]) for p in ("Positive", "Negative"))
         return (F.when(positive > negative, "Positive")
                 .when(negative > positive, "Negative").otherwise(NEUTRAL))
     if kind == "experience":
-        first = F.coalesce(*[F.when(_any_of(hits, kws), F.lit(level))
-                             for level, kws in categories.items()], F.lit(DEFAULT_EXPERIENCE))
-        return first
-    labels = _matched_categories(hits, categories)
-    if kind == "topic":
-        return _or_default(labels, DEFAULT_TOPIC)
+        return F.coalesce(*[F.when(_any_of(hits, kws), F.lit(level))
+                            for level, kws in categories.items()], F.lit(DEFAULT_EXPERIENCE))
+    default = DEFAULTS.get(kind)
+    if default is None and all(len(kws) == 1 for kws in categories.values()):
+        return _by_keyword(hits, categories)
+    labels = _by_category(hits, categories, default)
     if kind == "industry":
         no_text = text.isNull() | (text == "")
-        return F.when(no_text, F.array().cast(_NO_STRINGS)).otherwise(_or_default(labels, DEFAULT_INDUSTRY))
+        return F.when(no_text, F.array().cast(_NO_STRINGS)).otherwise(labels)
     return labels

@@ -6,6 +6,8 @@ from pyspark.ml.feature import IDF, CountVectorizerModel, IDFModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from forumgauge.sources.paths import stored
+
 VOCABULARY_SIZE = 500
 
 
@@ -64,9 +66,14 @@ def term_counts(posts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
 
 
 def tfidf_weights(posts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
-    """id, index, term, weight for every vocabulary term of a post."""
+    """id, index, term, weight for every vocabulary term of a post.
+
+    Document frequencies need all counts before the first weight is known, so
+    the counts, at most ``size`` entries per post, are stored in between instead
+    of tokenising the texts again.
+    """
     counted, model = term_vectors(posts, size)
-    weighted, _ = tfidf_vectors(counted)
+    weighted, _ = tfidf_vectors(stored(counted.select("id", "raw_features"), "term-counts"))
     names = F.array(*map(F.lit, model.vocabulary))
     return entries(weighted, "features", "weight").select(
         "id", "index", F.element_at(names, F.col("index") + 1).alias("term"), "weight")

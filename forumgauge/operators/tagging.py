@@ -17,12 +17,12 @@ def tag(posts: DataFrame, kinds: Iterable[str] = KINDS, text_col: str = "full_te
         lexicon: Lexicon = DEFAULT_LEXICON, match: str = "substring") -> DataFrame:
     """Add the label columns of the given kinds, reading each text once."""
     kinds = tuple(kinds)
-    text, hits = F.col(text_col), F.col("_hits")
+    text = F.col(text_col)
     keywords = lexicon.keywords(*kinds)
     found = compute_once(posts, "_longest", longest_keywords(text, keywords, match))
     found = compute_once(found, "_hits", with_implied(F.col("_longest"), keywords, match))
     return (found
-            .withColumns({LABEL_COLUMNS[k]: label_column(k, hits, text, lexicon) for k in kinds})
+            .withColumns({LABEL_COLUMNS[k]: label_column(k, "_hits", text, lexicon) for k in kinds})
             .drop("_longest", "_hits"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ TEXT_MARTS: dict[str, Callable[..., DataFrame]] = {
 # These cover posts with short texts too.
 WHOLE_MARTS: dict[str, Callable[..., DataFrame]] = {"network_metrics": marts.network_metrics}
 
-PUBLISH_TOGETHER = 4
+RUN_TOGETHER = 4
 
 LABEL_TABLE = ("id", "subreddit", "score", "num_comments", "created_datetime", "year", "month", "day",
                "hour", "year_month", *LABEL_COLUMNS.values(), "salary_mentions", "salaries", "is_text_post")
@@ -97,19 +98,27 @@ def publish_all(posts: DataFrame, path: str, date: str | None = None, fmt: str =
 
     # The tables are small jobs over the same input; run together they fill the
     # cores that each of them leaves idle while it finishes.
-    with ThreadPoolExecutor(PUBLISH_TOGETHER) as pool:
+    with ThreadPoolExecutor(RUN_TOGETHER) as pool:
         return dict(zip(schemas.MARTS, pool.map(publish, schemas.MARTS)))
 
 
+def load_published(spark: SparkSession, path: str, fmt: str = "csv") -> dict[str, DataFrame]:
+    """Every published table over all dates, by name.
+
+    Finding out which columns each date has takes a small job per table; these
+    run together.
+    """
+    with ThreadPoolExecutor(RUN_TOGETHER) as pool:
+        tables = pool.map(lambda name: mart_files.load_mart_all_dates(spark, name, path, fmt), schemas.MARTS)
+        return dict(zip(schemas.MARTS, tables))
+
+
 def published_rows(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """dataset, date, row count of everything published."""
-    parts = [mart_files.load_mart_all_dates(spark, name, path, fmt)
-             .groupBy("date").agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(name).alias("dataset"), "date", "row_count") for name in schemas.MARTS]
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    return table
+    parts = [table.groupBy("date").agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(name).alias("dataset"), "date", "row_count")
+             for name, table in load_published(spark, path, fmt).items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def mart_health(tables: dict[str, DataFrame]) -> DataFrame:
@@ -119,9 +128,7 @@ def mart_health(tables: dict[str, DataFrame]) -> DataFrame:
     """
     parts = [table.limit(1).agg((F.count(F.lit(1)) > 0).alias("loaded"))
              .select(F.lit(name).alias("dataset"), "loaded") for name, table in tables.items()]
-    checks = parts[0]
-    for part in parts[1:]:
-        checks = checks.unionByName(part)
+    checks = reduce(DataFrame.unionByName, parts)
     # One row per table, so both lists are as long as the list of tables.
     loaded = F.col("datasets_loaded")
     return (checks.agg(F.collect_list(F.struct("dataset", "loaded")).alias("checks"),
@@ -134,7 +141,7 @@ def mart_health(tables: dict[str, DataFrame]) -> DataFrame:
 
 def dashboard_tables(spark: SparkSession, path: str, fmt: str = "csv") -> dict[str, DataFrame]:
     """Every published table rolled up over all dates, months made dense."""
-    tables = {name: rollup(mart_files.load_mart_all_dates(spark, name, path, fmt))
-              for name, rollup in rollups.ROLLUPS.items()}
+    tables = {name: rollups.ROLLUPS[name](table)
+              for name, table in load_published(spark, path, fmt).items()}
     tables["temporal_trends"] = rollups.densify_temporal(tables["temporal_trends"])
     return tables

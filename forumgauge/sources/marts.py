@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -54,9 +56,10 @@ def _headers(spark: SparkSession, folder: str, name: str) -> dict[str, list[str]
     """
     key = next(iter(schemas.fields(schemas.MARTS[name])))
     lines = spark.read.schema("value string, date string").text(folder)
-    found = (lines.filter(F.array_contains(F.split("value", ","), key)).select("value", "date").distinct()
-             .groupBy("value").agg(F.sort_array(F.collect_list("date")).alias("dates")))
-    return {row.value: row.dates for row in found.orderBy("value").collect()}
+    found = (lines.filter(F.array_contains(F.split("value", ","), key))
+             .groupBy("value").agg(F.collect_set("date").alias("dates")))
+    # One row per distinct header and one entry per date.
+    return {row.value: sorted(row.dates) for row in found.collect()}
 
 
 def _read_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -64,17 +67,14 @@ def _read_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
     folder = f"{path}/{name}"
     types = schemas.fields(schemas.MARTS[name])
     parts = []
-    for header, dates in _headers(spark, folder, name).items():
+    for header, dates in sorted(_headers(spark, folder, name).items()):
         columns = header.split(",")
         ddl = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in columns)
         part = spark.read.schema(f"{ddl}, date string").option("header", True).csv(folder)
         parts.append(part.filter(F.col("date").isin(dates)))
     if not parts:
         return empty_mart(spark, name)
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part, allowMissingColumns=True)
-    return table
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def load_mart_all_dates(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> DataFrame:

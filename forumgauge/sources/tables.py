@@ -56,7 +56,7 @@ def post_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, id, title, selftext, subreddit: one row per document."""
     documents = spread(_read(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
     doc = F.col("doc_id")
-    titles = F.array(*map(F.lit, TITLES))
+    titles = F.split(F.lit("\n".join(TITLES)), "\n")
     body = (F.when(doc % 5 == 0, "").when(doc % 5 == 1, F.lit(None).cast("string"))
             .otherwise(F.col("text")))
     return documents.select(
