@@ -472,13 +472,13 @@ SELECT industry, advice_category, post_count, avg_score FROM (
 SELECT word, count(*) AS frequency FROM words WHERE length(word) > 3 GROUP BY word
 ORDER BY frequency DESC, word LIMIT 20""", "words"),
     "recent_trends": summary("temporal_trends", "year_month DESC, post_count DESC, sentiment", 12),
-    "summary_topic_analysis": summary("topic_analysis", "post_count DESC, topic"),
-    "summary_sentiment_by_topic": summary("sentiment_by_topic", "topic, count DESC, sentiment"),
-    "summary_posts_by_industry": summary("posts_by_industry", "post_count DESC, industry"),
-    "summary_salary_stats": summary("salary_stats", "salary_mention_posts DESC, industry"),
-    "summary_experience_distribution": summary("experience_distribution", "post_count DESC, experience_level"),
-    "summary_skills_summary": summary("skills_summary", "skill_count DESC, skill", 20),
-    "summary_network_metrics": summary("network_metrics", "metric"),
+    "summary_top10_topic_analysis": summary("topic_analysis", "post_count DESC, topic"),
+    "summary_top10_sentiment_by_topic": summary("sentiment_by_topic", "topic, count DESC, sentiment"),
+    "summary_top10_posts_by_industry": summary("posts_by_industry", "post_count DESC, industry"),
+    "summary_top10_salary_stats": summary("salary_stats", "salary_mention_posts DESC, industry"),
+    "summary_top10_experience_distribution": summary("experience_distribution", "post_count DESC, experience_level"),
+    "summary_top10_skills_summary": summary("skills_summary", "skill_count DESC, skill", 20),
+    "summary_top10_network_metrics": summary("network_metrics", "metric"),
     "top_skills": chain(
         "SELECT * FROM rolled_skills_summary ORDER BY skill_count DESC, skill LIMIT 15", "rolled_skills_summary"),
     "top_skills_in_industry": chain(f"""

@@ -522,7 +522,7 @@ QUERIES: dict[str, Query] = {
     "top_advice_per_industry": top_advice_per_industry,
     "top_keywords": top_keywords,
     "recent_trends": recent_trends,
-    **{f"summary_{name}": _summary(name) for name in ranking.SUMMARY},
+    **{f"summary_top10_{name}": _summary(name) for name in ranking.SUMMARY},
     "top_skills": top_skills,
     "top_skills_in_industry": top_skills_in_industry,
     "top_skills_per_industry": top_skills_per_industry,

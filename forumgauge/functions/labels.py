@@ -1,10 +1,10 @@
 """Keyword labels as native column expressions.
 
 Testing every keyword with its own ``contains`` reads the text once per keyword,
-several hundred times for the default lexicon.  Here all keywords go into one
-prefix-tree pattern that is tried at each position, so the text is read once
-whatever the number of labels; the labels are then worked out on the short array
-of keywords found.
+several hundred times for the whole lexicon.  Above a measured number of keywords
+they go into one prefix-tree pattern instead, tried at each position, so that the
+text is read once whatever the number of labels.  The labels are then worked out
+on the short array of keywords found.
 """
 
 from __future__ import annotations
@@ -33,6 +33,9 @@ LABEL_COLUMNS = {
 # Label of a text in which no keyword of the kind was found.
 DEFAULTS = {"industry": DEFAULT_INDUSTRY, "topic": DEFAULT_TOPIC}
 
+# Up to this many keywords, one `contains` each is faster than a pattern.
+DIRECT_KEYWORDS = 100
+
 # A pattern holds this many keywords; a larger lexicon takes several patterns.
 KEYWORDS_PER_PATTERN = 2000
 
@@ -108,39 +111,44 @@ def _implied(keywords: list[str], match: str) -> dict[str, list[str]]:
     return implied
 
 
-def longest_keywords(text: Column, keywords: Iterable[str], match: str = "substring") -> Column:
-    """The distinct keywords in a text, the longest one at each position.
+def found_keywords(lowered: Column, keywords: Iterable[str], match: str = "substring") -> Column:
+    """Distinct keywords in a lower-cased text, at least the longest at each position.
 
     ``match="substring"`` finds a keyword anywhere, also inside other words;
     ``match="word"`` only where it is not part of a longer word.  This is the
-    only step that reads the text; keep its result in a column of its own.
+    only step that reads the text; keep its result in a column of its own and
+    complete it with :func:`with_implied`.
     """
     if match not in MATCH_MODES:
         raise ValueError(f"unknown match mode {match!r}")
     ordered = sorted(set(keywords))
-    lowered = F.lower(text)
-    found = []
-    for start in range(0, len(ordered), KEYWORDS_PER_PATTERN):
-        tree = _tree_pattern(ordered[start:start + KEYWORDS_PER_PATTERN])
-        if match == "word":
-            pattern = f"(?<!{_WORD_CHAR})(?=({tree})(?!{_WORD_CHAR}))"
-        else:
-            pattern = f"(?=({tree}))"
-        found.append(F.regexp_extract_all(lowered, F.lit(pattern), F.lit(1)))
-    hits = F.array_distinct(found[0] if len(found) == 1 else F.concat(*found))
+    if match == "substring" and len(ordered) <= DIRECT_KEYWORDS:
+        hits = F.array_compact(F.array(*[
+            F.when(lowered.contains(kw), F.lit(kw)) for kw in ordered]))
+    else:
+        hits = F.array_distinct(F.flatten(F.array(*[
+            F.regexp_extract_all(lowered, F.lit(_pattern(ordered[i:i + KEYWORDS_PER_PATTERN], match)), F.lit(1))
+            for i in range(0, len(ordered), KEYWORDS_PER_PATTERN)])))
     return F.coalesce(hits, F.array().cast(_NO_STRINGS))
 
 
-def with_implied(longest: Column, keywords: Iterable[str], match: str = "substring") -> Column:
-    """All keywords present, given the longest ones found at each position."""
+def _pattern(keywords: list[str], match: str) -> str:
+    tree = _tree_pattern(keywords)
+    if match == "word":
+        return f"(?<!{_WORD_CHAR})(?=({tree})(?!{_WORD_CHAR}))"
+    return f"(?=({tree}))"
+
+
+def with_implied(found: Column, keywords: Iterable[str], match: str = "substring") -> Column:
+    """All keywords present, given at least the longest ones at each position."""
     implied = _implied(sorted(set(keywords)), match)
     if not implied:
-        return longest
+        return found
     shorter = F.create_map(*[part for kw, words in implied.items()
                              for part in (F.lit(kw), _strings(words))])
     extra = F.flatten(F.transform(
-        longest, lambda kw: F.coalesce(F.try_element_at(shorter, kw), F.array().cast(_NO_STRINGS))))
-    return F.array_union(longest, extra)
+        found, lambda kw: F.coalesce(F.try_element_at(shorter, kw), F.array().cast(_NO_STRINGS))))
+    return F.array_union(found, extra)
 
 
 def _sql_strings(values: Iterable[str]) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forumgauge.functions.labels import LABEL_COLUMNS, label_column, longest_keywords, with_implied
+from forumgauge.functions.labels import LABEL_COLUMNS, found_keywords, label_column, with_implied
 from forumgauge.functions.lexicon import DEFAULT_LEXICON, KINDS, Lexicon
 from forumgauge.functions.salary import HOURS_PER_YEAR, annual_pays, salary_mentions
 from forumgauge.operators.once import compute_once
@@ -19,11 +19,12 @@ def tag(posts: DataFrame, kinds: Iterable[str] = KINDS, text_col: str = "full_te
     kinds = tuple(kinds)
     text = F.col(text_col)
     keywords = lexicon.keywords(*kinds)
-    found = compute_once(posts, "_longest", longest_keywords(text, keywords, match))
-    found = compute_once(found, "_hits", with_implied(F.col("_longest"), keywords, match))
+    found = posts.withColumn("_lowered", F.lower(text))
+    found = compute_once(found, "_found", found_keywords(F.col("_lowered"), keywords, match))
+    found = compute_once(found, "_hits", with_implied(F.col("_found"), keywords, match))
     return (found
             .withColumns({LABEL_COLUMNS[k]: label_column(k, "_hits", text, lexicon) for k in kinds})
-            .drop("_longest", "_hits"))
+            .drop("_lowered", "_found", "_hits"))
 
 
 def tag_industries(posts: DataFrame, **options) -> DataFrame:

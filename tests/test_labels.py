@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from forumgauge.functions.labels import LABEL_COLUMNS, longest_keywords, with_implied
+from forumgauge.functions.labels import LABEL_COLUMNS, found_keywords, with_implied
 from forumgauge.functions.lexicon import DEFAULT_LEXICON, KINDS, Lexicon
 from forumgauge.operators import tagging
 from forumgauge.operators.enrich import keep_labelled
@@ -38,8 +38,8 @@ def present(text, match):
 def test_every_keyword_present_is_found(spark, match):
     texts = random_texts() + WORDS
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
-    longest = longest_keywords(F.col("t"), WORDS, match)
-    rows = df.select("i", with_implied(longest, WORDS, match).alias("h")).collect()
+    found = found_keywords(F.lower("t"), WORDS, match)
+    rows = df.select("i", with_implied(found, WORDS, match).alias("h")).collect()
     for row in rows:
         assert set(row.h) == present(texts[row.i], match), texts[row.i]
         assert len(row.h) == len(set(row.h))
@@ -49,7 +49,7 @@ def test_large_lexicon_takes_several_patterns(spark, monkeypatch):
     monkeypatch.setattr("forumgauge.functions.labels.KEYWORDS_PER_PATTERN", 50)
     texts = random_texts(100, 5)
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
-    for row in df.select("i", with_implied(longest_keywords(F.col("t"), WORDS), WORDS).alias("h")).collect():
+    for row in df.select("i", with_implied(found_keywords(F.lower("t"), WORDS), WORDS).alias("h")).collect():
         assert set(row.h) == present(texts[row.i], "substring")
 
 
@@ -102,6 +102,15 @@ def test_word_match_does_not_look_inside_words(spark):
         tagging.tag_skills(df, match="fuzzy")
 
 
+@pytest.mark.parametrize("kind", ["skill", "topic", "sentiment"])
+def test_both_ways_of_searching_agree(spark, monkeypatch, kind):
+    texts = random_texts(150, 17)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, full_text string")
+    direct = sorted(map(str, tagging.tag(df, [kind]).collect()))
+    monkeypatch.setattr("forumgauge.functions.labels.DIRECT_KEYWORDS", 0)
+    assert sorted(map(str, tagging.tag(df, [kind]).collect())) == direct
+
+
 def test_own_lexicon(spark):
     lexicon = DEFAULT_LEXICON.replace("topic", {"Pets": ("cat", "dog")})
     df = spark.createDataFrame([("a dog",), ("a bird",)], "full_text string")
@@ -119,5 +128,7 @@ def test_lexicon_sizes():
 
 def test_filter_on_labels_reads_the_text_once(spark):
     df = spark.createDataFrame([("java and go",)], "full_text string").repartition(2)
-    plan = keep_labelled(tagging.tag_skills(df), "mentioned_skills")._jdf.queryExecution().executedPlan().toString()
+    plan = keep_labelled(tagging.tag_industries(df), "industries")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
+    plan = keep_labelled(tagging.tag_skills(df), "mentioned_skills")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(", ai) THEN ai END") == 1
