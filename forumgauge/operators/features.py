@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import IDF, CountVectorizerModel, IDFModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumgauge.sources.paths import stored
@@ -57,12 +57,17 @@ def entries(vectors: DataFrame, column: str, value: str, key: str = "id") -> Dat
     return vectors.select(key, F.inline(pairs)).toDF(key, "index", value)
 
 
+def _term(model: CountVectorizerModel) -> Column:
+    """The vocabulary term at ``index``; words hold no separator character."""
+    terms = F.split(F.lit("\x1f".join(model.vocabulary)), "\x1f")
+    return F.element_at(terms, F.col("index") + 1)
+
+
 def term_counts(posts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
     """id, index, term, tf for every vocabulary term of a post."""
     counted, model = term_vectors(posts, size)
-    names = F.array(*map(F.lit, model.vocabulary))
     return entries(counted, "raw_features", "tf").select(
-        "id", "index", F.element_at(names, F.col("index") + 1).alias("term"), F.col("tf").cast("long").alias("tf"))
+        "id", "index", _term(model).alias("term"), F.col("tf").cast("long").alias("tf"))
 
 
 def tfidf_weights(posts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
@@ -74,6 +79,4 @@ def tfidf_weights(posts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
     """
     counted, model = term_vectors(posts, size)
     weighted, _ = tfidf_vectors(stored(counted.select("id", "raw_features"), "term-counts"))
-    names = F.array(*map(F.lit, model.vocabulary))
-    return entries(weighted, "features", "weight").select(
-        "id", "index", F.element_at(names, F.col("index") + 1).alias("term"), "weight")
+    return entries(weighted, "features", "weight").select("id", "index", _term(model).alias("term"), "weight")

@@ -34,7 +34,7 @@ TEXT_MARTS: dict[str, Callable[..., DataFrame]] = {
 # These cover posts with short texts too.
 WHOLE_MARTS: dict[str, Callable[..., DataFrame]] = {"network_metrics": marts.network_metrics}
 
-RUN_TOGETHER = 4
+RUN_TOGETHER = 8
 
 LABEL_TABLE = ("id", "subreddit", "score", "num_comments", "created_datetime", "year", "month", "day",
                "hour", "year_month", *LABEL_COLUMNS.values(), "salary_mentions", "salaries", "is_text_post")

@@ -152,3 +152,13 @@ def test_a_run_without_new_posts_writes_none(spark, job):
     C.run_collection(pages, conf, 2)
     assert raw.read_posts(spark, conf.raw_path).count() == 1
     assert spark.read.parquet(conf.audit_path).count() == 1
+
+
+def test_a_first_run_without_posts_leaves_empty_tables(spark, job):
+    conf, _, _ = job
+    pages = spark.createDataFrame([(page(), "s1", "new", 0, datetime(2024, 5, 1))], C.LANDED_PAGE)
+    C.run_collection(pages, conf, 0)
+    assert raw.read_registry(spark, conf.registry_path).count() == 0
+    pages = spark.createDataFrame([(page(post("a")), "s1", "new", 0, datetime(2024, 5, 1))], C.LANDED_PAGE)
+    C.run_collection(pages, conf, 1)
+    assert [r.id for r in raw.read_posts(spark, conf.raw_path).collect()] == ["a"]
