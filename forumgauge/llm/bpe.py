@@ -210,7 +210,7 @@ def decode(model: Model, packed: list[bytes]) -> list[str]:
     return [text[a:max(a, b - 1)].decode() for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
 def encode(table: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -224,10 +224,9 @@ def encode(table: DataFrame, path: str, text: str = "text", key: str = "doc_id")
                            T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.get(shared.id)
+        encoder = _ENCODERS.get(path)
         if encoder is None:
-            _ENCODERS.clear()
-            encoder = _ENCODERS[shared.id] = Encoder(shared.value)
+            encoder = _ENCODERS[path] = Encoder(shared.value)
         for batch in batches:
             for first, last, data, offsets in words.chunks(batch.column(1)):
                 packed = [encoder.encode(data[a:b].tobytes().decode()) for a, b in zip(offsets[:-1], offsets[1:])]

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumgauge.llm import bpe, quality_rules
-from forumgauge.llm.tables import read
+from forumgauge.llm import bpe, main_text, mixing, quality_rules
+from forumgauge.llm.tables import Work, read
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -17,6 +17,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken, _ = mixing.plan(read(spark, sf_dir, "documents"), Work(spark, "mixing"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(read(spark, sf_dir, "documents"), tokenizer_path())
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -29,9 +34,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_stop_words", "n_lines", "n_loud_lines")
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = main_text.main_text(read(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 LLM_QUERIES = {
+    "op3_mixing": op3_mixing,
     "op5_bpe": op5_bpe,
     "op7_quality_rules": op7_quality_rules,
+    "op10_main_text": op10_main_text,
 }
 
 LLM_ORACLE: dict[str, str] = {}
