@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from forumgauge.llm import words
+from forumgauge.llm.tables import map_batches
 
 END = "</w>"
 # A symbol that ends a pre-token is another symbol than the same one inside it.
@@ -236,4 +237,4 @@ def encode(table: DataFrame, path: str, text: str = "text", key: str = "doc_id")
                      pa.array(packed, pa.binary()), pa.array(decode(encoder.model, packed), pa.string())],
                     names=[key, "n_tokens", "ids", "decoded"])
 
-    return table.select(key, text).mapInArrow(run, schema)
+    return map_batches(table.select(key, text), run, schema)

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from forumgauge.llm.tables import map_batches
+
 WINDOW = 3
 SURGE = 40
 
@@ -196,4 +198,4 @@ def main_text(pages: DataFrame, page: str = "html", keys: tuple[str, ...] = ("pa
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keys)], pa.array(texts, pa.string())],
                                              names=[*keys, "text"])
 
-    return pages.select(*keys, page).mapInArrow(run, schema)
+    return map_batches(pages.select(*keys, page), run, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumgauge.llm import bpe, main_text, mixing, quality_rules
+from forumgauge.llm import bpe, main_text, mixing, quality_rules, secrets
 from forumgauge.llm.tables import Work, read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -17,6 +17,24 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _joined(spans) -> object:
+    kinds = F.array(*(F.lit(k) for k in secrets.KINDS))
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), F.array_position(kinds, s["kind"]).alias("rank"), s["end"].alias("end"))))
+    return F.array_join(F.transform(ordered, lambda s: F.concat_ws(
+        ":", F.element_at(kinds, s["rank"].cast("int")), s["start"], s["end"])), ",")
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = secrets.scan(read(spark, sf_dir, "documents"), Work(spark, "secrets"))
+    kinds = F.transform("rules", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, lambda k: k == F.lit(kind))).cast("bigint").alias(f"n_{kind}")  # noqa: B023
+              for kind in secrets.KINDS]
+    return spans.select("doc_id", *counts, F.sha2(_joined(F.col("rules")), 256).alias("base_sha256"),
+                        _joined(F.concat("rules", "added")).alias("spans"),
+                        F.size("added").cast("bigint").alias("n_added"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken, _ = mixing.plan(read(spark, sf_dir, "documents"), Work(spark, "mixing"))
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -40,6 +58,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_secrets": op2_secrets,
     "op3_mixing": op3_mixing,
     "op5_bpe": op5_bpe,
     "op7_quality_rules": op7_quality_rules,

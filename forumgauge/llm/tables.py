@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import cache
+from pathlib import Path
 
+import forumgauge
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SETTING = "spark.checkpoint.dir"
 
@@ -43,3 +49,18 @@ class Work:
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@cache
+def _shipped(application: str) -> bool:
+    """Give the package's code to the executors, once for each application."""
+    package = Path(forumgauge.__file__).resolve().parent
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='forumgauge-')}/forumgauge", "zip", package.parent, package.name)
+    SparkSession.active().sparkContext.addPyFile(archive)
+    return True
+
+
+def map_batches(table: DataFrame, run: Callable, schema: StructType) -> DataFrame:
+    """``mapInArrow`` with functions of this package."""
+    _shipped(table.sparkSession.sparkContext.applicationId)
+    return table.mapInArrow(run, schema)
