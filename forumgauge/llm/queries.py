@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumgauge.llm import bpe, main_text, mixing, quality_rules, secrets
+from forumgauge.llm import bpe, classifier, main_text, mixing, quality_rules, secrets
 from forumgauge.llm.tables import Work, read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -52,6 +52,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_stop_words", "n_lines", "n_loud_lines")
 
 
+def op8_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), Work(spark, "classifier"))
+    return judged.select("doc_id", "source", "lang", "posterior_low", "posterior_toxic",
+                         (1 - F.greatest("posterior_low", "posterior_toxic")).alias("score"), "kept")
+
+
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = main_text.main_text(read(spark, sf_dir, "pages"))
     return texts.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
@@ -62,6 +68,7 @@ LLM_QUERIES = {
     "op3_mixing": op3_mixing,
     "op5_bpe": op5_bpe,
     "op7_quality_rules": op7_quality_rules,
+    "op8_classifier": op8_classifier,
     "op10_main_text": op10_main_text,
 }
 

@@ -64,9 +64,10 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         first = last
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SEPARATOR
+          ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and the row it is in."""
-    word = ~_SEPARATOR[data]
+    word = ~separator[data]
     if not len(word):
         empty = np.empty(0, np.int64)
         return empty, empty, empty
@@ -105,3 +106,10 @@ def grams(words: np.ndarray, size: int) -> np.ndarray:
 def row_bounds(rows: np.ndarray, count: int) -> np.ndarray:
     """Where each of ``count`` rows begins in a sorted array of row numbers, and its end."""
     return np.searchsorted(rows, np.arange(count + 1))
+
+
+def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The sum of each row's values."""
+    total = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(values, out=total[1:])
+    return total[offsets[1:]] - total[offsets[:-1]]
