@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumgauge.llm import bpe, classifier, main_text, mixing, quality_rules, secrets
+from forumgauge.llm import bpe, classifier, main_text, mixing, near_duplicates, quality_rules, secrets
 from forumgauge.llm.tables import Work, read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -46,6 +46,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.groups(read(spark, sf_dir, "documents"), Work(spark, "near"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -67,6 +71,7 @@ LLM_QUERIES = {
     "op2_secrets": op2_secrets,
     "op3_mixing": op3_mixing,
     "op5_bpe": op5_bpe,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_quality_rules": op7_quality_rules,
     "op8_classifier": op8_classifier,
     "op10_main_text": op10_main_text,
