@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,8 +61,9 @@ _CLASSES = (_is("#*$%&|<>"), _is("!?"), _is("".join(map(chr, range(65, 91)))), _
 _STEPS = np.array([0.0, 0.01, 0.03, 0.1, 0.2, 0.35, 0.5, 0.75, 1.0])
 
 
-def features(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """For runs of rows [first, last): the rows' distinct feature numbers and their bounds."""
+def occurrences(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For runs of rows [first, last): the feature numbers of each word, the rows they
+    are in from 0, and the ratio features of each row."""
     for first, last, data, offsets in words.chunks(column):
         rows = last - first
         starts, ends, row = words.spans(data, offsets, _WORD)
@@ -69,26 +71,27 @@ def features(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         bounds = words.row_bounds(row, rows)
         # a word and its beginnings, each kind in its own range of numbers
         buckets = np.column_stack([
-            (x >> np.uint64(64 - BITS)).astype(np.int64) + i * FEATURES for i, x in enumerate(
+            (x >> np.uint64(64 - BITS)).astype(np.int32) + i * FEATURES for i, x in enumerate(
                 [code, *(words.hashes(data, starts, np.minimum(ends, starts + n), lower=True) for n in PREFIXES)])])
         triples = words.grams(code, 3)
         counts = np.diff(bounds)
-        per_word = [words.sums(c[data], offsets) / np.maximum(counts, 1) for c in _CLASSES]
-        sizes = words.sums(np.ones(len(data), np.int64), offsets) / np.maximum(counts, 1)
-        out, cuts = [], [0]
-        for i in range(rows):
-            a, b = bounds[i], bounds[i + 1]
-            own = np.unique(buckets[a:b])
-            repeats = 1 - len(np.unique(triples[a:b - 2])) / (b - a - 2) if b - a > 2 else 0.0
-            ratios = [*(p[i] for p in per_word), sizes[i] / 20, repeats]
-            bins = np.searchsorted(_STEPS, ratios)
-            structure = RATIOS + np.arange(len(ratios)) * 16 + bins
-            size = RATIOS + 16 * len(ratios) + int(b - a).bit_length()
-            out += [own, structure, [size]]
-            cuts.append(cuts[-1] + len(own) + len(structure) + 1)
-        yield first, last, np.concatenate(out).astype(np.int64) if out else np.empty(0, np.int64), np.array(cuts)
+        ratios = [words.sums(c[data], offsets) / np.maximum(counts, 1) for c in _CLASSES]
+        ratios.append(np.diff(offsets) / np.maximum(counts, 1) / 20)
+        repeats = np.zeros(rows)
+        for i in np.flatnonzero(counts > 2):
+            own = np.sort(triples[bounds[i]:bounds[i + 1] - 2])
+            repeats[i] = np.count_nonzero(own[1:] == own[:-1]) / len(own)
+        ratios.append(repeats)
+        bins = [RATIOS + 16 * i + np.searchsorted(_STEPS, r) for i, r in enumerate(ratios)]
+        bins.append(RATIOS + 16 * len(ratios) + np.frexp(counts)[1])
+        yield first, last, buckets, row, np.column_stack(bins)
 
 
+def distinct(buckets: np.ndarray, row: np.ndarray, bins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers and their rows, each pair once."""
+    pairs = np.unique(np.repeat(row, buckets.shape[1]) * WIDTH + buckets.ravel())
+    rows = np.repeat(np.arange(len(bins)), bins.shape[1])
+    return np.concatenate([pairs % WIDTH, bins.ravel()]), np.concatenate([pairs // WIDTH, rows])
 
 
 @dataclass
@@ -106,11 +109,15 @@ class Model:
     def evidence(self, column: pa.Array) -> dict[str, np.ndarray]:
         """Calibrated log-odds of each row, for each judgement."""
         out = {name: np.full(len(column), -20.0) for name in self.heads}
-        for first, last, found, cuts in features(column):
-            for name, head in self.heads.items():
-                if head:
-                    total = np.concatenate([[0.0], np.cumsum(head.weights[found])])
-                    out[name][first:last] = head.bias + total[cuts[1:]] - total[cuts[:-1]]
+        heads = {name: head for name, head in self.heads.items() if head}
+        used = np.zeros(WIDTH, dtype=bool)
+        for head in heads.values():
+            used |= head.weights != 0
+        for first, last, buckets, row, bins in occurrences(column):
+            held = used[buckets].any(axis=1)
+            found, rows = distinct(buckets[held], row[held], bins)
+            for name, head in heads.items():
+                out[name][first:last] = head.bias + np.bincount(rows, head.weights[found], last - first)
         return out
 
 
@@ -123,7 +130,10 @@ def _regression(x: np.ndarray, bad: np.ndarray) -> np.ndarray:
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         slope = x.T @ (bad - p) - penalty * beta
-        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        curve = np.diag(penalty)
+        for at in range(0, len(x), 4096):
+            part = x[at:at + 4096].astype(float)
+            curve += (part * (p * (1 - p))[at:at + 4096, None]).T @ part
         step = np.linalg.solve(curve, slope)
         beta += step
         if np.abs(step).max() < 1e-6:
@@ -164,12 +174,11 @@ def fit(documents: DataFrame, labels: DataFrame, work: Work, text: str = "text",
         present = {(h, k): np.zeros(WIDTH, np.int64) for h in HEADS for k in (0, 1)}
         for batch in batches:
             classes = {h: batch.column(i).to_numpy(zero_copy_only=False) for i, h in enumerate(HEADS)}
-            for first, last, found, cuts in features(batch.column(2)):
-                rows = np.repeat(np.arange(first, last), np.diff(cuts))
+            for first, last, *parts in occurrences(batch.column(2)):
+                found, rows = distinct(*parts)
                 for h in HEADS:
                     for k in (0, 1):
-                        held = classes[h][rows] == k
-                        present[h, k] += np.bincount(found[held], minlength=WIDTH)
+                        present[h, k] += np.bincount(found[classes[h][first + rows] == k], minlength=WIDTH)
                         present[h, k][WIDTH - 1] += np.count_nonzero(classes[h][first:last] == k)
         for (h, k), n in present.items():
             at = np.flatnonzero(n)
@@ -179,9 +188,11 @@ def fit(documents: DataFrame, labels: DataFrame, work: Work, text: str = "text",
 
     counted = map_batches(texts, count, counts_schema).groupBy("head", "bad", "feature").agg(F.sum("n").alias("n"))
     present = {(h, k): np.zeros(WIDTH) for h in HEADS for k in (0, 1)}
-    table = counted.toPandas()
-    for (h, k), rows in table.groupby(["head", "bad"]):
+    table = counted.toArrow()
+    for h, k in present:
+        rows = table.filter((pc.field("head") == h) & (pc.field("bad") == k))
         present[h, k][rows["feature"].to_numpy()] = rows["n"].to_numpy()
+    del table
     chosen_of = {}
     for h in HEADS:
         size = [present[h, k][WIDTH - 1] for k in (0, 1)]
@@ -197,25 +208,24 @@ def fit(documents: DataFrame, labels: DataFrame, work: Work, text: str = "text",
             place[h][at] = np.arange(len(at))
         for batch in batches:
             held = {h: [[] for _ in range(batch.num_rows)] for h in HEADS}
-            for first, _, found, cuts in features(batch.column(2)):
+            for first, _, *parts in occurrences(batch.column(2)):
+                found, rows = distinct(*parts)
                 for h, where in place.items():
-                    own = where[found]
-                    for i in range(len(cuts) - 1):
-                        row = own[cuts[i]:cuts[i + 1]]
-                        held[h][first + i] = row[row >= 0].tolist()
+                    for i, at in zip(rows[where[found] >= 0], where[found][where[found] >= 0]):
+                        held[h][first + i].append(int(at))
             yield pa.RecordBatch.from_arrays(
                 [x for i, h in enumerate(HEADS) for x in (batch.column(i), pa.array(held[h], pa.list_(pa.int32())))],
                 names=[f.name for f in fields])
 
-    rows = map_batches(texts, hold, T.StructType(fields)).toPandas()
+    rows = map_batches(texts, hold, T.StructType(fields)).toArrow()
     heads: dict[str, Head | None] = dict.fromkeys(HEADS)
     for h, at in chosen_of.items():
-        known = rows[rows[h].notna()]
-        x = np.zeros((len(known), len(at) + 1))
+        known = rows.filter(pc.field(h).is_valid())
+        held = known[f"in_{h}"].combine_chunks()
+        x = np.zeros((len(known), len(at) + 1), np.float32)
         x[:, 0] = 1.0
-        for i, held in enumerate(known[f"in_{h}"]):
-            x[i, np.asarray(held, np.int64) + 1] = 1.0
-        beta = _regression(x, known[h].to_numpy(float))
+        x[np.repeat(np.arange(len(known)), held.value_lengths().to_numpy()), held.flatten().to_numpy() + 1] = 1.0
+        beta = _regression(x, known[h].to_numpy().astype(float))
         weights = np.zeros(WIDTH)
         weights[at] = beta[1:]
         heads[h] = Head(weights, float(beta[0]))
