@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumgauge.llm import bpe, classifier, main_text, mixing, near_duplicates, quality_rules, secrets
+from forumgauge.llm import bpe, class_model, classifier, main_text, mixing, near_duplicates, quality_rules, secrets
 from forumgauge.llm.tables import Work, read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -17,6 +17,15 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    held_out = class_model.held_out(F.col("doc_id"))
+    model, counts = class_model.train(documents.where(~held_out), Work(spark, "classes"))
+    return class_model.score(documents, model, counts).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.units.total).cast("bigint").alias("train_tokens"), "base_score", "score")
+
+
 def _joined(spans) -> object:
     kinds = F.array(*(F.lit(k) for k in secrets.KINDS))
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(
@@ -68,6 +77,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_class_model": op1_class_model,
     "op2_secrets": op2_secrets,
     "op3_mixing": op3_mixing,
     "op5_bpe": op5_bpe,
