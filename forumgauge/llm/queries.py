@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumgauge.llm import bpe, class_model, classifier, main_text, mixing, near_duplicates, quality_rules, secrets
+from forumgauge.llm import bpe, class_model, classifier, grid_join, main_text, mixing, near_duplicates, quality_rules, secrets
 from forumgauge.llm.tables import Work, read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -71,6 +71,10 @@ def op8_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (1 - F.greatest("posterior_low", "posterior_toxic")).alias("score"), "kept")
 
 
+def op9_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.join(read(spark, sf_dir, "embeddings"), Work(spark, "vectors"))
+
+
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = main_text.main_text(read(spark, sf_dir, "pages"))
     return texts.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
@@ -84,6 +88,7 @@ LLM_QUERIES = {
     "op6_near_duplicates": op6_near_duplicates,
     "op7_quality_rules": op7_quality_rules,
     "op8_classifier": op8_classifier,
+    "op9_grid_join": op9_grid_join,
     "op10_main_text": op10_main_text,
 }
 
