@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumgauge.llm import bpe, class_model, classifier, grid_join, main_text, mixing, near_duplicates, quality_rules, secrets
+from forumgauge.llm import bpe, class_model, classifier, grid_join, main_text, mixing, near_duplicates, quality_rules, repeats, secrets
 from forumgauge.llm.tables import Work, read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -49,6 +49,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.remove(read(spark, sf_dir, "documents"), Work(spark, "repeats"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(read(spark, sf_dir, "documents"), tokenizer_path())
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -84,6 +89,7 @@ LLM_QUERIES = {
     "op1_class_model": op1_class_model,
     "op2_secrets": op2_secrets,
     "op3_mixing": op3_mixing,
+    "op4_repeats": op4_repeats,
     "op5_bpe": op5_bpe,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_quality_rules": op7_quality_rules,

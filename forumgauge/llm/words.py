@@ -81,14 +81,19 @@ def spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SEPARA
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
-    """A 64-bit hash of each word; ``lower`` takes A-Z as a-z."""
+def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each range of 64-bit values, the same wherever the range lies."""
     if not len(starts):
         return np.empty(0, np.uint64)
-    up, down = _powers(max(16, int(len(data)).bit_length()))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_BYTE_LOWER if lower else _BYTE)[data] * up[:len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    up, down = _powers(max(16, int(len(values)).bit_length()))
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[:len(values)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
+    """A 64-bit hash of each word; ``lower`` takes A-Z as a-z."""
+    return range_hashes((_BYTE_LOWER if lower else _BYTE)[data], starts, ends)
 
 
 def grams(words: np.ndarray, size: int) -> np.ndarray:
