@@ -184,7 +184,7 @@ class Formats:
         return best
 
 
-def _found(table: DataFrame, text: str, key: str) -> DataFrame:
+def found(table: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, rules (spans of the rules), others (candidates)."""
     schema = T.StructType([table.schema[key], T.StructField("rules", SPAN), T.StructField("others", SPAN)])
 
@@ -208,19 +208,19 @@ def _sample(spans: DataFrame, size: int) -> list[str]:
     return [r["value"] for r in rows]
 
 
-def learn(found: DataFrame) -> Formats:
+def learn(scanned: DataFrame) -> Formats:
     """Automata from bounded samples of the labelled credentials and of the candidates."""
-    spans = found.select(F.explode("rules").alias("span")).select("span.kind", "span.value")
+    spans = scanned.select(F.explode("rules").alias("span")).select("span.kind", "span.value")
     credentials = {kind: _sample(spans.where(F.col("kind") == kind), SAMPLE) for kind in KINDS}
-    ordinary = _sample(found.select(F.explode("others").alias("span")).select("span.value"), ORDINARY_SAMPLE)
+    ordinary = _sample(scanned.select(F.explode("others").alias("span")).select("span.value"), ORDINARY_SAMPLE)
     return Formats(credentials, ordinary)
 
 
 def scan(documents: DataFrame, work: Work, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, rules, added: spans of the rules and those that the automata add, one row per row."""
-    found = work.keep(_found(documents, text, key), "found")
-    formats = documents.sparkSession.sparkContext.broadcast(learn(found))
-    schema = T.StructType([found.schema[key], T.StructField("rules", SPAN), T.StructField("added", SPAN)])
+    scanned = work.keep(found(documents, text, key), "found")
+    formats = documents.sparkSession.sparkContext.broadcast(learn(scanned))
+    schema = T.StructType([scanned.schema[key], T.StructField("rules", SPAN), T.StructField("added", SPAN)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,7 +231,7 @@ def scan(documents: DataFrame, work: Work, text: str = "text", key: str = "doc_i
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(added, _ARROW_SPAN)],
                                              names=[key, "rules", "added"])
 
-    return map_batches(found, run, schema)
+    return map_batches(scanned, run, schema)
 
 
 def redact(documents: DataFrame, text: str = "text", placeholder: str = PLACEHOLDER, *,
@@ -255,6 +255,6 @@ def redact(documents: DataFrame, text: str = "text", placeholder: str = PLACEHOL
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pa.array([clean(x.as_py()) for x in batch.column(place)], pa.string())
-            yield batch.set_column(place, documents.schema[place].name, texts)
+            yield batch.set_column(place, text, texts)
 
     return map_batches(documents, run, documents.schema)

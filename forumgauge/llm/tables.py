@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 SETTING = "spark.checkpoint.dir"
+BATCH_ROWS = 1000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -61,6 +62,7 @@ def _shipped(application: str) -> bool:
 
 
 def map_batches(table: DataFrame, run: Callable, schema: StructType) -> DataFrame:
-    """``mapInArrow`` with functions of this package."""
+    """``mapInArrow`` with functions of this package, in batches that stay small where texts are long."""
+    table.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     _shipped(table.sparkSession.sparkContext.applicationId)
     return table.mapInArrow(run, schema)
