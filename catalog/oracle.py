@@ -10,7 +10,7 @@ from catalog import queries as Q
 from forumgauge import schemas
 from forumgauge.functions.lexicon import DEFAULT_LEXICON
 from forumgauge.functions.stopwords import STOP_WORDS
-from forumgauge.sources.tables import MONTH_SECONDS, TITLES
+from forumgauge.sources.tables import ITEM_POSTS, MONTH_SECONDS, PAGE_POSTS, TITLES
 
 LEX = DEFAULT_LEXICON
 SPACE = r"[ \t\n\x0B\f\r]"
@@ -52,16 +52,20 @@ def chain(select: str, *names: str) -> str:
 
 titles = " ".join(f"WHEN {i} THEN {lit(t)}" for i, t in enumerate(TITLES))
 cte("posts", (), f"""
-SELECT d.doc_id, CAST(d.doc_id AS VARCHAR) AS id, CASE d.doc_id % 16 {titles} END AS title,
-  CASE d.doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE d.text END AS selftext,
-  coalesce(CAST(floor(e.value) AS BIGINT), 0) AS score,
-  coalesce(CAST(regexp_extract(e.props, '[0-9]+') AS BIGINT), 0) AS num_comments,
-  CAST(coalesce(CAST(floor(epoch(e.ts)) AS BIGINT), 0) + (d.doc_id % 6) * {MONTH_SECONDS} AS DOUBLE) AS created_utc,
-  CASE d.doc_id % 4 WHEN 0 THEN p.url
-    WHEN 1 THEN 'https://i.redd.it/' || CAST(d.doc_id AS VARCHAR) || '.png'
-    WHEN 2 THEN 'https://www.reddit.com/r/' || d.source || '/' || CAST(d.doc_id AS VARCHAR) END AS url,
-  d.source AS subreddit
-FROM documents d LEFT JOIN events e ON e.event_id = d.doc_id LEFT JOIN pages p ON p.page_id = d.doc_id""")
+SELECT d.doc_id, CAST(d.doc_id AS VARCHAR) AS id, CASE d.doc_id % {len(TITLES)} {titles} END AS title, d.selftext,
+  coalesce(e.score, 0) AS score, coalesce(e.comments, 0) AS num_comments,
+  CAST(coalesce(e.second, 0) + (d.doc_id % 6) * {MONTH_SECONDS} AS DOUBLE) AS created_utc,
+  CASE WHEN d.page_url IS NOT NULL THEN d.page_url WHEN d.doc_id >= {PAGE_POSTS} THEN NULL
+    WHEN d.doc_id % 4 = 1 THEN 'https://i.redd.it/' || CAST(d.doc_id AS VARCHAR) || '.png'
+    WHEN d.doc_id % 4 = 2 THEN 'https://www.reddit.com/r/' || d.subreddit || '/' || CAST(d.doc_id AS VARCHAR) END AS url,
+  d.subreddit
+FROM (SELECT doc_id, text AS selftext, source AS subreddit, NULL AS page_url FROM documents
+  UNION ALL SELECT page_id + {PAGE_POSTS}, '', 'links', url FROM pages
+  UNION ALL SELECT item_id + {ITEM_POSTS}, NULL, 'titles', NULL FROM benchmark) d
+LEFT JOIN (SELECT event_id % (SELECT count(*) FROM documents) AS doc_id,
+    CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS score,
+    CAST(sum(TRY_CAST(regexp_extract(props, '[0-9]+') AS BIGINT)) AS BIGINT) AS comments,
+    min(CAST(floor(epoch(ts)) AS BIGINT)) AS second FROM events GROUP BY 1) e ON e.doc_id = d.doc_id""")
 
 cte("cleaned", ("posts",), rf"""
 SELECT *, CASE WHEN selftext IS NULL OR selftext = '' THEN title
@@ -131,26 +135,27 @@ SELECT t.id, t.score, t.num_comments, t.year, t.month, t.year_month, t.date, l.{
 FROM text_posts t JOIN (SELECT id, unnest(string_split({column}, '|')) AS {name} FROM tag_{kind}) l USING (id)
 WHERE l.{name} <> ''""")
 
-START = r"(?:^|[^\pL\pN_])"
-HOURLY = rf"(?i){START}(\d{{1,3}}(?:\.\d{{1,2}})?)\s*(?:/hr|/hour|per hour|an hour|/h\b)"
-HOURLY_STRIP = rf"(?i)(^|[^\pL\pN_])\d{{1,3}}(?:\.\d{{1,2}})?\s*(?:/hr|/hour|per hour|an hour|/h\b)"
-GROUPED = r"\d{1,3}(?:,\d{3})+(?:\.\d{2})?"
-ANNUAL = rf"(?i)\$(?:\d+k|{GROUPED})|\$\d{{4,}}(?:\.\d{{2}})?|{START}(?:\d+k|{GROUPED})"
+# Yearly pay is read token by token: a token is a run of letters, digits and . , $ without the
+# punctuation at its end, and counts if the whole of it is an amount.
+AMOUNT = r"(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d{1,2})?"
+HOURLY = rf"(?i)(?:^|[^\pL\pN_.,])({AMOUNT})\s*(?:/hr|/hour|per hour|an hour|/h\b)"
+ANNUAL = r"(?i)\$?(?:\d+(?:\.\d+)?k|\d{1,3}(?:,\d{3})+(?:\.\d{1,2})?)|\$\d{4,}(?:\.\d{1,2})?"
 NUMBER = "CAST(replace(replace(rtrim(lower(m), 'hk'), ',', ''), '$', '') AS DOUBLE)"
 cte("raw_mentions", ("text_posts",), rf"""
 SELECT id, 0 AS kind, unnest(regexp_extract_all(full_text, '{HOURLY}', 1)) || 'h' AS m,
   generate_subscripts(regexp_extract_all(full_text, '{HOURLY}', 1), 1) AS nth FROM text_posts
 UNION ALL
-SELECT id, 1, regexp_replace(x, '^[^0-9$]', ''), nth FROM (
-  SELECT id, unnest(regexp_extract_all(rest, '{ANNUAL}')) AS x,
-    generate_subscripts(regexp_extract_all(rest, '{ANNUAL}'), 1) AS nth
-  FROM (SELECT id, regexp_replace(full_text, '{HOURLY_STRIP}', '\1 ', 'g') AS rest FROM text_posts))""")
+SELECT id, 1, x, nth FROM (
+  SELECT id, rtrim(unnest(tokens), '.,') AS x, generate_subscripts(tokens, 1) AS nth FROM (
+    SELECT id, regexp_extract_all(regexp_replace(full_text, '{HOURLY}', ' ', 'g'), '[\pL\pN_.,$]+') AS tokens
+    FROM text_posts))
+WHERE regexp_full_match(x, '{ANNUAL}') AND lower(x) NOT IN ('401k', '403b')""")
 cte("kept_mentions", ("raw_mentions",), f"""
 SELECT id, kind, nth, ltrim(m, '$') AS m FROM raw_mentions
 WHERE kind = 0 OR m LIKE '$%' OR lower(m) LIKE '%k' OR {NUMBER} > 1000""")
 cte("pays", ("kept_mentions",), f"""
 SELECT id, kind, nth, pay, CASE WHEN pay BETWEEN 30000 AND 1000000 THEN pay END AS bounded FROM (
-  SELECT *, CASE WHEN lower(m) LIKE '%h' THEN {NUMBER} * 2080 WHEN lower(m) LIKE '%k' THEN {NUMBER} * 1000
+  SELECT *, CASE WHEN lower(m) LIKE '%h' THEN CASE WHEN {NUMBER} > 0 THEN {NUMBER} * 2080 END WHEN lower(m) LIKE '%k' THEN {NUMBER} * 1000
     WHEN {NUMBER} > 1000 THEN {NUMBER} END AS pay FROM kept_mentions)
 WHERE pay IS NOT NULL""")
 cte("pay_rows", ("by_industry", "pays"), """
@@ -350,12 +355,12 @@ SELECT id, source_rank, listing_rank, role, title FROM (
       CAST(CASE role WHEN 'system' THEN 0 WHEN 'user' THEN 1 ELSE 2 END AS INTEGER) AS source_rank,
       turn AS listing_rank, role, text AS title FROM conversations))
 WHERE rn = 1""",
-    "update_registry": f"{ids} labels UNION {ids} documents",
-    "registry_size": f"SELECT count(*) AS tracked_ids FROM ({ids} labels UNION {ids} documents)",
-    "collection_audit": f"""
+    "update_registry": chain(f"{ids} labels UNION SELECT id FROM posts", "posts"),
+    "registry_size": chain(f"SELECT count(*) AS tracked_ids FROM ({ids} labels UNION SELECT id FROM posts)", "posts"),
+    "collection_audit": chain(f"""
 SELECT {lit(Q.DATE)} AS collection_date, {lit("|".join(Q.SOURCES))} AS subreddits,
   {lit("|".join(Q.LISTINGS))} AS listings, count(*) AS total_posts,
-  {lit(Q.COLLECTED_AT.strftime("%Y-%m-%d %H:%M:%S"))} AS collected_at_utc FROM documents""",
+  {lit(Q.COLLECTED_AT.strftime("%Y-%m-%d %H:%M:%S"))} AS collected_at_utc FROM posts""", "posts"),
     "write_mart": chain("SELECT * FROM daily_topic_analysis", "daily_topic_analysis"),
     "write_salary_mart": chain("SELECT * FROM daily_salary_stats", "daily_salary_stats"),
     "publish_all": published_sql(),

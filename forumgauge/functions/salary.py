@@ -10,18 +10,25 @@ LOWEST = 30_000
 HIGHEST = 1_000_000
 SMALLEST_PLAIN_NUMBER = 1000
 
-_START = r"(?<![\p{L}\p{N}_])"
-_END = r"(?![\p{L}\p{N}_])"
+# --- Fixed values: what marks an hourly rate, and retirement plans that look like pay ---
+HOUR_MARKS = ("/hr", "/hour", "per hour", "an hour", "/h")
+NOT_PAY = ("401k", "403b")
+# --- End of fixed values ------------------------------------------------------------------
+
+# A number begins and ends as a whole: not inside a word, nor inside a longer number.
+_START = r"(?<![\p{L}\p{N}_])(?<!\p{N}[.,])"
+_END = r"(?![\p{L}\p{N}_])(?![.,]\p{N})"
 # Looked at first: nearly every position fails here, at the cost of one test.
 _FIRST = r"(?i)(?=[$0-9])"
+_GROUPED = r"\d{1,3}(?:,\d{3})+"
+_MARK = "|".join(m + r"(?![\p{L}\p{N}_])" * (m == "/h") for m in HOUR_MARKS)
 
-# $45/hr, 45.50 an hour, 45 per hour.  Never the tail of a longer number.
-HOURLY = (rf"{_FIRST}\$?{_START}(\d{{1,3}}(?:\.\d{{1,2}})?)\s*"
-          rf"(?:/hr|/hour|per hour|an hour|/h{_END})")
+# $45/hr, 45.50 an hour, 1,000 per hour.
+HOURLY = rf"{_FIRST}\$?{_START}((?:{_GROUPED}|\d+)(?:\.\d{{1,2}})?)\s*(?:{_MARK})"
 
-# 120k, $120k, 120,000, $120,000.00, $120000.  Bare digits are not pay.
-ANNUAL = (rf"{_FIRST}((?:\$|{_START})(?:\d+k|\d{{1,3}}(?:,\d{{3}})+(?:\.\d{{2}})?)"
-          rf"|\$\d{{4,}}(?:\.\d{{2}})?)")
+# 120k, $120.5k, 120,000, $120,000.00, $120000.  Bare digits are not pay.
+ANNUAL = (rf"{_FIRST}((?:\$|{_START})(?:\d+(?:\.\d+)?k|{_GROUPED}(?:\.\d{{1,2}})?){_END}"
+          rf"|\$\d{{4,}}(?:\.\d{{1,2}})?{_END})")
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -32,9 +39,11 @@ def _number(text: Column) -> Column:
     return F.regexp_replace(text, r"[$,hkHK]", "").try_cast("double")
 
 
-def salary_mentions(text: Column) -> Column:
+def salary_mentions(text: Column, not_pay: tuple[str, ...] = NOT_PAY) -> Column:
     """Raw pay mentions: hourly ones first, tagged with a trailing ``h``.
 
+    ``not_pay`` lists numbers, as written in lower case, that never are pay.
+
     Hourly mentions are taken out before yearly ones are looked for, so no
     number counts twice.  A text without a digit, or without an hourly marker,
     skips the pattern that could not match.
@@ -44,8 +53,8 @@ def salary_mentions(text: Column) -> Column:
     may_be_hourly = lowered.contains("/h") | lowered.contains("hour")
     hourly = F.when(may_be_hourly, F.transform(_matches(text, HOURLY), lambda m: F.concat(m, F.lit("h"))))
     rest = F.when(may_be_hourly, F.regexp_replace(text, HOURLY, " ")).otherwise(text)
-    kept = F.filter(_matches(rest, ANNUAL), lambda m: m.startswith("$") | F.lower(m).endswith("k")
-                    | (_number(m) > SMALLEST_PLAIN_NUMBER))
+    kept = F.filter(_matches(rest, ANNUAL), lambda m: ~F.lower(m).isin(*not_pay) & (
+        m.startswith("$") | F.lower(m).endswith("k") | (_number(m) > SMALLEST_PLAIN_NUMBER)))
     annual = F.transform(kept, lambda m: F.ltrim(m, F.lit("$")))
     return F.when(text.rlike(r"\d"), F.concat(F.coalesce(hourly, none), annual)).otherwise(none)
 
@@ -54,7 +63,7 @@ def annual_pay(mention: Column, hours_per_year: float = HOURS_PER_YEAR) -> Colum
     """A raw mention as yearly pay; NULL when it is not a plausible number."""
     value = _number(mention)
     lowered = F.lower(mention)
-    return (F.when(lowered.endswith("h"), value * F.lit(float(hours_per_year)))
+    return (F.when(lowered.endswith("h"), F.when(value > 0, value * F.lit(float(hours_per_year))))
             .when(lowered.endswith("k"), value * F.lit(1000.0))
             .when(value > SMALLEST_PLAIN_NUMBER, value))
 

@@ -1,9 +1,12 @@
 """Posts assembled from the supplied tables.
 
-Titles come from a fixed phrase list and bodies from ``documents``; scores,
-comment counts and times come from ``events``, link addresses from ``pages``.
-Text and measures are separate relations: a caller labels the text first and
-joins only the narrow result, so no body ever crosses the network for the join.
+Every document is a post with its whole text as body.  Posts without a body are
+further rows: one link post with an empty body for each of ``pages``, with that page's address,
+and one with a null body for each item of ``benchmark``; ``number`` keeps the three apart.
+Titles come from a fixed phrase list.  All ``events`` count: those of one document are
+the ones whose id leaves its number as remainder by the number of documents.  Text
+and measures are separate relations: a caller labels the text first and joins only the
+narrow result, so no body crosses the network for the join.
 """
 
 from __future__ import annotations
@@ -12,9 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumgauge.schemas import POST_COLUMNS
-from forumgauge.sources.spread import spread
 
-# --- Fixed values: titles by doc_id % 16 -----------------------------------------
+# --- Fixed values: titles by doc_id % 20 -----------------------------------------
 TITLES_TEXT = """
 Got an internship offer at Google paying $45/hr
 Rejected again after the final interview, feeling hopeless
@@ -32,11 +34,16 @@ Sophomore at a state school, new to networking on LinkedIn
 Job search is slow, amazon and meta ghosted me, was 60/hr
 How to negotiate offer: $95,000 vs $110k at Goldman Sachs
 Learn open source, check Glassdoor before joining Uber
+Contract at $2,500 per hour, or 1,000/hr, or 1000.50/hr?
+After a 100km run with a 120kb file: $120.5k or 85.5k base?
+Is 120,0000 a typo, and does 401k match count next to $401k?
+Volunteering pays 0/hr, then 95,000.50 and $95000.50 a year
 """
 # --- End of fixed values ----------------------------------------------------------
 
 TITLES = tuple(TITLES_TEXT.strip().splitlines())
 MONTH_SECONDS = 2_592_000
+PAGE_POSTS, ITEM_POSTS = 10 ** 12, 2 * 10 ** 12  # where their post numbers begin
 
 
 SCHEMAS = {
@@ -44,6 +51,7 @@ SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "pages": "page_id bigint, url string, html string",
     "labels": "doc_id bigint, quality int, toxic int",
+    "benchmark": "item_id bigint, text string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
@@ -52,36 +60,50 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _bodyless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, selftext, subreddit of the posts without a body."""
+    pages = _read(spark, sf_dir, "pages").select(
+        (F.col("page_id") + PAGE_POSTS).alias("doc_id"), F.lit("").alias("selftext"), F.lit("links").alias("subreddit"))
+    items = _read(spark, sf_dir, "benchmark").select(
+        (F.col("item_id") + ITEM_POSTS).alias("doc_id"), F.lit(None).cast("string").alias("selftext"),
+        F.lit("titles").alias("subreddit"))
+    return pages.unionByName(items)
+
+
 def post_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, id, title, selftext, subreddit: one row per document."""
-    documents = spread(_read(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
+    """doc_id, id, title, selftext, subreddit: one row per post.
+
+    The supplied documents may be one row group, which one task would read and label
+    alone, so their texts are dealt out once, at every size.
+    """
+    documents = _read(spark, sf_dir, "documents").select(
+        "doc_id", F.col("text").alias("selftext"), F.col("source").alias("subreddit")).repartition("doc_id")
     doc = F.col("doc_id")
     titles = F.split(F.lit("\n".join(TITLES)), "\n")
-    body = (F.when(doc % 5 == 0, "").when(doc % 5 == 1, F.lit(None).cast("string"))
-            .otherwise(F.col("text")))
-    return documents.select(
+    return documents.unionByName(_bodyless(spark, sf_dir)).select(
         "doc_id", doc.cast("string").alias("id"),
-        F.element_at(titles, (doc % len(TITLES) + 1).cast("int")).alias("title"),
-        body.alias("selftext"), F.col("source").alias("subreddit"))
+        F.element_at(titles, (doc % len(TITLES) + 1).cast("int")).alias("title"), "selftext", "subreddit")
 
 
 def post_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, id of every post, for tables that read no text."""
-    return _read(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("id"))
+    documents = _read(spark, sf_dir, "documents").select("doc_id")
+    return documents.unionByName(_bodyless(spark, sf_dir).select("doc_id")).select(
+        "doc_id", F.col("doc_id").cast("string").alias("id"))
 
 
 def add_measures(posts: DataFrame, sf_dir: str) -> DataFrame:
-    """Add score, num_comments and created_utc.
+    """Add score, num_comments and created_utc, from all events of a post.
 
-    A document without an event counts 0 and dates from the epoch, so each
-    document is exactly one post whichever columns a query reads.
+    A post without an event counts 0 and dates from the epoch, so each post has one row
+    whichever columns a query reads.
     """
     zero = F.lit(0).cast("bigint")
-    events = _read(posts.sparkSession, sf_dir, "events").select(
-        F.col("event_id").alias("doc_id"),
-        F.floor("value").cast("bigint").alias("_score"),
-        F.regexp_extract("props", r"[0-9]+", 0).try_cast("bigint").alias("_comments"),
-        F.unix_seconds(F.col("ts").cast("timestamp")).alias("_second"))
+    documents = max(1, _read(posts.sparkSession, sf_dir, "documents").count())  # from the files' footers
+    events = _read(posts.sparkSession, sf_dir, "events").groupBy((F.col("event_id") % documents).alias("doc_id")).agg(
+        F.sum(F.floor("value").cast("bigint")).alias("_score"),
+        F.sum(F.regexp_extract("props", r"[0-9]+", 0).try_cast("bigint")).alias("_comments"),
+        F.min(F.unix_seconds(F.col("ts").cast("timestamp"))).alias("_second"))
     return posts.join(events, "doc_id", "left").withColumns({
         "score": F.coalesce("_score", zero),
         "num_comments": F.coalesce("_comments", zero),
@@ -90,11 +112,11 @@ def add_measures(posts: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def add_urls(posts: DataFrame, sf_dir: str) -> DataFrame:
-    """Add url: a page address, a generated one, or NULL.  Needs subreddit."""
+    """Add url: a page's address, a generated one, or NULL.  Needs subreddit."""
     pages = _read(posts.sparkSession, sf_dir, "pages").select(
-        F.col("page_id").alias("doc_id"), F.col("url").alias("_page_url"))
+        (F.col("page_id") + PAGE_POSTS).alias("doc_id"), F.col("url").alias("_page_url"))
     doc, number = F.col("doc_id"), F.col("doc_id").cast("string")
-    url = (F.when(doc % 4 == 0, F.col("_page_url"))
+    url = (F.when(doc >= PAGE_POSTS, F.col("_page_url"))
            .when(doc % 4 == 1, F.concat(F.lit("https://i.redd.it/"), number, F.lit(".png")))
            .when(doc % 4 == 2, F.concat(F.lit("https://www.reddit.com/r/"), "subreddit", F.lit("/"), number)))
     return posts.join(pages, "doc_id", "left").withColumn("url", url).drop("_page_url")
