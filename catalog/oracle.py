@@ -552,3 +552,40 @@ SELECT industry AS "Industry", salary_mention_posts AS "Posts w/ Salary", round(
   round(avg_comments, 6) AS "Avg Comments" FROM rolled_salary_stats""", "rolled_salary_stats"),
 }
 ORACLE["presentation_order"] = ORACLE["top_skills"]
+
+AVERAGES = {"topic_analysis": ("avg_score", "avg_comments"), "salary_stats": PAY,
+            "posts_by_industry": ("avg_engagement_score", "avg_comments_count"),
+            "company_mentions": ("avg_score", "avg_engagement")}
+
+
+def filtered(mart: str, where: str = "true") -> str:
+    return chain(rounded(f"(SELECT * FROM rolled_{mart} WHERE {where})", *AVERAGES[mart]), f"rolled_{mart}")
+
+
+def word_labels(kind: str, default: str) -> str:
+    """Labels by whole words, one search per keyword."""
+    column = LABEL_SQL[kind][0]
+
+    def found(keyword: str) -> str:
+        literal = "".join(c if c.isalnum() or c == " " else "\\" + c for c in keyword)
+        return f"regexp_matches(lowered, {lit(rf'(^|[^\pL\pN_]){literal}([^\pL\pN_]|$)')})"
+
+    cases = ", ".join(f"CASE WHEN {' OR '.join(map(found, kws))} THEN {lit(name)} END"
+                      for name, kws in LEX.categories(kind).items())
+    return chain(f"SELECT id, CASE WHEN l = '' THEN {lit(default)} ELSE l END AS {column} "
+                 f"FROM (SELECT id, concat_ws('|', {cases}) AS l FROM text_posts)", "text_posts")
+
+
+ORACLE |= {
+    "read_posts_rejects": f"SELECT url AS record, {lit(Q.DATE)} AS date FROM pages",
+    "flatten_listing_rejects": "SELECT 'links' AS subreddit, url AS payload FROM pages",
+    "filter_topic_mart": filtered("topic_analysis", f"topic IN ({listed(Q.TOPICS)})"),
+    "filter_industry_mart": filtered("posts_by_industry", f"industry IN ({listed(Q.INDUSTRIES)})"),
+    "filter_salary_mart": filtered("salary_stats", f"industry IN ({listed(Q.INDUSTRIES)})"),
+    "order_industries": filtered("posts_by_industry"),
+    "order_companies": filtered("company_mentions"),
+    "order_pay": filtered("salary_stats"),
+    "order_months": ORACLE["monthly_avg_score"],
+    "tag_topics_word": word_labels("topic", "General"),
+    "tag_industries_word": word_labels("industry", "General/Unspecified"),
+}

@@ -121,6 +121,21 @@ def flatten_listing(s, d):
     return ingest.flatten_listing(raw.parse_listings(tables.listing_pages(s, d))).drop("position")
 
 
+def read_posts_rejects(s, d):
+    """Page addresses among the posts of a date are no posts."""
+    path = work_folder(s, "raw")
+    raw.write_posts(_dated_raw(s, d), path)
+    lines = tables.page_addresses(s, d).select(F.col("url").alias("value"), F.lit(DATE).alias("date"))
+    lines.write.mode("append").partitionBy("date").text(path)
+    return raw.read_rejects(s, path)
+
+
+def flatten_listing_rejects(s, d):
+    addresses = tables.page_addresses(s, d).select(F.lit("links").alias("subreddit"), F.col("url").alias("payload"))
+    pages = tables.listing_pages(s, d).unionByName(addresses)
+    return ingest.rejected_pages(raw.parse_listings(pages, keep=True))
+
+
 def dedup_new_posts(s, d):
     new = ingest.dedup_new_posts(tables.post_texts(s, d), tables.known_ids(s, d))
     return new.select("id", "title", "subreddit")
@@ -421,6 +436,49 @@ def filter_by_topics(s, d):
     return serving.filter_by_topics(_rolled(s, d, "sentiment_by_topic"), TOPICS)
 
 
+def filter_topic_mart(s, d):
+    return _rounded(serving.filter_by_topics(_rolled(s, d, "topic_analysis"), TOPICS), "avg_score", "avg_comments")
+
+
+def filter_industry_mart(s, d):
+    kept = serving.filter_by_industries(_rolled(s, d, "posts_by_industry"), INDUSTRIES)
+    return _rounded(kept, "avg_engagement_score", "avg_comments_count")
+
+
+def filter_salary_mart(s, d):
+    kept = serving.filter_by_industries(_rolled(s, d, "salary_stats"), INDUSTRIES)
+    return _rounded(kept, "avg_engagement_score", "avg_comments", "avg_annual_tc")
+
+
+def order_industries(s, d):
+    rolled = _rounded(_rolled(s, d, "posts_by_industry"), "avg_engagement_score", "avg_comments_count")
+    return ranking.presentation_order(rolled, "post_count", "industry")
+
+
+def order_companies(s, d):
+    rolled = _rounded(_rolled(s, d, "company_mentions"), "avg_score", "avg_engagement")
+    return ranking.presentation_order(rolled, "mention_count", "company")
+
+
+def order_pay(s, d):
+    rolled = _rounded(_rolled(s, d, "salary_stats"), "avg_engagement_score", "avg_comments", "avg_annual_tc")
+    return ranking.presentation_order(rolled, "avg_annual_tc", "industry")
+
+
+def order_months(s, d):
+    return ranking.by_columns(monthly_avg_score(s, d), ["year_month"])
+
+
+def tag_topics_word(s, d):
+    labels = pipeline.text_labels(tables.post_texts(s, d), ["topic"], match="word")
+    return _joined(labels.select("id", "topics"), "topics")
+
+
+def tag_industries_word(s, d):
+    labels = pipeline.text_labels(tables.post_texts(s, d), ["industry"], match="word")
+    return _joined(labels.select("id", "industries"), "industries")
+
+
 def filter_by_industries(s, d):
     rolled = serving.filter_by_industries(_rolled(s, d, "topic_by_industry"), INDUSTRIES)
     return _rounded(rolled, "avg_score")
@@ -448,6 +506,8 @@ QUERIES: dict[str, Query] = {
     "read_posts": read_posts,
     "read_posts_of_date": read_posts_of_date,
     "flatten_listing": flatten_listing,
+    "read_posts_rejects": read_posts_rejects,
+    "flatten_listing_rejects": flatten_listing_rejects,
     "dedup_new_posts": dedup_new_posts,
     "dedup_first_listing": dedup_first_listing,
     "update_registry": update_registry,
@@ -552,6 +612,15 @@ QUERIES: dict[str, Query] = {
     "filter_options_skill_industries": filter_options_skill_industries,
     "filter_by_topics": filter_by_topics,
     "filter_by_industries": filter_by_industries,
+    "filter_topic_mart": filter_topic_mart,
+    "filter_industry_mart": filter_industry_mart,
+    "filter_salary_mart": filter_salary_mart,
+    "order_industries": order_industries,
+    "order_companies": order_companies,
+    "order_pay": order_pay,
+    "order_months": order_months,
+    "tag_topics_word": tag_topics_word,
+    "tag_industries_word": tag_industries_word,
     "monthly_avg_score": monthly_avg_score,
     "salary_ranges": salary_ranges,
     "salary_table": salary_table,

@@ -33,12 +33,6 @@ LABEL_COLUMNS = {
 # Label of a text in which no keyword of the kind was found.
 DEFAULTS = {"industry": DEFAULT_INDUSTRY, "topic": DEFAULT_TOPIC}
 
-# Up to this many keywords, one `contains` each is faster than a pattern.
-DIRECT_KEYWORDS = 100
-
-# A pattern holds this many keywords; a larger lexicon takes several patterns.
-KEYWORDS_PER_PATTERN = 2000
-
 # Up to this many branches are simply tried one after the other.
 LINEAR_BRANCHES = 8
 
@@ -122,13 +116,7 @@ def found_keywords(lowered: Column, keywords: Iterable[str], match: str = "subst
     if match not in MATCH_MODES:
         raise ValueError(f"unknown match mode {match!r}")
     ordered = sorted(set(keywords))
-    if match == "substring" and len(ordered) <= DIRECT_KEYWORDS:
-        hits = F.array_compact(F.array(*[
-            F.when(lowered.contains(kw), F.lit(kw)) for kw in ordered]))
-    else:
-        hits = F.array_distinct(F.flatten(F.array(*[
-            F.regexp_extract_all(lowered, F.lit(_pattern(ordered[i:i + KEYWORDS_PER_PATTERN], match)), F.lit(1))
-            for i in range(0, len(ordered), KEYWORDS_PER_PATTERN)])))
+    hits = F.array_distinct(F.regexp_extract_all(lowered, F.lit(_pattern(ordered, match)), F.lit(1)))
     return F.coalesce(hits, F.array().cast(_NO_STRINGS))
 
 

@@ -24,6 +24,14 @@ def flatten_listing(pages: DataFrame) -> DataFrame:
             .select(*passed, "position", *POST_COLUMNS))
 
 
+def rejected_pages(pages: DataFrame) -> DataFrame:
+    """The pages whose payload was no listing, with all columns but the parsed one.
+
+    Together with :func:`flatten_listing` every page is accounted for.
+    """
+    return pages.filter(F.col("data").isNull() | F.col("data.children").isNull()).drop("data")
+
+
 def first_occurrence(rows: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
     """One row per key: the first in the given order.
 
@@ -68,9 +76,10 @@ def update_registry(registry: DataFrame, posts: DataFrame) -> DataFrame:
 
 
 def rank_pages(pages: DataFrame, sources: Sequence[str], listings: Sequence[str]) -> DataFrame:
-    """Add the positions of a page's source and listing in the configured order."""
+    """Add the positions of a page's source and listing in the configured order; others rank last."""
     def rank(column: str, order: Sequence[str]) -> Column:
-        return F.array_position(F.array(*map(F.lit, order)), F.col(column))
+        place = F.array_position(F.array(*map(F.lit, order)), F.col(column))
+        return F.when(place > 0, place).otherwise(F.lit(len(order) + 1).cast("bigint"))
 
     return pages.withColumns({"source_rank": rank("subreddit", sources),
                               "listing_rank": rank("listing", listings)})

@@ -48,42 +48,48 @@ def _missing(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def _headers(spark: SparkSession, folder: str, name: str) -> dict[str, list[str]]:
-    """Distinct CSV header lines, each with the dates that use it.
+def _header_lines(spark: SparkSession, folder: str, base: str, name: str) -> DataFrame:
+    """value, date of the CSV header lines: those whose cells are all column names of the table.
 
-    Runs of different age may have written different columns.  A header is a
-    line with the name of the key column in it, which no data row has.
+    No row of data is one, as every published table has a number in each row.
     """
-    key = next(iter(schemas.fields(schemas.MARTS[name])))
-    lines = spark.read.schema("value string, date string").text(folder)
-    found = (lines.filter(F.array_contains(F.split("value", ","), key))
-             .groupBy("value").agg(F.collect_set("date").alias("dates")))
-    # One row per distinct header and one entry per date.
-    return {row.value: sorted(row.dates) for row in found.collect()}
+    known = F.array(*map(F.lit, schemas.fields(schemas.MARTS[name])))
+    lines = spark.read.schema("value string, date string").option("basePath", base).text(folder)
+    return lines.filter(F.size(F.array_except(F.split("value", ","), known)) == 0)
 
 
-def _read_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """All dates of a CSV table, its columns aligned by name."""
-    folder = f"{path}/{name}"
+def _read_csv(spark: SparkSession, path: str, name: str, date: str | None = None) -> DataFrame:
+    """One date or all dates of a CSV table, its columns aligned by name.
+
+    Runs of different age may have written different columns.  Only the distinct headers
+    come to the driver; the dates of each are matched by a join.
+    """
+    base = f"{path}/{name}"
+    folder = base if date is None else f"{base}/date={date}"
     types = schemas.fields(schemas.MARTS[name])
+    lines = _header_lines(spark, folder, base, name)
+    headers = sorted(row.value for row in lines.select("value").distinct().collect())
     parts = []
-    for header, dates in sorted(_headers(spark, folder, name).items()):
-        columns = header.split(",")
-        ddl = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in columns)
-        part = spark.read.schema(f"{ddl}, date string").option("header", True).csv(folder)
-        parts.append(part.filter(F.col("date").isin(dates)))
+    for header in headers:
+        ddl = ", ".join(f"`{c}` {types[c]}" for c in header.split(","))
+        part = spark.read.schema(f"{ddl}, date string").option("header", True).option("basePath", base).csv(folder)
+        if len(headers) > 1:
+            dates = lines.filter(F.col("value") == header).select("date").distinct()
+            part = part.join(dates, "date", "left_semi").select(*part.columns)
+        parts.append(part)
     if not parts:
         return empty_mart(spark, name)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def load_mart_all_dates(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> DataFrame:
-    """A table over every date, columns aligned by name; empty if absent."""
+def _load(spark: SparkSession, name: str, path: str, fmt: str, date: str | None) -> DataFrame:
     _check(fmt)
     try:
         if fmt == "csv":
-            return _read_csv(spark, path, name)
-        table = spark.read.option("mergeSchema", True).parquet(f"{path}/{name}")
+            return _read_csv(spark, path, name, date)
+        base = f"{path}/{name}"
+        table = (spark.read.option("mergeSchema", True).option("basePath", base)
+                 .parquet(base if date is None else f"{base}/date={date}"))
         return table.withColumn("date", F.col("date").cast("string"))
     except AnalysisException as error:
         if not _missing(error):
@@ -91,9 +97,14 @@ def load_mart_all_dates(spark: SparkSession, name: str, path: str, fmt: str = "c
         return empty_mart(spark, name)
 
 
+def load_mart_all_dates(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> DataFrame:
+    """A table over every date, columns aligned by name; empty if absent."""
+    return _load(spark, name, path, fmt, None)
+
+
 def load_mart(spark: SparkSession, name: str, date: str, path: str, fmt: str = "csv") -> DataFrame:
-    """A table of one date; empty if that date was not published."""
-    return load_mart_all_dates(spark, name, path, fmt).filter(F.col("date") == date)
+    """A table of one date; empty if that date was not published.  Reads that date's folder only."""
+    return _load(spark, name, path, fmt, date)
 
 
 def list_dates(spark: SparkSession, path: str) -> DataFrame:

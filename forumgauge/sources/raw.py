@@ -13,22 +13,33 @@ from forumgauge import schemas
 CORRUPT = "_corrupt_record"
 
 
+def _records(spark: SparkSession, path: str, date: str | None, layout: str) -> DataFrame:
+    if layout not in ("lines", "array"):
+        raise ValueError(f"unknown layout {layout!r}")
+    raw = (spark.read.schema(f"{schemas.POST}, date string, {CORRUPT} string")
+           .option("columnNameOfCorruptRecord", CORRUPT)
+           .option("multiLine", layout == "array").json(path))
+    return raw if date is None else raw.filter(F.col("date") == date)
+
+
 def read_posts(spark: SparkSession, path: str, date: str | None = None, layout: str = "lines") -> DataFrame:
     """Posts of one date, or of all, from ``<path>/date=*/``.
 
     ``layout="lines"`` reads one post, or one array of posts, per line; such
     files are split between tasks.  ``layout="array"`` reads files that hold a
     single JSON array over several lines, each of them by one task.
-    Malformed records are dropped.
+    What is no post is returned by :func:`read_rejects`.
     """
-    if layout not in ("lines", "array"):
-        raise ValueError(f"unknown layout {layout!r}")
-    raw = (spark.read.schema(f"{schemas.POST}, date string, {CORRUPT} string")
-           .option("columnNameOfCorruptRecord", CORRUPT)
-           .option("multiLine", layout == "array").json(path))
-    if date is not None:
-        raw = raw.filter(F.col("date") == date)
-    return raw.filter(F.col("id").isNotNull()).select(*schemas.POST_COLUMNS, "date")
+    return _records(spark, path, date, layout).filter(F.col("id").isNotNull()).select(*schemas.POST_COLUMNS, "date")
+
+
+def read_rejects(spark: SparkSession, path: str, date: str | None = None, layout: str = "lines") -> DataFrame:
+    """record, date of everything under ``path`` that :func:`read_posts` leaves out.
+
+    ``record`` is the text that could not be parsed, or the fields of a post without id.
+    """
+    rest = _records(spark, path, date, layout).filter(F.col("id").isNull())
+    return rest.select(F.coalesce(CORRUPT, F.to_json(F.struct(*schemas.POST_COLUMNS))).alias("record"), "date")
 
 
 def write_posts(posts: DataFrame, path: str, parts: Sequence[str] = ("date",)) -> None:
@@ -40,10 +51,13 @@ def write_posts(posts: DataFrame, path: str, parts: Sequence[str] = ("date",)) -
      .partitionBy(*parts).json(path))
 
 
-def parse_listings(pages: DataFrame, payload: str = "payload") -> DataFrame:
-    """Listing pages with the JSON payload replaced by the parsed ``data``."""
-    parsed = F.from_json(payload, schemas.LISTING)
-    return pages.withColumn("data", parsed["data"]).drop(payload)
+def parse_listings(pages: DataFrame, payload: str = "payload", keep: bool = False) -> DataFrame:
+    """Listing pages with the JSON payload replaced by the parsed ``data``, NULL where it is no listing.
+
+    ``keep`` leaves the payload beside it, for the pages that are rejected.
+    """
+    parsed = pages.withColumn("data", F.from_json(payload, schemas.LISTING)["data"])
+    return parsed if keep else parsed.drop(payload)
 
 
 def read_run(spark: SparkSession, path: str, run: int) -> DataFrame:

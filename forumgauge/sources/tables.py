@@ -140,6 +140,11 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts(spark, sf_dir).select("subreddit", F.to_json(page).alias("payload"))
 
 
+def page_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The addresses of all pages, which are neither posts nor listings."""
+    return _read(spark, sf_dir, "pages").select("url")
+
+
 def known_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A registry: the labelled documents."""
     return _read(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))

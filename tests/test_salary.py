@@ -22,7 +22,9 @@ def found(spark, text):
     ("$120000", [120000.0]), ("120000", []), ("in 2024", []), ("1,000", []), ("2,000 applications", []),
     ("85,000.50", [85000.5]), ("$85,000.50", [85000.5]), ("$45/hr", [93600.0]), ("45 per hour", [93600.0]),
     ("$45.50 an hour", [94640.0]), ("45/h", [93600.0]), ("45/HOUR", [93600.0]), ("45/hundred", []),
-    ("1000/hr", []), (None, []), ("", []), ("no digits", []), ("$95,000 vs $110k", [95000.0, 110000.0]),
+    ("1000/hr", []), ("1,000/hr", []), ("1000.50/hr", []), ("$2,500 per hour", []), ("100km run", []),
+    ("120kb file", []), ("$120.5k", [120500.0]), ("85.5k", [85500.0]), ("120,0000", []), ("401k match", []),
+    ("403b", []), ("$401k", [401000.0]), ("0/hr", []), ("v1.120k", []), ("95,000.", [95000.0]), (None, []), ("", []), ("no digits", []), ("$95,000 vs $110k", [95000.0, 110000.0]),
     ("120K base", [120000.0]), ("2000k", []), ("$1,000,000", [1000000.0]), ("$30,000", [30000.0]),
     ("$29,999", []), ("a120k", []), ("é120k", []), ("US$120k", [120000.0])])
 def test_pay_in_range(spark, text, in_range):
@@ -34,7 +36,7 @@ def test_pay_in_range(spark, text, in_range):
     ("2,000 applications", ["2,000"], [2000.0]),
     ("1,000 applications", [], []),
     ("$1,000 stipend", ["1,000"], []),
-    ("$45/hr", ["45h"], [93600.0])])
+    ("$45/hr", ["45h"], [93600.0]), ("1,000.50/hr", ["1,000.50h"], [2081040.0]), ("0/hr", ["0h"], [])])
 def test_raw_mentions_and_pay(spark, text, mentions, pays):
     got = found(spark, text)
     assert (got[0], got[1]) == (mentions, pays)
