@@ -24,7 +24,7 @@ def components(links: DataFrame, work: Work, name: str, a: str = "a", b: str = "
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u > v").distinct())
+                 .where("u > v"))
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(small, "u")
         edges = work.keep(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")

@@ -7,12 +7,11 @@ on whole texts; ``chunks`` only decides how many rows are handled at a time.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -34,11 +33,17 @@ _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[ord("A"):ord("Z") + 1] = _BYTE[ord("a"):ord("z") + 1]
 
 
-@cache
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = (np.full(1 << bits, x, dtype=np.uint64) for x in (_BASE, _BASE_INVERSE))
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(count: int) -> list[np.ndarray]:
+    """The base's powers and their inverses, ``count`` of them at least; kept for the next call."""
+    if len(_POWERS[0]) < count:
+        for i, x in enumerate((_BASE, _BASE_INVERSE)):
+            table = np.full(count + count // 4, x, dtype=np.uint64)
+            table[0] = 1
+            _POWERS[i] = np.cumprod(table)
+    return _POWERS
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -85,7 +90,7 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     """A 64-bit hash of each range of 64-bit values, the same wherever the range lies."""
     if not len(starts):
         return np.empty(0, np.uint64)
-    up, down = _powers(max(16, int(len(values)).bit_length()))
+    up, down = _powers(len(values) + 1)
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[:len(values)], out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
