@@ -219,7 +219,7 @@ def cluster(bigrams: DataFrame, units: Units, classes: int, passes: int) -> tupl
 
         def move(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             grid, assigned = shared.value
-            unit, sides, out = None, None, []
+            unit, sides, out = None, np.zeros((3, len(grid))), []
             rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
             for row in (*rows, (None, 0, 0, 0)):
                 if row[0] != unit:
