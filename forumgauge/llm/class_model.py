@@ -171,7 +171,7 @@ def best_class(grid: np.ndarray, own: int, after: np.ndarray, before: np.ndarray
     gain = (_phi(left + after[None, :]) - _phi(left)).sum(1) + (_phi(left + before[:, None]) - _phi(left)).sum(0)
     corner = np.diag(left)
     gain += (_phi(corner + after + before + self_pairs) - _phi(corner + after) - _phi(corner + before) + _phi(corner))
-    rows, columns = left.sum(1), left.sum(0)
+    rows, columns = left.sum(1) + before, left.sum(0) + after  # wherever the unit goes, its neighbours meet it
     gain -= _phi(rows + total) - _phi(rows) + _phi(columns + total_before) - _phi(columns)
     return int(gain.argmax())
 
