@@ -239,7 +239,8 @@ def _counted(shards: DataFrame) -> DataFrame:
                     [*(pa.array(x.astype(np.int64)) for x in prints), *(pa.array(np.full(len(at), x)) for x in own),
                      pa.array(at.astype(np.int32))], names=schema.names)
 
-    windows = map_batches(shards.select("anchor", "content", "doc", "codes"), run, schema)
+    dealt = shards.select("anchor", "content", "doc", "codes").repartition("anchor", "content")
+    windows = map_batches(dealt, run, schema)
     first = windows.groupBy("f", "g").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     return windows.join(first, ["f", "g"]).where("doc > first").select(*RUN.names[:4], F.lit(1).cast("int").alias("windows"))
 
@@ -248,7 +249,8 @@ def repeated(documents: DataFrame, work: Work, text: str = "text", key: str = "d
     """doc, spans: the word spans [start, end) to remove, one row per document that has any."""
     table = documents.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text")).where("doc is not null")
     every = work.keep(segments(table), "segments")
-    often = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # kept first, so that the join below is a plain one, whose large partitions Spark splits
+    often = work.keep(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "often")
     shared = work.keep(every.join(often, "anchor", "left_semi"), "shared")
     work.drop("segments")
     firsts = work.keep(
@@ -257,7 +259,7 @@ def repeated(documents: DataFrame, work: Work, text: str = "text", key: str = "d
         .select("anchor", "content", "first.*", "last"), "firsts")
     copied = firsts.where("last > doc").select("anchor", "content", F.col("doc").alias("first"))
     later = shared.join(copied, ["anchor", "content"]).where("doc > first").select("doc", "start", "windows")
-    several = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    several = work.keep(firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "several")
     shards = work.keep(_with_words(firsts.join(several, "anchor"), table).join(several, "anchor"), "shards")
     partly = _matched(shards.where(F.col("n") <= SHARD)).unionByName(_counted(shards.where(F.col("n") > SHARD)))
     # a segment may occur more than once in its first document
