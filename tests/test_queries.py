@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from catalog.queries import QUERIES as CATALOG
 from checks.compare import connect, difference, spark_rows, sql_rows
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+ORACLE = {name: sql for name, sql in entry.oracle_sql().items() if name in CATALOG}
+QUERIES = {name: query for name, query in entry.queries().items() if name in CATALOG}
 
 
 @pytest.fixture(scope="module")
