@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumgauge.llm import bpe, class_model, classifier, grid_join, main_text, mixing, near_duplicates, quality_rules, repeats, secrets
+from forumgauge.llm.sql import LLM_ORACLE
 from forumgauge.llm.tables import Work, read
 
+__all__ = ["LLM_ORACLE", "LLM_QUERIES", "tokenizer_path"]
+
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -97,5 +100,3 @@ LLM_QUERIES = {
     "op9_grid_join": op9_grid_join,
     "op10_main_text": op10_main_text,
 }
-
-LLM_ORACLE: dict[str, str] = {}
