@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forumgauge import schemas
 from forumgauge.functions.labels import LABEL_COLUMNS
 from forumgauge.functions.salary import bounded_pay
 from forumgauge.operators import enrich, features, ingest, marts, ranking, rollups, salary, serving
@@ -188,7 +189,8 @@ def publish_all(s, d):
 
 
 def mart_health(s, d):
-    return pipeline.mart_health(pipeline.dashboard_tables(s, _published(s, d)))
+    path = _published(s, d)
+    return pipeline.mart_health({name: mart_files.load_mart_all_dates(s, name, path) for name in schemas.MARTS})
 
 
 def list_dates(s, d):

@@ -74,10 +74,15 @@ def rollup_temporal(table: DataFrame, avg_mode: str = MEAN_OF_MEANS) -> DataFram
 
 
 def densify_temporal(temporal: DataFrame) -> DataFrame:
-    """Every month with every sentiment; absent counts 0, absent averages NULL."""
-    grid = (temporal.select("year_month").distinct()
-            .select("year_month", F.explode(F.array(*map(F.lit, SENTIMENTS))).alias("sentiment")))
-    return grid.join(temporal, ["year_month", "sentiment"], "left").fillna(0, ["post_count"])
+    """Every month with every sentiment; absent counts 0, absent averages NULL.
+
+    One aggregate per month holds its sentiments side by side, so that the table is read once.
+    """
+    measures = ("post_count", "avg_score", "avg_comments")
+    sides = [F.any_value(F.when(F.col("sentiment") == s, F.struct(*measures)), F.lit(True)).alias(s) for s in SENTIMENTS]
+    rows = [F.struct(F.lit(s).alias("sentiment"), F.coalesce(F.col(s)["post_count"], F.lit(0)).alias("post_count"),
+                     *(F.col(s)[m].alias(m) for m in measures[1:])) for s in SENTIMENTS]
+    return temporal.groupBy("year_month").agg(*sides).select("year_month", F.inline(F.array(*rows)))
 
 
 def rollup_company(table: DataFrame, avg_mode: str = MEAN_OF_MEANS) -> DataFrame:
