@@ -49,6 +49,8 @@ NAMES = frozenset(
     "comment comments commentlist disqus reply replies respond login search form toolbar pagination pager skip "
     "copyright".split())
 NEVER_NAMED = frozenset(["html", "body", "main"])
+# What an article element's own class or id has to say for it to be no article.
+NO_ARTICLE = frozenset("ad ads advert advertisement sponsored promo comment comments reply replies widget related".split())
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 
 _TOKEN = re.compile(
@@ -67,7 +69,9 @@ def _unwanted(tag: str, attributes: str) -> tuple[bool, bool]:
         return header, header
     found = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
     names = {x.lower() for k in ("class", "id") for x in _NAME.findall(html.unescape(found.get(k, "")))}
-    header = header or bool(names & HEADER) or "header" in names
+    if tag == "article":
+        names &= NO_ARTICLE
+    header = header or (bool(names & HEADER) and tag not in HEADINGS)
     role = found.get("role", "").lower()
     hidden = "hidden" in found or re.search(r"display\s*:\s*none", found.get("style", ""), re.I)
     return bool(header or names & NAMES or role in ROLES or hidden), header

@@ -30,12 +30,14 @@ class Work:
     """A folder of intermediate tables for one run of an operator.
 
     Each table is written as Parquet and read back, which cuts its lineage with
-    files that every executor can read.
+    files that every executor can read.  The folder goes when the application ends.
     """
 
     def __init__(self, spark: SparkSession, purpose: str):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/llm/{purpose}-{uuid.uuid4().hex[:12]}"
+        folder = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
 
     def keep(self, table: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"

@@ -277,6 +277,7 @@ def test_classifier_learns_and_keeps_clean_documents(spark, work):
      "A & B\none two\n3"),
     ("<div id=content><p>" + "long words " * 9 + "</p><p>Be.</p></div><div class=comments><p>" + "bla " * 40 + "</div>",
      ("long words " * 9).strip() + "\nBe."),
+    ("<article class='long-form'><h2 class='header'>h</h2><p>x</p></article><article class=comment>c</article>", "h\nx"),
     ("<main><p>x</p><form>y</form><aside>z</aside></main><p>outside " + "q " * 50, "x")])
 def test_main_text(page, text):
     assert main_text.extract(page or "") == text
