@@ -1,9 +1,9 @@
 """Brown class-based bigram language model.
 
-Words are runs of characters other than the space and 0x09-0x0D, A-Z in lower case;
-every text ends in one end token.  A word whose share of all training tokens reaches
-``CLUSTER_SHARE`` is a unit of its own, of which there are at most 1/``CLUSTER_SHARE``; the others
-form units by their last two bytes.  Exchange clustering assigns the units to ``CLASSES``
+Words are runs of characters other than the space and 0x09-0x0D, A-Z in lower case, and go
+by 63-bit hashes; every text ends in one end token.  A word that training texts hold
+``LEAST`` times is a unit of its own, whatever the corpus's size; rarer and unseen words form units by
+their last two bytes.  Exchange clustering assigns the units to ``CLASSES``
 classes: in each pass every unit's best class is found from the corpus's unit bigrams,
 and a share of the units move: half, and half as many again after a pass that did not
 raise the mutual information of adjacent classes.  The best pass's assignment is kept.
@@ -13,9 +13,10 @@ unit within the class, times that of the word within its unit, each smoothed: cl
 their overall share, words by half a count and one unknown word per unit.  The base
 score is the unigram score with half a count.
 
-Counts cover all training texts.  Words whose share reaches ``LEXICON_SHARE`` (at most
-1/``LEXICON_SHARE``) travel to the tasks with their counts; the rest are counted and
-looked up by a join, each document sending its distinct rare words once.
+Counts cover all training texts.  Units and their classes are tables that meet the unit
+bigrams in joins; the driver holds the class bigrams.  The most frequent words, ``LEXICON``
+at most, travel to the tasks with counts and classes; the others are looked up by joins, as
+no word among them is frequent.
 
 Cases: a null or empty text is the end token alone; rows with one key, and those with a
 null key, are scored as one document, whose counts and scores are their sums; a null key is
@@ -25,7 +26,6 @@ N and V zero.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,111 +39,172 @@ from forumgauge.llm.tables import Work, map_batches
 
 CLASSES = 48
 PASSES = 5
-CLUSTER_SHARE = 1e-4
-LEXICON_SHARE = 1e-6
+LEAST = 5
+LEXICON = 500_000
 CLASS_PRIOR = 5.0
-END = b""
-FLUSH = 400_000
+END, OTHER, WORDS, HASHES = 0, (1 << 17) - 1, 1 << 17, 1 << 32  # ids: end token, endings, unseen ones, known and all words
+HELD = 2_000_000
 
 
-def tokens(column: pa.Array) -> Iterator[list[bytes]]:
-    """The words of each text, without the end token."""
-    data, offsets = words.buffers(column)
-    for a, b in zip(offsets[:-1], offsets[1:]):
-        yield data[a:b].tobytes().lower().split()
+def tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For runs of rows [first, last): ids and endings of all tokens in a row, and each row's number of tokens.
+
+    Every text ends in one end token.
+    """
+    for first, last, data, offsets in words.chunks(column):
+        starts, ends, row = words.spans(data, offsets)
+        code = (words.hashes(data, starts, ends, lower=True) >> np.uint64(1)).astype(np.int64)
+        low = data.astype(np.int64)
+        low[(low >= ord("A")) & (low <= ord("Z"))] += 32
+        tail = low[ends - 1]
+        ending = 1 + np.where(ends - starts > 1, low[np.maximum(ends - 2, 0)] << 8 | tail, (1 << 16) + tail)
+        bounds = words.row_bounds(row, last - first)
+        yield (first, last, np.insert(np.maximum(code, HASHES), bounds[1:], END), np.insert(ending, bounds[1:], END),
+               np.diff(bounds) + 1)
 
 
 def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """word, n over all texts; the end token is the empty word."""
-    schema = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
+def _longs(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.LongType()) for name in names])
 
-    def batch_of(counter: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counter), pa.binary()), pa.array(list(counter.values()), pa.int64())],
-                                          names=schema.names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter: Counter = Counter()
-        for batch in batches:
-            for text in tokens(batch.column(0)):
-                counter.update(text)
-                counter[END] += 1
-                if len(counter) > FLUSH:
-                    yield batch_of(counter)
-                    counter.clear()
-        yield batch_of(counter)
+def _batch(schema: T.StructType, *columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=schema.names)
 
-    return map_batches(texts, run, schema).groupBy("word").agg(F.sum("n").alias("n"))
 
+def _tallied(batches: Iterator[tuple[np.ndarray, np.ndarray]], schema: T.StructType) -> Iterator[pa.RecordBatch]:
+    """Distinct pairs of numbers and how often each comes, ``HELD`` at a time."""
+    pending, held = [], 0
+
+    def flush() -> pa.RecordBatch:
+        a, b = (np.concatenate([p[i] for p in pending]) if pending else np.empty(0, np.int64) for i in (0, 1))
+        order, starts = _runs(a, b)
+        return _batch(schema, a[order[starts]], b[order[starts]], np.diff(np.append(starts, len(a))))
+
+    for pair in batches:
+        pending.append(pair)
+        held += len(pair[0])
+        if held > HELD:
+            yield flush()
+            pending, held = [], 0
+    yield flush()
+
+
+def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal rows together, and where each run of equal rows begins."""
+    code = np.zeros(len(columns[0]), np.uint64)
+    for column in columns:
+        code = words.mix(code + column.astype(np.uint64) + words.GRAM_BASE)
+    order = np.argsort(code)
+    code = code[order]
+    return order, np.flatnonzero(np.concatenate([np.ones(min(1, len(code)), bool), code[1:] != code[:-1]]))
 
-class Units:
-    """The bounded part of the vocabulary: frequent words, and the units of all others by ending."""
-
-    def __init__(self, frequent: pa.Table, endings: pa.Table, total: int, vocabulary: int):
-        names, counts = frequent["word"].to_pylist(), frequent["n"].to_pylist()
-        self.total, self.vocabulary = total, vocabulary
-        heads = [(w, n) for w, n in zip(names, counts) if w == END or n >= CLUSTER_SHARE * total]
-        if END not in dict(heads):
-            heads.append((END, 0))
-        self.unit = {w: i for i, (w, _) in enumerate(sorted(heads))}
-        self.end = self.unit[END]
-        first = len(self.unit)
-        self.ending = {w: first + i for i, w in enumerate(endings["ending"].to_pylist())}
-        self.other = first + len(self.ending)  # endings that training has not seen
-        self.count = np.zeros(self.other + 1)
-        self.types = np.ones(self.other + 1)
-        for w, n in heads:
-            self.count[self.unit[w]] = n
-        for w, n, v in zip(*(endings[c].to_pylist() for c in ("ending", "n", "types"))):
-            self.count[self.ending[w]], self.types[self.ending[w]] = n, v
-        self.types[self.other] = 0
-        self.lexicon = dict(zip(names, counts))
-
-    def of(self, word: bytes) -> int:
-        found = self.unit.get(word)
-        return self.ending.get(word[-2:], self.other) if found is None else found
-
-
-def unit_bigrams(texts: DataFrame, units) -> DataFrame:
-    """pair (first * size + second), n: adjacent units of all texts, with an end before each text."""
-    schema = T.StructType([T.StructField("pair", T.LongType()), T.StructField("n", T.LongType())])
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """word (its id), ending, n over all texts."""
+    schema = _longs("word", "ending", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = units.value
-        size, of = table.other + 1, _Known(table.of)
-        pending, held = [], 0
+        yield from _tallied(((code, ending) for batch in batches for _, _, code, ending, _ in tokens(batch.column(0))), schema)
 
-        def flush() -> pa.RecordBatch:
-            pairs, counts = np.unique(np.concatenate(pending) if pending else np.empty(0, np.int64), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts.astype(np.int64))], names=schema.names)
+    return map_batches(texts, run, schema).groupBy("word", "ending").agg(F.sum("n").alias("n"))
 
-        for batch in batches:
-            for text in tokens(batch.column(0)):
-                ids = np.array([table.end, *map(of.__getitem__, text), table.end], np.int64)
-                pending.append(ids[:-1] * size + ids[1:])
-                held += len(ids)
-                if held > 4_000_000:
-                    yield flush()
-                    pending, held = [], 0
-        yield flush()
 
-    return map_batches(texts, run, schema).groupBy("pair").agg(F.sum("n").alias("n"))
+class Lexicon:
+    """The words that tasks know, with a value each."""
+
+    def __init__(self, ids: np.ndarray, **values: np.ndarray):
+        order = np.argsort(ids)
+        self.ids = ids[order]
+        self.values = {name: value[order] for name, value in values.items()}
+
+    def find(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word is, and whether it is there."""
+        at = np.minimum(np.searchsorted(self.ids, code), len(self.ids) - 1)
+        return at, self.ids[at] == code
 
 
-class _Known(dict):
-    """Remembers what a function of words gave, up to ``FLUSH`` words."""
+class Units:
+    """The table of units (unit, n, types), and of each word that has one (word, n, unit).
 
-    def __init__(self, function):
-        self.function = function
+    ``known`` are the words that travel to the tasks, at most ``LEXICON`` and the end token, ``rare`` all others;
+    ``complete`` says that no rare word is a unit of its own.  Ids of units below ``HASHES``, endings and
+    known words, are bounded in number; those of known words follow their frequency.
+    """
 
-    def __missing__(self, word: bytes):
-        if len(self) >= FLUSH:
-            self.clear()
-        value = self[word] = self.function(word)
-        return value
+    def __init__(self, counts: DataFrame, work: Work):
+        spark = counts.sparkSession
+        total, self.vocabulary = counts.agg(F.sum("n"), F.count("*")).first()
+        self.total = total or 0
+        level = F.floor(F.log2("n") * 4)
+        cut, held = 1 << 10, 0
+        for row in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+            held += row["count"]
+            if held > LEXICON:
+                break
+            cut = row["level"]
+        listed = (F.col("word") == END) | (level >= cut)
+        found = counts.where(listed).toArrow()
+        word, ending, n = (found[c].to_numpy() for c in ("word", "ending", "n"))
+        if END not in word:
+            word, ending, n = (np.append(x, 0) for x in (word, ending, n))
+        order = np.lexsort((word, -n))
+        word, ending, n = word[order], ending[order], n[order]
+        unit = np.where(word == END, END, np.where(n >= LEAST, WORDS + np.arange(len(word)), ending))
+        self.lexicon = Lexicon(word, unit=unit)
+        self.known = work.keep(spark.createDataFrame(pa.table({"word": word, "n": n, "unit": unit})), "known")
+        own = F.col("n") >= LEAST
+        self.rare = counts.where(~listed).select("word", "n", F.when(own, F.col("word")).otherwise(F.col("ending")).alias("unit"))
+        self.complete = not self.rare.where(own).take(1)
+        of = self.known.unionByName(self.rare)
+        alone = (F.col("unit") == END) | (F.col("unit") >= WORDS)
+        endings = of.where(~alone).groupBy("unit").agg(F.sum("n").alias("n"), F.count("*").alias("types"))
+        table = (of.where(alone).select("unit", "n", F.lit(1).cast("bigint").alias("types")).unionByName(endings)
+                 .unionByName(spark.createDataFrame([(OTHER, 0, 0)], _longs("unit", "n", "types"))))
+        self.table = work.keep(table, "units")
+
+
+def _spread(*columns: str) -> Column:
+    """A key that meets no unit or word, and differs from row to row."""
+    return -1 - F.pmod(F.xxhash64(*columns), F.lit(1 << 50))
+
+
+def unit_bigrams(texts: DataFrame, units: Units, work: Work) -> DataFrame:
+    """u, v, n: adjacent units of all texts, with an end before each text.
+
+    Tasks know the units of frequent words, and of all others if these have none of their own;
+    otherwise the others are negative until they get theirs by a join.
+    """
+    complete = units.complete
+    shared = texts.sparkSession.sparkContext.broadcast(units.lexicon)
+    schema = _longs("u", "v", "n")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = shared.value
+
+        def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for batch in batches:
+                for _, _, code, ending, _ in tokens(batch.column(0)):
+                    at, known = lexicon.find(code)
+                    line = np.append(END, np.where(known, lexicon.values["unit"][at], ending if complete else -code))
+                    yield line[:-1], line[1:]
+
+        yield from _tallied(pairs(), schema)
+
+    pairs = map_batches(texts, run, schema)
+    if not complete:
+        pairs = work.keep(pairs, "pairs")
+        rest = pairs.where("u < 0 or v < 0")
+        for x in "uv":
+            rare = units.rare.select(F.col("word").alias("_word"), F.col("unit").alias("_unit"))
+            key = F.when(F.col(x) < 0, -F.col(x)).otherwise(_spread("u", "v"))
+            rest = (rest.withColumn("_key", key).join(rare, F.col("_key") == F.col("_word"), "left")
+                    .withColumn(x, F.coalesce("_unit", x)).select("u", "v", "n"))
+        pairs = pairs.where("u >= 0 and v >= 0").unionByName(rest)
+    return pairs.groupBy("u", "v").agg(F.sum("n").alias("n"))
 
 
 def _phi(x: np.ndarray) -> np.ndarray:
@@ -156,180 +217,254 @@ def information(grid: np.ndarray) -> float:
 
 
 def best_class(grid: np.ndarray, own: int, after: np.ndarray, before: np.ndarray, self_pairs: float) -> int:
-    """The class to which a unit fits best.
+    """The class to which a unit fits best, see ``best_classes``."""
+    return int(best_classes(grid, np.array([own]), after[None, :], before[None, :], np.array([float(self_pairs)]))[0])
 
-    ``after`` and ``before`` count the classes that follow and precede the unit, itself
-    left out.  The unit is taken out of its class and tried in each.
+
+def best_classes(grid: np.ndarray, own: np.ndarray, after: np.ndarray, before: np.ndarray, self_pairs: np.ndarray) -> np.ndarray:
+    """The class to which each unit fits best.
+
+    ``after`` and ``before`` count the classes that follow and precede the units, themselves
+    left out.  Each unit is taken out of its class and tried in each, the others staying
+    where they are.  Only classes that a unit has for neighbours change its sums.
     """
-    left = grid.copy()
-    left[own] -= after
-    left[:, own] -= before
-    left[own, own] -= self_pairs
-    left = np.maximum(left, 0)
-    total = after.sum() + self_pairs
-    total_before = before.sum() + self_pairs
-    gain = (_phi(left + after[None, :]) - _phi(left)).sum(1) + (_phi(left + before[:, None]) - _phi(left)).sum(0)
-    corner = np.diag(left)
+    units, classes = np.arange(len(own)), np.arange(len(grid))
+    gain = np.zeros((len(own), len(grid)))
+    for table, mine, theirs in ((grid.T, after, before), (grid, before, after)):
+        unit, d = np.nonzero(mine)
+        left, step = table[d], mine[unit, d]  # over classes c: what meets d there without the unit
+        left[np.arange(len(unit)), own[unit]] -= step
+        same = d == own[unit]
+        left[same] -= theirs[unit[same]]
+        left[same, own[unit[same]]] -= self_pairs[unit[same]]
+        left = np.maximum(left, 0)
+        moved, first = np.unique(unit, return_index=True)
+        if len(moved):
+            gain[moved] += np.add.reduceat(_phi(left + step[:, None]) - _phi(left), first, axis=0)
+    corner = np.broadcast_to(np.diag(grid), gain.shape).copy()
+    corner[units, own] -= after[units, own] + before[units, own] + self_pairs
+    corner, self_pairs = np.maximum(corner, 0), self_pairs[:, None]
     gain += (_phi(corner + after + before + self_pairs) - _phi(corner + after) - _phi(corner + before) + _phi(corner))
-    rows, columns = left.sum(1) + before, left.sum(0) + after  # wherever the unit goes, its neighbours meet it
-    gain -= _phi(rows + total) - _phi(rows) + _phi(columns + total_before) - _phi(columns)
-    return int(gain.argmax())
+    here = classes[None, :] == own[:, None]  # wherever the unit goes, its neighbours meet it
+    for margin, side in ((grid.sum(1), after), (grid.sum(0), before)):
+        total = side.sum(1, keepdims=True) + self_pairs
+        rest = np.maximum(margin[None, :] - here * total, 0)
+        gain -= _phi(rest + total) - _phi(rest)
+    return gain.argmax(1)
+
+
+def _start(units: Units, classes: int) -> DataFrame:
+    """unit, c: known words by rank, the others by hash."""
+    known = (F.col("unit") >= WORDS) & (F.col("unit") < HASHES)
+    return units.table.select("unit", F.when(known, F.col("unit") - WORDS).otherwise(
+        F.pmod(F.xxhash64("unit"), F.lit(classes))).alias("c")).withColumn("c", F.col("c") % classes)
+
+
+def _classed(pairs: DataFrame, assigned: DataFrame, complete: bool) -> DataFrame:
+    """Pairs u, v, n with the classes cu, cv: known units travel to the pairs, the others meet them by a join."""
+    known = assigned.where(F.col("unit") < HASHES)
+    for x in "uv":
+        pairs = pairs.join(F.broadcast(known.select(F.col("unit").alias(x), F.col("c").alias(f"c{x}"))), x, "left")
+    if complete:
+        return pairs
+    rest, rare = pairs.where("cu is null or cv is null"), assigned.where(F.col("unit") >= HASHES)
+    for x in "uv":
+        side = rare.select(F.col("unit").alias("_unit"), F.col("c").alias("_c"))
+        key = F.when(F.col(f"c{x}").isNull(), F.col(x)).otherwise(_spread("u", "v"))
+        rest = (rest.withColumn("_key", key).join(side, F.col("_key") == F.col("_unit"), "left")
+                .withColumn(f"c{x}", F.coalesce(f"c{x}", "_c")).drop("_key", "_unit", "_c"))
+    return pairs.where("cu is not null and cv is not null").unionByName(rest)
+
+
+def _moves(around: DataFrame, grid: np.ndarray) -> DataFrame:
+    """unit, to: the best class of each unit, from its rows unit, own, side, c, n."""
+    shared = around.sparkSession.sparkContext.broadcast(grid)
+    schema = _longs("unit", "to")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grid = shared.value
 
-def cluster(bigrams: DataFrame, units: Units, classes: int, passes: int) -> tuple[np.ndarray, np.ndarray]:
-    """The class of each unit, and how often classes follow each other.
+        def moved(rows: np.ndarray) -> pa.RecordBatch:
+            unit, first, at = np.unique(rows[0], return_index=True, return_inverse=True)
+            sides = np.zeros((3, len(unit), len(grid)))
+            np.add.at(sides, (rows[2], at, rows[3]), rows[4])
+            own = rows[1][first]
+            to = best_classes(grid, own, sides[0], sides[1], sides[2].sum(1)) if len(unit) else own
+            return _batch(schema, unit, to)
 
-    The driver holds a class for each unit and the class bigrams, both of bounded size;
-    the units' neighbours are counted and their best classes found by the tasks.
-    """
-    spark = bigrams.sparkSession
-    size = units.other + 1
-    order = np.argsort(-units.count, kind="stable")
-    assigned = np.empty(size, np.int64)
-    assigned[order] = np.arange(size) % classes
-    pairs = bigrams.select(F.floor(F.col("pair") / size).alias("u"), (F.col("pair") % size).alias("v"), "n")
-
-    def counted(assigned: np.ndarray) -> tuple[DataFrame, np.ndarray]:
-        of = spark.createDataFrame(pa.table({"unit": np.arange(size), "c": assigned}))
-        named = (pairs.join(F.broadcast(of.select(F.col("unit").alias("u"), F.col("c").alias("cu"))), "u")
-                 .join(F.broadcast(of.select(F.col("unit").alias("v"), F.col("c").alias("cv"))), "v"))
-        grid = np.zeros((classes, classes))
-        for row in named.groupBy("cu", "cv").agg(F.sum("n").alias("n")).collect():
-            grid[row["cu"], row["cv"]] = row["n"]
-        return named, grid
+        pending = [np.empty((5, 0), np.int64)]
+        for batch in batches:
+            pending.append(np.array([c.to_numpy() for c in batch.columns], np.int64).reshape(5, -1))
+            if sum(p.shape[1] for p in pending) > 20_000:
+                rows = np.concatenate(pending, 1)
+                whole = int(np.flatnonzero(rows[0] == rows[0][-1])[0])  # the last unit may go on
+                yield moved(rows[:, :whole])
+                pending = [rows[:, whole:]]
+        yield moved(np.concatenate(pending, 1))
+
+    rows = around.select("unit", "own", "side", "c", "n").repartition("unit").sortWithinPartitions("unit")
+    return map_batches(rows, run, schema)
+
+
+def cluster(bigrams: DataFrame, units: Units, classes: int, passes: int, work: Work) -> tuple[DataFrame, np.ndarray]:
+    """The table unit, c, and how often classes follow each other.
 
+    The driver holds the class bigrams; units and their classes stay tables.
+    """
+    assigned = work.keep(_start(units, classes), "assigned-0")
+    meets = lambda unit, own, side, c: F.struct(
+        F.col(unit).alias("unit"), F.col(own).alias("own"), F.lit(side).cast("bigint").alias("side"), F.col(c).alias("c"))
+    sides = F.when(F.col("u") == F.col("v"), F.array(meets("u", "cu", 2, "cu"))).otherwise(
+        F.array(meets("u", "cu", 0, "cv"), meets("v", "cv", 1, "cu")))
     most, stride, best = -np.inf, 2, None
     for number in range(passes + 1):
-        named, grid = counted(assigned)
+        grid = np.zeros((classes, classes))
+        for row in _classed(bigrams, assigned, units.complete).groupBy("cu", "cv").agg(F.sum("n").alias("n")).collect():
+            grid[row["cu"], row["cv"]] = row["n"]
         now = information(grid)
         if now > most:
-            best, most = (assigned, named, grid), now
+            best, most = (assigned, grid), now
         else:
             stride *= 2  # too many units moved at once
         if number == passes:
             break
-        assigned, named, grid = best
-        around = (named.where("u <> v").select(F.col("u").alias("unit"), F.lit(0).alias("side"), F.col("cv").alias("c"), "n")
-                  .unionByName(named.where("u <> v").select(F.col("v").alias("unit"), F.lit(1).alias("side"), F.col("cu").alias("c"), "n"))
-                  .unionByName(named.where("u = v").select(F.col("u").alias("unit"), F.lit(2).alias("side"), F.col("cu").alias("c"), "n"))
+        assigned, grid = best
+        around = (_classed(bigrams, assigned, units.complete).select(F.explode(sides).alias("at"), "n").select("at.*", "n")
                   .where(F.pmod(F.xxhash64("unit", F.lit(number)), F.lit(stride)) == 0)
-                  .groupBy("unit", "side", "c").agg(F.sum("n").alias("n")))
-        shared = spark.sparkContext.broadcast((grid, assigned))
-        schema = T.StructType([T.StructField("unit", T.LongType()), T.StructField("c", T.LongType())])
-
-        def move(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            grid, assigned = shared.value
-            unit, sides, out = None, np.zeros((3, len(grid))), []
-            rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
-            for row in (*rows, (None, 0, 0, 0)):
-                if row[0] != unit:
-                    if unit is not None:
-                        out.append((unit, best_class(grid, int(assigned[unit]), sides[0], sides[1], sides[2].sum())))
-                    unit, sides = row[0], np.zeros((3, len(grid)))
-                sides[row[1], row[2]] += row[3]
-            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in out], pa.int64()),
-                                              pa.array([c for _, c in out], pa.int64())], names=schema.names)
-
-        moved = map_batches(around.repartition("unit").sortWithinPartitions("unit"), move, schema).toArrow()
-        assigned = assigned.copy()
-        assigned[moved["unit"].to_numpy()] = moved["c"].to_numpy()
-    return best[0], best[2]
+                  .groupBy("unit", "own", "side", "c").agg(F.sum("n").alias("n")))
+        moved = _moves(around, grid)
+        assigned = work.keep(assigned.join(moved, "unit", "left").select("unit", F.coalesce("to", "c").alias("c")),
+                             f"assigned-{number + 1}")
+        del around, moved
+        bigrams.sparkSession._jvm.System.gc()  # lets Spark delete the shuffles of the pass
+    return best
 
 
 class Model:
-    """Log10 probabilities by class and unit; what a task needs besides the rare words' counts."""
+    """Log10 probabilities by class and unit.
+
+    ``known`` and the endings' arrays go to the tasks; the other words are in the table ``rare``.
+    """
 
-    def __init__(self, units: Units, assigned: np.ndarray, grid: np.ndarray):
-        self.units, self.assigned = units, assigned
-        weight = units.count + 0.5
-        in_class = np.bincount(assigned, weight, len(grid))
-        self.unit_given_class = np.log10(weight / in_class[assigned])
+    def __init__(self, units: Units, assigned: DataFrame, grid: np.ndarray, work: Work):
+        self.units = units
         overall = (grid.sum(0) + 0.5) / (grid.sum() + 0.5 * len(grid))
         self.step = np.log10((grid + CLASS_PRIOR * overall) / (grid.sum(1, keepdims=True) + CLASS_PRIOR))
-        self.spread = units.count + 0.5 * (units.types + 1)
         self.base = units.total + 0.5 * (units.vocabulary + 1)
-
-    def word(self, unit: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """Of words in their units; a unit that is one word has nothing to spread."""
-        alone = (unit < len(self.units.unit)) & (count > 0)
-        return np.where(alone, 0.0, np.log10((count + 0.5) / self.spread[unit]))
-
-    def unigram(self, count: np.ndarray) -> np.ndarray:
-        return np.log10((count + 0.5) / self.base)
+        weighed = units.table.join(assigned.select("unit", "c"), "unit").withColumn("weight", F.col("n") + 0.5)
+        in_class = weighed.groupBy("c").agg(F.sum("weight").alias("in_class"))
+        self.table = work.keep(weighed.join(F.broadcast(in_class), "c").select(
+            "unit", "c", F.log10(F.col("weight") / F.col("in_class")).alias("share"),
+            (F.col("n") + 0.5 * (F.col("types") + 1)).alias("spread")), "model")
+        known = self._valued(units.known).toArrow()
+        self.known = Lexicon(known["word"].to_numpy(), n=known["n"].to_numpy(), c=known["c"].to_numpy(),
+                             own=known["own"].to_numpy())
+        ending = self.table.where((F.col("unit") > END) & (F.col("unit") < WORDS)).toArrow()
+        at, other = ending["unit"].to_numpy(), ending["unit"].to_numpy() == OTHER
+        value = ending["share"].to_numpy() + np.log10(0.5 / ending["spread"].to_numpy())
+        self.unseen = np.full(WORDS, ending["c"].to_numpy()[other][0]), np.full(WORDS, value[other][0])
+        self.unseen[0][at], self.unseen[1][at] = ending["c"].to_numpy(), value
+        self.rare = work.keep(self._valued(units.rare).select("word", "n", "c", "own"), "rare")
+
+    def _valued(self, found: DataFrame) -> DataFrame:
+        """Words with their class and own, the probability in it; a unit that is one word has nothing to spread."""
+        own = (F.col("unit") == END) | (F.col("unit") >= WORDS)
+        alone = found.where(own).join(self.table, "unit")
+        others = found.where(~own).join(F.broadcast(self.table.where(F.col("unit") < WORDS)), "unit")
+        spread = F.log10((F.col("n") + 0.5) / F.col("spread"))
+        return (alone.withColumn("own", F.col("share") + F.when(F.col("n") > 0, 0.0).otherwise(spread))
+                .unionByName(others.withColumn("own", F.col("share") + spread)))
+
+    def _gathered(self, name: str) -> np.ndarray:
+        return self.table.select("unit", name).toArrow().sort_by("unit")[name].to_numpy()
+
+    @property
+    def assigned(self) -> np.ndarray:
+        """The class of every unit, by id; gathers the whole table, for small models."""
+        return self._gathered("c")
+
+    @property
+    def unit_given_class(self) -> np.ndarray:
+        """The probability of every unit in its class, by id; gathers the whole table, for small models."""
+        return self._gathered("share")
 
 
 def train(documents: DataFrame, work: Work, text: str = "text", classes: int = CLASSES, passes: int = PASSES
           ) -> tuple[Model, DataFrame]:
-    """The model, and word, n for all words of the texts."""
+    """The model, and word, n, class and probability for the words that tasks do not know."""
     texts = documents.select(text)
-    counts = work.keep(word_counts(texts), "counts")
-    total, vocabulary = counts.agg(F.sum("n"), F.count("*")).first()
-    total = total or 0
-    frequent = counts.where(F.col("n") >= LEXICON_SHARE * total).toArrow()
-    ending = F.substring("word", -2, 2)
-    endings = (counts.where((F.col("n") < CLUSTER_SHARE * total) & (F.length("word") > 0))
-               .groupBy(ending.alias("ending")).agg(F.sum("n").alias("n"), F.count("*").alias("types"))
-               .orderBy("ending").toArrow())
-    units = Units(frequent, endings, total, vocabulary)
-    spark = documents.sparkSession
-    bigrams = work.keep(unit_bigrams(texts, spark.sparkContext.broadcast(units)), "bigrams")
-    assigned, grid = cluster(bigrams, units, classes, passes)
-    return Model(units, assigned, grid), counts
+    units = Units(work.keep(word_counts(texts), "counts"), work)
+    bigrams = work.keep(unit_bigrams(texts, units, work), "bigrams")
+    assigned, grid = cluster(bigrams, units, classes, passes, work)
+    model = Model(units, assigned, grid, work)
+    return model, model.rare
 
 
 def score(documents: DataFrame, model: Model, counts: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, n_tokens, n_known, base_score, score: one row per key."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-    fields = [T.StructField("key", documents.schema[key].dataType), T.StructField("word", T.BinaryType()),
-              T.StructField("unit", T.IntegerType()), T.StructField("times", T.LongType()),
-              T.StructField("tokens", T.LongType()), T.StructField("known", T.LongType()),
-              T.StructField("base", T.DoubleType()), T.StructField("model", T.DoubleType())]
-    schema = T.StructType(fields)
+    """key, n_tokens, n_known, base_score, score: one row per key.
+
+    A task sums up what it knows of a document.  Each two adjacent words of which it does
+    not know one go to the joins with ``counts``, once for each document and with their number;
+    the second of them brings its own probabilities.  Where no rare word is a unit of its own, the task
+    knows all classes, and a rare word goes to one join alone.
+    """
+    complete = model.units.complete
+    shared = documents.sparkSession.sparkContext.broadcast((model.known, model.unseen, model.step, float(model.base)))
+    longs = ("a", "b", "class_a", "class_b", "times", "tokens", "known")
+    doubles = ("unseen", "base", "model")
+    schema = T.StructType([T.StructField("key", documents.schema[key].dataType), *_longs(*longs),
+                           *(T.StructField(name, T.DoubleType()) for name in doubles)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        units, lexicon = model.units, model.units.lexicon
-        # unit and count + 1 of a word in one number; a count of -1 is left to the join
-        known = _Known(lambda w: units.of(w) << 40 | lexicon.get(w, -1) + 1)
-        end = units.end << 40 | int(units.count[units.end]) + 1
+        lexicon, (ending_class, ending_value), step, base = shared.value
+        end = lexicon.values["c"][lexicon.find(np.array([END]))[0]]
         for batch in batches:
-            at, sums, rare_at, rare = [], [], [], []
-            for i, found in enumerate(tokens(batch.column(1))):
-                codes = np.array([*map(known.__getitem__, found), end], np.int64)
-                unit, count = codes >> 40, (codes & (1 << 40) - 1) - 1
-                classes = model.assigned[unit]
-                before = np.concatenate([[model.assigned[units.end]], classes[:-1]])
-                value = (model.step[before, classes] + model.unit_given_class[unit]).sum()
-                listed = count >= 0
-                others, unit, count = np.flatnonzero(~listed), unit[listed], count[listed]
-                at.append(i)
-                sums.append((len(codes), int((count > 0).sum()), float(model.unigram(count).sum()),
-                             float(value + model.word(unit, count).sum())))
-                for word, times in Counter([found[x] for x in others]).items():
-                    rare_at.append(i)
-                    rare.append((word, known[word] >> 40, times))
-            keys = batch.column(0)
-            n, m = len(at), len(rare)
-            # A document's own sums ride on a key that no word can have, so that they spread evenly.
-            own = [b" %s" % str(k).encode() for k in keys.to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                pa.concat_arrays([keys.take(pa.array(at, pa.int64())), keys.take(pa.array(rare_at, pa.int64()))]),
-                pa.array(own + [r[0] for r in rare], pa.binary()),
-                pa.array([0] * n + [r[1] for r in rare], pa.int32()),
-                pa.array([0] * n + [r[2] for r in rare], pa.int64()),
-                pa.array([s[0] for s in sums] + [0] * m, pa.int64()), pa.array([s[1] for s in sums] + [0] * m, pa.int64()),
-                pa.array([s[2] for s in sums] + [0.0] * m, pa.float64()),
-                pa.array([s[3] for s in sums] + [0.0] * m, pa.float64())], names=schema.names)
+            for first, last, code, ending, sizes in tokens(batch.column(1)):
+                at, known = lexicon.find(code)
+                n = np.where(known, lexicon.values["n"][at], 0)
+                c = np.where(known, lexicon.values["c"][at], ending_class[ending])
+                row = np.repeat(np.arange(last - first), sizes)
+                before, listed = np.append(end, c[:-1]), np.append(True, known[:-1])
+                sure = known & listed | complete
+                total = lambda x: np.bincount(row, x, last - first)
+                value = total(np.where(known, lexicon.values["own"][at], 0) + np.where(sure, step[before, c], 0))
+                plain = total(np.where(known, np.log10((n + 0.5) / base), 0))
+                found = total(n > 0).astype(np.int64)
+
+                open_ = np.flatnonzero(~(known & sure))
+                a = np.where(sure, -1, np.where(listed, -1 - before, np.append(END, code[:-1])))[open_]
+                b = np.where(known, -1 - c, code)[open_]
+                order, starts = _runs(row[open_], a, b)
+                times = np.diff(np.append(starts, len(order)))
+                pick = order[starts]
+                chosen, size = open_[pick], last - first
+                zeros, none = np.zeros(size, np.int64), np.zeros(len(pick), np.int64)
+                keys = batch.column(0).slice(first, size)
+                columns = [np.append(zeros - 1, a[pick]), np.append(zeros - 1, b[pick]), np.append(zeros, before[chosen]),
+                           np.append(zeros, c[chosen]), np.append(zeros, times), np.append(sizes, none),
+                           np.append(found, none)]
+                reals = [np.append(zeros, ending_value[ending[chosen]]), np.append(plain, none), np.append(value, none)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([keys, batch.column(0).take(pa.array(row[chosen] + first))]),
+                     *(pa.array(x.astype(np.int64)) for x in columns), *(pa.array(x.astype(float)) for x in reals)],
+                    names=schema.names)
 
     rows = map_batches(documents.select(key, text), run, schema)
-    joined = rows.join(counts, "word", "left")
-    spread = documents.sparkSession.createDataFrame(pa.table({
-        "unit": np.arange(len(model.spread), dtype=np.int32), "spread": model.spread}))
-    joined = joined.join(F.broadcast(spread), "unit")
-    n = F.coalesce("n", F.lit(0))
-    times = F.col("times")
-    return joined.groupBy(F.col("key").alias(key)).agg(
+    # what is known already has a key of its own in the joins, so that it spreads evenly
+    for x in "b" if complete else "ab":
+        side = counts.select(F.col("word").alias(f"word_{x}"), F.col("c").alias(f"c_{x}"),
+                             *([F.col("n").alias("n_b"), F.col("own").alias("own_b")] if x == "b" else []))
+        rows = rows.withColumn("_key", F.when(F.col(x) >= 0, F.col(x)).otherwise(_spread("key", "a", "b", "tokens", "base")))
+        rows = rows.join(side, F.col("_key") == F.col(f"word_{x}"), "left").drop("_key")
+    step = F.lit(0.0)
+    if not complete:
+        steps = F.array(*(F.lit(float(v)) for v in model.step.ravel()))
+        at = F.coalesce("c_a", "class_a") * len(model.step) + F.coalesce("c_b", "class_b") + 1
+        step = F.col("times") * F.element_at(steps, at.cast("int"))
+    n, times, new = F.coalesce("n_b", F.lit(0)), F.col("times"), F.col("b") >= 0
+    own = F.coalesce("own_b", "unseen")
+    return rows.groupBy(F.col("key").alias(key)).agg(
         F.sum("tokens").alias("n_tokens"),
-        F.sum(F.col("known") + F.when(n > 0, times).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + times * F.log10((n + 0.5) / F.lit(float(model.base)))).alias("base_score"),
-        F.sum(F.col("model") + times * F.log10((n + 0.5) / F.col("spread"))).alias("score"))
+        F.sum(F.col("known") + F.when(new & (n > 0), times).otherwise(0)).alias("n_known"),
+        F.sum(F.col("base") + F.when(new, times * F.log10((n + 0.5) / F.lit(float(model.base)))).otherwise(0.0)).alias("base_score"),
+        F.sum(F.col("model") + step + F.when(new, times * own).otherwise(0.0)).alias("score"))
