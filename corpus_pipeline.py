@@ -1,7 +1,7 @@
 """The corpus pipeline over ``documents``: its stages, each reading what the one before it kept.
 
 1. quality: documents that the classifier rejects, as low in quality or toxic, go.
-2. near_duplicates: of each group of near-duplicates the document with the smallest id stays.
+2. near_duplicates: of each group of near-duplicates, by sets of five words, the document with the smallest id stays.
 3. secrets: every secret found is replaced by a placeholder; no document goes.
 4. mixing: sources are mixed to their targets; a document has a row for each time that the
    mix takes it, the last one cut to the words taken.
@@ -21,6 +21,9 @@ from forumgauge.llm import bpe, classifier, mixing, near_duplicates, secrets
 from forumgauge.llm.queries import tokenizer_path
 from forumgauge.llm.tables import Work, read
 
+# Words of a shingle in the near_duplicates stage; op6's query has its own, the operator's default.
+SHINGLE = 5
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -31,7 +34,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates; rows that repeat it whole count as one."""
-    found = near_duplicates.groups(docs, Work(spark, "pipeline-near"))
+    found = near_duplicates.groups(docs, Work(spark, "pipeline-near"), size=SHINGLE)
     gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 

@@ -6,6 +6,7 @@ from collections import Counter
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from forumgauge.llm import class_model
 from forumgauge.llm.tables import Work
 from tests.llm.conftest import SCHEMA, prose
@@ -59,3 +60,21 @@ def test_classes_reach_the_bigrams_by_either_join(spark, long_rows, monkeypatch)
     rows = class_model._classed(bigrams, assigned, units.complete).collect()
     of = {r.unit: r.c for r in assigned.collect()}
     assert not units.complete and rows and all((r.cu, r.cv) == (of[r.u], of[r.v]) for r in rows)
+
+
+# --- pipeline -------------------------------------------------------------------------
+
+def shingles(text, size):
+    own = text.split()
+    return {tuple(own[p:p + size]) for p in range(len(own) - size + 1)}
+
+
+def test_near_stage_compares_sets_of_five_words(spark):
+    words = [f"w{i}" for i in range(200)]
+    changed = lambda name, count: " ".join(
+        f"{name}{w}" if i % 40 == 20 and i < 40 * count else name[0] + w for i, w in enumerate(words))
+    texts = [changed("a", 0), changed("ax", 5), changed("b", 0), changed("bx", 4)]
+    likeness = lambda a, b, n: len(shingles(a, n) & shingles(b, n)) / len(shingles(a, n) | shingles(b, n))
+    assert likeness(*texts[:2], 5) < 0.8 < likeness(*texts[:2], 4) and likeness(*texts[2:], 5) >= 0.8
+    docs = spark.createDataFrame([(i, t, None, "a", None) for i, t in enumerate(texts)], SCHEMA)
+    assert sorted(r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect()) == [0, 1, 2]
