@@ -9,8 +9,9 @@ are one class from the start, so that copies cost nothing further.
 Classes whose registers agree in one of ``BANDS`` bands meet in a bucket.  A bucket is
 taken apart in rounds: its smallest document is compared with all others; those that
 are likely similar (``NEAR``) are done, the others stay for the next round.  After
-``ROUNDS`` rounds, what is left is streamed through one task per bucket, which keeps only
-documents unlike each other.  The comparison is the likeliest overlap given how many
+``ROUNDS`` rounds, documents that are left in a bucket and not yet in one cluster are compared
+block by block, each two blocks in a task, which returns no more links than it takes to
+connect them.  The comparison is the likeliest overlap given how many
 registers are greater, equal and smaller and both set sizes.  All pairs of some likeness
 (``ALIKE``) join documents to clusters: if two documents are linked, they end up in one
 cluster, by the triangle inequality of set distances.
@@ -165,34 +166,6 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_batches(joined, run, schema)
 
 
-def _streamed(rest: DataFrame, classes: DataFrame) -> DataFrame:
-    """a, b, likeness of what the rounds left of the buckets: each document with those kept before it."""
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
-                           T.StructField("likeness", T.DoubleType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, kept = None, []
-        for batch in batches:
-            out = []
-            rows = _matrix(batch.column(3))
-            for key, doc, n, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                        batch.column(2).to_pylist(), rows):
-                if key != bucket:
-                    bucket, kept = key, []
-                near = np.zeros(0)
-                if kept:
-                    near = overlap(np.stack([k[2] for k in kept]), own, np.array([float(k[1]) for k in kept]), np.float64(n))
-                    out += [(k[0], doc, float(x)) for k, x in zip(kept, near) if x >= ALIKE]
-                if not (near >= NEAR).any():
-                    kept.append((doc, n, own.copy()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
-                 pa.array([o[2] for o in out], pa.float64())], names=schema.names)
-
-    rows = rest.join(classes, "doc").select("key", "doc", "n_shingles", "registers")
-    return map_batches(rows.repartition("key").sortWithinPartitions("key", "doc"), run, schema)
-
-
 def _sets(documents: DataFrame, chosen: DataFrame, text: str, key: str, size: int) -> DataFrame:
     """doc, shingles (sorted 64-bit hashes) of the chosen documents."""
     schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("shingles", T.BinaryType())])
@@ -229,12 +202,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(joined, run, schema)
 
 
-def _across(parts: DataFrame, classes: DataFrame, sets: DataFrame, work: Work, percent: int) -> DataFrame:
-    """Links between parts of one cluster.
+def _dealt(parts: DataFrame, work: Work, name: str) -> DataFrame:
+    """cluster, row, column, side, doc, part: the blocks to compare in clusters of several parts.
 
     ``parts`` has doc, cluster and part.  Documents outside the largest part of a cluster
-    are dealt to columns, all documents to rows of blocks; a task compares a block's rows
-    with its columns and returns a link for each two parts that it finds connected.
+    are dealt to columns, all documents to rows of blocks.
     """
     sizes = parts.groupBy("cluster", "part").agg(F.count("*").alias("n"))
     mixed = (sizes.groupBy("cluster").agg(F.sum("n").alias("all"), F.count("*").alias("parts"),
@@ -243,7 +215,7 @@ def _across(parts: DataFrame, classes: DataFrame, sets: DataFrame, work: Work, p
              .select("cluster", (-F.col("top.p")).alias("main"),
                      F.ceil(F.col("all") / BLOCK).alias("rows"),
                      F.ceil((F.col("all") - F.col("top.n")) / BLOCK).alias("columns")))
-    rows = work.keep(parts.join(mixed, "cluster"), "mixed")
+    rows = work.keep(parts.join(mixed, "cluster"), name)
     place = F.xxhash64("doc")
     wide = [F.col("doc"), F.col("part"), F.col("cluster")]
     as_row = rows.select(*wide, F.pmod(place, "rows").alias("row"),
@@ -252,35 +224,64 @@ def _across(parts: DataFrame, classes: DataFrame, sets: DataFrame, work: Work, p
     as_column = rows.where("part != main").select(
         *wide, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1)).alias("row"),
         F.pmod(place, "columns").alias("column"), F.lit(1).alias("side"))
+    return as_row.unionByName(as_column)
+
+
+def _spanned(group: pa.Table, least: float, confirm) -> list[tuple[int, int, float]]:
+    """a, b, likeness: likely links from a block's columns to its rows, one for each two parts that they connect."""
+    side = group.column("side").to_numpy()
+    doc, part, n = (group.column(c).to_numpy() for c in ("doc", "part", "n_shingles"))
+    own = _matrix(group.column("registers").combine_chunks())
+    label = {int(p): int(p) for p in part}
+
+    def root(p: int) -> int:
+        while label[p] != p:
+            label[p] = label[label[p]]
+            p = label[p]
+        return p
+
+    links, rows_of = [], np.flatnonzero(side == 0)
+    for c in np.flatnonzero(side == 1):
+        other = rows_of[part[rows_of] != part[c]]
+        if not len(other):
+            continue
+        near = overlap(own[other], own[c], n[other].astype(float), np.float64(n[c]))
+        order = np.argsort(-near)
+        for x, likeness in zip(other[order], near[order][: int((near >= least).sum())]):
+            p, q = root(int(part[x])), root(int(part[c]))
+            if p != q and confirm(x, c):
+                label[p] = q
+                links.append((int(doc[x]), int(doc[c]), float(likeness)))
+    return links
+
+
+def _left(rest: DataFrame, stars: DataFrame, classes: DataFrame, work: Work) -> DataFrame:
+    """a, b, likeness: links between documents that the rounds left in one bucket, but in no common cluster."""
+    joined = components(stars, work, "joined").select(F.col("node").alias("doc"), "component")
+    parts = rest.join(joined, "doc", "left").select(
+        "doc", F.col("key").alias("cluster"), F.coalesce("component", "doc").alias("part"))
+    dealt = _dealt(parts, work, "left").join(classes, "doc")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
+                           T.StructField("likeness", T.DoubleType())])
+
+    def compare(group: pa.Table) -> pa.Table:
+        links = _spanned(group, ALIKE, lambda x, c: True)
+        return pa.table([pa.array([link[i] for link in links], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))],
+                        names=schema.names)
+
+    return dealt.groupBy("cluster", "row", "column").applyInArrow(compare, schema)
+
+
+def _across(parts: DataFrame, classes: DataFrame, sets: DataFrame, work: Work, percent: int) -> DataFrame:
+    """Links between parts of one cluster, confirmed on full sets."""
     full = classes.join(sets, "doc").select("doc", "n_shingles", "registers", "shingles")
-    dealt = as_row.unionByName(as_column).join(full, "doc")
+    dealt = _dealt(parts, work, "mixed").join(full, "doc")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
     def compare(group: pa.Table) -> pa.Table:
-        side = group.column("side").to_numpy()
-        doc, part, n = (group.column(c).to_numpy() for c in ("doc", "part", "n_shingles"))
-        own = _matrix(group.column("registers").combine_chunks())
         found = _unpack(group.column("shingles").combine_chunks(), np.uint64)
-        label = {int(p): int(p) for p in part}
-
-        def root(p: int) -> int:
-            while label[p] != p:
-                p = label[p]
-            return p
-
-        links, rows_of = [], np.flatnonzero(side == 0)
-        for c in np.flatnonzero(side == 1):
-            other = rows_of[part[rows_of] != part[c]]
-            if not len(other):
-                continue
-            near = overlap(own[other], own[c], n[other].astype(float), np.float64(n[c]))
-            for x in other[np.argsort(-near)][: int((near >= NEAR).sum())]:
-                p, q = root(int(part[x])), root(int(part[c]))
-                if p != q and _linked(found[x], found[c], percent):
-                    label[p] = q
-                    links.append((int(doc[x]), int(doc[c])))
-        return pa.table([pa.array([x for x, _ in links], pa.int64()), pa.array([x for _, x in links], pa.int64())],
-                        names=["a", "b"])
+        links = _spanned(group, NEAR, lambda x, c: _linked(found[x], found[c], percent))
+        return pa.table([pa.array([link[i] for link in links], pa.int64()) for i in (0, 1)], names=schema.names)
 
     return dealt.groupBy("cluster", "row", "column").applyInArrow(compare, schema)
 
@@ -306,11 +307,10 @@ def groups(documents: DataFrame, work: Work, text: str = "text", key: str = "doc
         edges.append(near.where(F.col("likeness") >= ALIKE))
         rest = work.keep(stars.join(near.where(F.col("likeness") < NEAR), ["a", "b"])
                          .select("key", F.col("b").alias("doc")), f"rest-{number}")
-    edges.append(_streamed(rest, classes))
-    likely = edges[0]
+    stars = edges[0]
     for more in edges[1:]:
-        likely = likely.unionByName(more)
-    likely = work.keep(likely, "likely")
+        stars = stars.unionByName(more)
+    likely = work.keep(stars.unionByName(_left(rest, stars, classes, work)), "likely")
 
     clusters = work.keep(components(likely, work, "clusters"), "clusters")
     sets = work.keep(_sets(long_key, clusters.select(F.col("node").alias("doc")), "text", "doc", size), "sets")

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from forumgauge.llm import class_model
+from forumgauge.llm import class_model, near_duplicates
 from forumgauge.llm.tables import Work
 from tests.llm.conftest import SCHEMA, prose
 
@@ -78,3 +78,20 @@ def test_near_stage_compares_sets_of_five_words(spark):
     assert likeness(*texts[:2], 5) < 0.8 < likeness(*texts[:2], 4) and likeness(*texts[2:], 5) >= 0.8
     docs = spark.createDataFrame([(i, t, None, "a", None) for i, t in enumerate(texts)], SCHEMA)
     assert sorted(r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect()) == [0, 1, 2]
+
+
+# --- near-duplicates ------------------------------------------------------------------
+
+def test_template_pages_make_few_links(spark):
+    rng = random.Random(17)
+    page = [f"t{i}" for i in range(120)]
+    texts = [" ".join(page + [f"o{rng.randrange(10 ** 9)}" for _ in range(40)]) for _ in range(200)]
+    texts += [texts[i] + " end" for i in (150, 199, 40)]
+    work = Work(spark, "family")
+    docs = spark.createDataFrame([(i, t, None, "a", None) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.component_id for r in near_duplicates.groups(docs, work).collect()}
+    sets = [shingles(t, 4) for t in texts]
+    assert 0.5 < len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.64
+    assert got == {i: i for i in range(200)} | {200: 150, 201: 199, 202: 40}
+    likely = spark.read.parquet(f"{work.path}/likely").count()
+    assert likely < 40 * len(texts)  # not a large share of all pairs in each bucket
