@@ -3,11 +3,13 @@
 Markup is stripped line by line: block elements end a line, and elements that are
 not part of an article (menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles, reader comments), by name, role or the words of their class and id,
-leave an empty line behind, as does all text outside the article of a page that marks
-one.  The lengths of the lines, without link text, are summed over sliding windows of
-``WINDOW`` lines.  Text begins where a window's sum first surges to ``SURGE`` and ends
-where it dives to nothing after the last surge; the lines between are kept, but for
-runs of ``WINDOW`` and more lines that are all links.
+leave an empty line behind.  The lengths of the lines, without link text, are summed over
+sliding windows of ``WINDOW`` lines.  Where article elements hold the page's largest sum, or a main
+element has text, all text outside such elements leaves empty lines too and every line inside surges;
+articles without it, such as cards of other stories, are lines like others.  Text begins at the
+nearest empty window before a window's sum first surges to ``SURGE`` and ends where it dives to
+nothing after the last surge; the lines between are kept, but for runs of ``WINDOW`` and more
+lines that are all links.
 
 Cases: null and empty pages, and pages of markup alone, give the empty text; a page
 without markup is one block; unclosed and stray tags are read as far as they go; where
@@ -78,14 +80,14 @@ def _unwanted(tag: str, attributes: str) -> tuple[bool, bool]:
 
 
 class _Lines:
-    """Lines of one page: text, characters outside links, whether in the article."""
+    """Lines of one page: text, characters outside links, whether in an article (1) or the main element (2)."""
 
     def __init__(self):
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[tuple[str, int, int]] = []
         self.parts: list[str] = []
         self.linked = 0
 
-    def end(self, inside: bool) -> None:
+    def end(self, inside: int) -> None:
         if self.parts:
             text = " ".join(html.unescape("".join(self.parts)).split())
             if text:
@@ -93,19 +95,22 @@ class _Lines:
         self.parts, self.linked = [], 0
 
     def gap(self) -> None:
-        self.lines.append(("", 0, False))
+        self.lines.append(("", 0, 0))
 
 
-def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
+def lines_of(page: str) -> tuple[list[tuple[str, int, int]], bool]:
     """The page's lines, and whether it marks an article."""
     out, stack, marked = _Lines(), [], False
-    article = dropped = links = headers = headings = at = 0
+    article = mains = dropped = links = headers = headings = at = 0
+
+    def inside() -> int:
+        return 2 if mains else 1 if article else 0
 
     def leave(entry: tuple[str, bool, bool]) -> None:
-        nonlocal article, dropped, links, headers, headings
+        nonlocal article, mains, dropped, links, headers, headings
         tag, drop, header = entry
         if tag in BLOCK or drop:
-            out.end(article > 0)
+            out.end(inside())
         if drop and header:
             headers -= 1
         elif drop:
@@ -113,6 +118,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         if drop and not article:
             out.gap()
         article -= tag in ("article", "main")
+        mains -= tag == "main"
         links -= tag == "a"
         headings -= tag in HEADINGS
 
@@ -139,7 +145,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
                     if entry[0] == tag:
                         break
             elif tag in BLOCK:
-                out.end(article > 0)
+                out.end(inside())
             continue
         if tag in ("br", "td", "th", "wbr"):
             if tag != "wbr":
@@ -149,7 +155,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         if tag in ("p", "li", "tr", "dt", "dd") and stack and stack[-1][0] == tag:
             leave(stack.pop())
         if tag in BLOCK:
-            out.end(article > 0)
+            out.end(inside())
         drop, header = _unwanted(tag, attributes)
         if tag in VOID:
             continue
@@ -160,7 +166,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         if attributes.rstrip().endswith("/") and tag not in BLOCK:
             continue
         if drop:
-            out.end(article > 0)
+            out.end(inside())
         stack.append((tag, drop, header))
         if drop and header:
             headers += 1
@@ -169,23 +175,40 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         elif tag in ("article", "main") and not dropped:
             marked = True
         article += tag in ("article", "main")
+        mains += tag == "main"
         links += tag == "a"
         headings += tag in HEADINGS
-    out.end(article > 0)
+    out.end(inside())
     return out.lines, marked
 
 
+def _sums(lengths: list[int]) -> list[int]:
+    return [sum(lengths[i:i + WINDOW]) for i in range(len(lengths))]
+
+
+def _holds_most(lines: list[tuple[str, int, int]]) -> bool:
+    """Whether the main text is in the marked elements: a main element with text, or the articles with the largest surge."""
+    if any(text and inside == 2 for text, _, inside in lines):
+        return True
+    within, without = (max(_sums([own if bool(inside) == side else 0 for _, own, inside in lines]), default=0)
+                       for side in (True, False))
+    return within >= without and any(text and inside for text, _, inside in lines)
+
+
 def extract(page: str) -> str:
     """The main text of one page, one line for each block."""
     lines, marked = lines_of(page)
+    marked = marked and _holds_most(lines)
     if marked:
-        lines = [line if line[2] else ("", 0, False) for line in lines]
+        lines = [line if line[2] else ("", 0, 0) for line in lines]
     lengths = [len(text) if marked else own for text, own, _ in lines]
-    sums = [sum(lengths[i:i + WINDOW]) for i in range(len(lengths))]
+    sums = _sums(lengths)
     surges = [i for i, total in enumerate(sums) if total >= (1 if marked else SURGE)]
     if not surges:
         return "\n".join(text for text, _, _ in lines if text)
     begin, dive = surges[0], surges[-1]
+    while begin and any(lengths[max(0, begin - WINDOW):begin]):
+        begin -= 1
     while dive < len(sums) and sums[dive]:
         dive += 1
     links = [not any(lengths[max(0, i - WINDOW + 1):i + WINDOW]) for i in range(len(lengths))]

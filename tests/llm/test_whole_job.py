@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from forumgauge.llm import class_model, near_duplicates
+from forumgauge.llm import class_model, main_text, near_duplicates
 from forumgauge.llm.tables import Work
 from tests.llm.conftest import SCHEMA, prose
 
@@ -95,3 +95,23 @@ def test_template_pages_make_few_links(spark):
     assert got == {i: i for i in range(200)} | {200: 150, 201: 199, 202: 40}
     likely = spark.read.parquet(f"{work.path}/likely").count()
     assert likely < 40 * len(texts)  # not a large share of all pairs in each bucket
+
+
+# --- main text ------------------------------------------------------------------------
+
+BODY = [f"Paragraph {i} of the story goes on for a good many words, as stories do." for i in range(4)]
+
+
+def test_cards_do_not_replace_the_story():
+    cards = "".join(f"<article><h3>Other {i}</h3><p>A short teaser, no more.</p></article>" for i in range(3))
+    page = "<div class=story><h1>Title</h1>" + "".join(f"<p>{x}</p>" for x in BODY) + f"</div><section>{cards}</section>"
+    lines = main_text.extract(page).split("\n")
+    assert lines[:5] == ["Title", *BODY]
+    # an article that holds the largest surge is the story, as before
+    page = "<div><p>Something short beside it all.</p></div><article>" + "".join(f"<p>{x}</p>" for x in BODY) + "</article>"
+    assert main_text.extract(page).split("\n") == BODY
+
+
+def test_text_begins_at_the_window_before_the_surge():
+    page = "<div><h1>Title</h1><p>By me</p><p>Monday</p><p>Rome</p>" + "".join(f"<p>{x}</p>" for x in BODY) + "</div>"
+    assert main_text.extract(page).split("\n") == ["Title", "By me", "Monday", "Rome", *BODY]
