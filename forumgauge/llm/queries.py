@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumgauge.llm import bpe, class_model, classifier, grid_join, main_text, mixing, near_duplicates, quality_rules, repeats, secrets
+from forumgauge.llm import (
+    alignment, bpe, class_model, classifier, grid_join, line_dedup, main_text, mixing, near_duplicates, quality_rules, repeats,
+    resampling, secrets,
+)
 from forumgauge.llm.sql import LLM_ORACLE
 from forumgauge.llm.tables import Work, read
 
 __all__ = ["LLM_ORACLE", "LLM_QUERIES", "tokenizer_path"]
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -88,6 +92,22 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), Work(spark, "resampling"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = alignment.align(read(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER), tokenizer_path(PIECE_TOKENIZER),
+                             Work(spark, "alignment"))
+    return groups.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.dedup(read(spark, sf_dir, "documents"), Work(spark, "lines"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 LLM_QUERIES = {
     "op1_class_model": op1_class_model,
     "op2_secrets": op2_secrets,
@@ -99,4 +119,7 @@ LLM_QUERIES = {
     "op8_classifier": op8_classifier,
     "op9_grid_join": op9_grid_join,
     "op10_main_text": op10_main_text,
+    "op11_resampling": op11_resampling,
+    "op12_alignment": op12_alignment,
+    "op13_line_dedup": op13_line_dedup,
 }

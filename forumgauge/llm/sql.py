@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from forumgauge.llm import grid_join, quality_rules, repeats
+import string
+
+from forumgauge.llm import grid_join, line_dedup, quality_rules, repeats, resampling
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -68,4 +70,48 @@ counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
 FROM groups LEFT JOIN counts USING (vec_id)"""
 
-LLM_ORACLE = {"op4_repeats": OP4, "op7_quality_rules": OP7, "op9_grid_join": OP9}
+LOWER = f"translate(%s, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+# The crc32 of a text: its bytes, as pairs of hex digits, run through a table made by eight halvings.
+_HALF = "CASE WHEN %s & 1 = 1 THEN xor(%s >> 1, 3988292384) ELSE %s >> 1 END"
+OP11 = f"""
+WITH RECURSIVE halved AS (SELECT CAST(n AS BIGINT) AS n, CAST(n AS BIGINT) AS c, 0 AS turn FROM range(256) t(n)
+  UNION ALL SELECT n, {_HALF.replace('%s', 'c')}, turn + 1 FROM halved WHERE turn < 8),
+codes AS (SELECT list(c ORDER BY n) AS code FROM halved WHERE turn = 8),
+texts AS (SELECT 0 AS target, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+docs AS (SELECT target, doc_id, regexp_extract_all({LOWER % "coalesce(text, '')"}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+placed AS (SELECT target, doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM docs),
+runs AS (SELECT target, doc_id, array_to_string(w[p:p + n - 1], ' ') AS f
+  FROM placed, range(1, {resampling.LONGEST + 1}) t(n) WHERE p + n - 1 <= len(w)),
+counted AS (SELECT target, doc_id, f, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (SELECT f, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, strlen(f) + 1),
+      lambda i: CAST('0x' || substr(h, 2 * i - 1, 2) AS BIGINT))),
+      lambda c, b: xor(c >> 8, code[xor(c & 255, b) + 1])), 4294967295) % {resampling.BUCKETS} AS b
+  FROM (SELECT DISTINCT f, hex(encode(f)) AS h FROM counted), codes),
+held AS (SELECT target, doc_id, b, sum(n) AS n FROM counted JOIN hashed USING (f) GROUP BY ALL),
+sides AS (SELECT b, coalesce(sum(n) FILTER (target = 0), 0) AS s, coalesce(sum(n) FILTER (target = 1), 0) AS t
+  FROM range({resampling.BUCKETS}) r(b) LEFT JOIN held USING (b) GROUP BY b),
+gains AS (SELECT b, CAST(floor(1000 * ln(CAST((t + 1) * (sum(s) OVER () + {resampling.BUCKETS}) AS DOUBLE)
+    / CAST((s + 1) * (sum(t) OVER () + {resampling.BUCKETS}) AS DOUBLE))) AS BIGINT) AS gain FROM sides),
+weights AS (SELECT doc_id, sum(n) AS n_features, sum(n * gain) AS weight FROM held JOIN gains USING (b) WHERE target = 0 GROUP BY doc_id),
+scored AS (SELECT doc_id, len(w) >= {resampling.LEAST_WORDS} AS fits, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+    CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{resampling.SEED}:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weights USING (doc_id) WHERE target = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY fits ORDER BY score DESC, doc_id) AS r, count(*) FILTER (fits) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN fits AND r <= floor({resampling.PERCENT} * n / 100) THEN r END AS rank FROM ranked"""
+
+_BLANKS = " || ".join(f"chr({ord(c)})" for c in line_dedup.BLANKS)
+OP13 = f"""
+WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, i, line, {LOWER % f"trim(line, {_BLANKS})"} AS k
+  FROM (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM docs)),
+common AS (SELECT k, max(doc_id) AS keeper FROM lines WHERE length(k) >= {line_dedup.LEAST_CHARS}
+  GROUP BY k HAVING count(DISTINCT doc_id) >= {line_dedup.LEAST_DOCUMENTS}),
+marked AS (SELECT doc_id, i, line, coalesce(doc_id <> keeper, FALSE) AS gone FROM lines LEFT JOIN common USING (k))
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id"""
+
+LLM_ORACLE = {"op4_repeats": OP4, "op7_quality_rules": OP7, "op9_grid_join": OP9, "op11_resampling": OP11, "op13_line_dedup": OP13}
