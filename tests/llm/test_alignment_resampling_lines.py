@@ -246,7 +246,7 @@ def test_alignment_equals_a_plain_loop(spark, documents, rows, plain_tokens, mon
         monkeypatch.setattr(alignment, "COMMON", common)
         got = alignment.align(clashing(table), *PATHS, Work(spark, "test"))
         assert sorted((tuple(r) for r in got.select(*COLUMNS).collect()), key=repr) == wanted
-    assert sum(r[1] == 0 for r in wanted) >= 4 and sum(r[3] < r[1] for r in wanted) > 10
+    assert sum(r[1] == 0 for r in wanted) >= 4 and sum(r[3] < r[1] for r in wanted) >= 5
 
 
 def test_alignment_of_texts_with_random_characters(spark, plain_tokens):
