@@ -181,5 +181,6 @@ def resample(documents: DataFrame, target: DataFrame, work: Work, text: str = "t
     """key, n_words, n_features, weight, score, rank of every document."""
     raw = _all_buckets(bucket_counts(documents, text, buckets, longest), buckets)
     wanted = _all_buckets(bucket_counts(target, target_text, buckets, longest), buckets)
-    weighed = weigh(documents, gains(raw, wanted), text, key, seed, longest)
+    # Kept, as a range exchange reads its input twice.
+    weighed = work.keep(weigh(documents, gains(raw, wanted), text, key, seed, longest), "weighed")
     return draw(weighed, work, key, percent, least_words)
