@@ -2,13 +2,19 @@
 
 Tokenizer A is a byte-level BPE file, B a piece model with byte fallback.  Both
 encode a text; the byte offsets at which a token of each ends cut the tokens into
-groups.  The cuts are found in two steps.  The coarse ones come from the spans that
-the tokenizers report: characters for A, bytes for B.  Characters in which tokens
-of A or pieces of B end are not told apart by spans, so wherever a coarse group
-holds a multibyte character or a byte piece it is refined by the ends of the
-tokens' decoded bytes.  A text counts only if the decoded bytes of each tokenizer,
+groups.  The cuts are found in two steps.  The coarse ones come from the character
+spans that both tokenizers report.  (The piece library has them in its offset mapping;
+its present release refuses the immutable proto that had them.)  Tokens that end
+inside a character are not told apart by spans, so wherever a coarse group holds a
+multibyte character or a byte piece it is refined by the ends of the tokens' decoded
+bytes.  A text counts only if the decoded bytes of each tokenizer,
 joined, are the space and the text.
 
+Words recur, so a text is first cut at spaces that follow other characters than
+blanks, where neither tokenizer can join what stands on both sides: A's pattern
+splits there, and no piece of B has a space inside.  Pieces of text met lately keep
+their alignment, and a text's is put together from those of its pieces.
+
 All pairs of an A and a B token of one group are links.  A document holds each id
 pair with the number of its links; ids that repeat inside a group are multiplied,
 not listed.  How many documents hold a pair is a grouped count over the corpus.
@@ -28,10 +34,11 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 from hashlib import sha256
 from itertools import chain
-from operator import attrgetter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -48,28 +55,79 @@ from forumgauge.llm.tables import Work, map_batches
 COMMON = 100_000
 # Pairs of one row of the pair table; a document with more has several rows.
 PART = 1 << 16
-CHUNK_BYTES = 1 << 17
+CHUNK_BYTES = 1 << 19
+# What one task keeps of pieces of text met lately, and how many new pieces are encoded as one text.
+CACHED_PIECES, CACHED_CHARS, CACHED_PAIRS = 300_000, 1 << 24, 1 << 22
+TOGETHER = 20_000
+# Links of a group that are listed before its ids are counted.
+NARROW = 64
+
+# Of a text with a space before it: the spaces where it is cut, but for one that ends it.
+_CUT = re.compile(r"(?<=\S) (?=[\s\S])")
+_SPACE_INSIDE = re.compile("[^▁]▁")
 
 
 class Vocabulary:
-    """The bytes of each id, as one table with offsets."""
+    """The bytes of each id, and its decimal digits, as tables with offsets."""
 
     def __init__(self, tokens: list[bytes]):
-        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.tokens = _Strings(tokens)
+        self.digits = _Strings([str(i).encode() for i in range(len(tokens))])
+
+
+class _Strings:
+    def __init__(self, strings: list[bytes]):
+        self.sizes = np.array([len(x) for x in strings], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.names = [str(i) for i in range(len(tokens))]
+        self.bytes = np.frombuffer(b"".join(strings), np.uint8)
 
-    def ends(self, ids: np.ndarray) -> np.ndarray:
-        return np.cumsum(self.sizes[ids])
 
-    def joined(self, ids: np.ndarray) -> bytes:
-        if not len(ids):
-            return b""
-        sizes = self.sizes[ids]
-        ends = np.cumsum(sizes)
-        where = np.arange(ends[-1]) + np.repeat(self.starts[ids] - ends + sizes, sizes)
-        return self.bytes[where].tobytes()
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each run, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+def _taken(strings: _Strings, ids: np.ndarray) -> np.ndarray:
+    return strings.bytes[_runs(strings.starts[ids], strings.sizes[ids])]
+
+
+class Store:
+    """The alignment of pieces of text met lately, by number, as arrays that grow.
+
+    ``sums`` has n_a, n_b, n_groups, n_links of each piece; the linked id pairs of piece
+    i are those from ``bounds[i]`` to ``bounds[i + 1]`` of ``codes`` (a * ids of B + b),
+    with the number of links in ``times``.
+    """
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.listing: list[str | None] = []
+        self.sums = np.zeros((0, 4), np.int64)
+        self.bounds, self.codes, self.times = np.zeros(1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.chars = 0
+
+    def add(self, pieces: list[str], listing: list[str | None], sums: np.ndarray, held: np.ndarray,
+            codes: np.ndarray, times: np.ndarray) -> None:
+        for piece in pieces:
+            self.number[piece] = len(self.number)
+            self.chars += len(piece)
+        self.listing += listing
+        self.sums = np.concatenate([self.sums, sums])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(held)])
+        self.codes, self.times = np.concatenate([self.codes, codes]), np.concatenate([self.times, times])
+
+    def full(self) -> bool:
+        return len(self.listing) > CACHED_PIECES or self.chars > CACHED_CHARS or len(self.codes) > CACHED_PAIRS
+
+
+class Aligned(NamedTuple):
+    """The alignment of one text."""
+
+    listing: str
+    sums: np.ndarray  # n_a, n_b, n_groups, n_links
+    codes: np.ndarray
+    times: np.ndarray
 
 
 class Aligner:
@@ -96,90 +154,153 @@ class Aligner:
         self.is_byte = np.array([self.b.is_byte(i) for i in range(len(pieces))])
         self.b_words = Vocabulary([bytes([int(p[3:5], 16)]) if byte else p.replace("▁", " ").encode()
                                    for p, byte in zip(pieces, self.is_byte)])
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None]:
-        """Ids and group ends (how many tokens of A and of B the groups up to each one have); None without tokens."""
-        with_space = [" " + text for text in texts]
-        # Neither an encoding with all its spans nor a batch of parsed pieces is kept longer than needed.
-        for text, a, b in zip(with_space, self.a.encode_batch(with_space, add_special_tokens=False),
-                              self.b.encode(texts, return_type="proto", num_threads=1)):
-            yield self._align(text, a, b) if len(text) > 1 else None
-
-    def _align(self, text: str, a, b):
-        a_ids = np.array(a.ids, np.int64)
-        pieces = list(b.pieces)
-        b_ids = np.fromiter(map(attrgetter("id"), pieces), np.int64, len(pieces))
-        raw = text.encode()
-        if self.a_words.joined(a_ids) != raw or self.b_words.joined(b_ids) != raw:
-            return None
-        spans = np.fromiter(chain.from_iterable(a.offsets), np.int64, 2 * len(a_ids)).reshape(-1, 2)
-        b_spans = np.fromiter(map(attrgetter("end"), pieces), np.int64, len(pieces)) + 1  # the space before
-        last = np.append(spans[1:, 0] >= spans[:-1, 1], True)  # not inside a character
-        byte_ends = self._byte_of(text, raw)
-        a_spans = spans[last, 1] if byte_ends is None else byte_ends[spans[last, 1]]
-        coarse = np.intersect1d(a_spans, b_spans)
-        a_ends, b_ends = self.a_words.ends(a_ids), self.b_words.ends(b_ids)
-        cuts = coarse
-        if byte_ends is not None or self.is_byte[b_ids].any():
-            cuts = np.union1d(coarse, self._refined(coarse, raw, a_ends, b_ends, b_ids))
-        return a_ids, b_ids, np.searchsorted(a_ends, cuts, "right"), np.searchsorted(b_ends, cuts, "right")
-
-    @staticmethod
-    def _byte_of(text: str, raw: bytes) -> np.ndarray | None:
-        """The byte offset of each character and of the end; None where it is the same."""
-        if len(text) == len(raw):
-            return None
-        data = np.frombuffer(raw, np.uint8)
-        return np.append(np.flatnonzero((data & 0xC0) != 0x80), len(raw))
-
-    def _refined(self, coarse: np.ndarray, raw: bytes, a_ends: np.ndarray, b_ends: np.ndarray,
-                 b_ids: np.ndarray) -> np.ndarray:
-        """Common ends of decoded tokens in the coarse groups that spans leave too wide."""
+        self.width = len(pieces)
+        self.codes = len(tokens) * len(pieces)
+        kind = spec["pre_tokenizer"] or {}
+        apart = kind.get("type") == "ByteLevel" and kind.get("use_regex") and not spec["normalizer"]
+        apart = apart and not any(_SPACE_INSIDE.search(p) for p, byte in zip(pieces, self.is_byte) if not byte)
+        self.cut = _CUT.split if apart else lambda text: [text]
+        self.store = Store()
+
+    def align(self, texts: list[str]) -> Iterator[Aligned | None]:
+        """The alignment of each text, put together from its pieces; None without tokens."""
+        cut = [self.cut(text) if text else [] for text in texts]
+        if self.store.full():
+            self.store = Store()
+        self._learn([p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.store.number])
+        store = self.store
+        sizes = np.array([len(pieces) for pieces in cut], np.int64)
+        numbers = np.fromiter(map(store.number.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        ends = np.cumsum(sizes)
+        # Pairs of all texts at once, put in order by text and code.
+        held = np.diff(store.bounds)[numbers]
+        where = _runs(store.bounds[numbers], held)
+        codes = np.repeat(np.repeat(np.arange(len(texts)), sizes), held) * self.codes + store.codes[where]
+        order = np.argsort(codes)
+        codes, times = codes[order], store.times[where][order]
+        first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])[:len(codes)])
+        codes, times = codes[first], np.add.reduceat(times, first) if len(first) else times
+        bounds = np.searchsorted(codes, np.arange(len(texts) + 1) * self.codes)
+        for i, (begin, end) in enumerate(zip(ends - sizes, ends)):
+            listing = [store.listing[n] for n in numbers[begin:end].tolist()]
+            if not listing or None in listing:
+                yield None
+            else:
+                own = slice(bounds[i], bounds[i + 1])
+                yield Aligned(";".join(listing), store.sums[numbers[begin:end]].sum(axis=0),
+                              codes[own] - i * self.codes, times[own])
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Put pieces that the store lacks into it.
+
+        Those that the cut would find again are encoded as one text, the others alone.
+        """
+        together = [p for p in pieces if not p[-1].isspace() and "▁" not in p]
+        for first in range(0, len(together), TOGETHER):
+            self._encode(together[first:first + TOGETHER])
+        for piece in pieces:
+            if piece not in self.store.number:
+                self._encode([piece])
+
+    def _encode(self, pieces: list[str]) -> None:
+        """Encode pieces as one text with a space before each, align it and store what belongs to each piece."""
+        text = " " + " ".join(pieces)
+        a, b = self.a.encode(text, add_special_tokens=False), self.b.encode(text[1:], return_type="offset_mapping")
+        a_ids, b_ids = np.array(a.ids, np.int64), np.array(b["ids"], np.int64)
+        raw = np.frombuffer(text.encode(), np.uint8)
+        if not all(np.array_equal(_taken(v.tokens, ids), raw) for v, ids in ((self.a_words, a_ids), (self.b_words, b_ids))):
+            return self._apart(pieces)
+        a_ends, b_ends = np.cumsum(self.a_words.tokens.sizes[a_ids]), np.cumsum(self.b_words.tokens.sizes[b_ids])
+        cuts = self._cuts(text, raw, a, b, a_ends, b_ends, b_ids)
+        piece_ends = np.cumsum([len(p.encode()) + 1 for p in pieces])
+        last_group = np.searchsorted(cuts, piece_ends)
+        if not np.array_equal(cuts[np.minimum(last_group, len(cuts) - 1)], piece_ends):
+            return self._apart(pieces)
+        # Group of each token, tokens of each group, groups of each piece.
+        a_group, b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        n_a, n_b = np.bincount(a_group, minlength=len(cuts)), np.bincount(b_group, minlength=len(cuts))
+        piece = np.searchsorted(piece_ends, cuts)
+        sums = np.stack([np.bincount(piece, x, len(pieces)).astype(np.int64) for x in (n_a, n_b, np.ones_like(n_a), n_a * n_b)], axis=1)
+        group, codes, times = self._pairs(a_ids, b_ids, n_a, n_b)
+        held = np.bincount(piece[group], minlength=len(pieces))
+        self.store.add(pieces, self._listing(a_ids, b_ids, a_group, b_group, last_group), sums, held, codes, times)
+
+    def _apart(self, pieces: list[str]) -> None:
+        """Pieces whose text a tokenizer does not give back: one by one, and without tokens where it is one."""
+        if len(pieces) == 1:
+            none = np.empty(0, np.int64)
+            self.store.add(pieces, [None], np.zeros((1, 4), np.int64), np.zeros(1, np.int64), none, none)
+        for piece in pieces if len(pieces) > 1 else ():
+            self._encode([piece])
+
+    def _cuts(self, text: str, raw: np.ndarray, a, b, a_ends: np.ndarray, b_ends: np.ndarray, b_ids: np.ndarray) -> np.ndarray:
+        """Byte offsets at which a token of each tokenizer ends."""
+        spans = np.fromiter(chain.from_iterable(a.offsets), np.int64, 2 * len(a_ends)).reshape(-1, 2)
+        b_spans = np.fromiter((end for _, end in b["offsets"]), np.int64, len(b_ids)) + 1  # the space before
+        last = np.append(spans[1:, 0] >= spans[:-1, 1], True)  # no other token ends in the same character
+        a_spans = spans[last, 1]
+        wide = len(raw) > len(text)
+        if wide:
+            byte_of = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+            a_spans, b_spans = byte_of[a_spans], byte_of[b_spans]
+        ends = np.zeros(len(raw) + 1, np.uint8)
+        ends[a_spans] = 1
+        ends[b_spans] |= 2
+        coarse = np.flatnonzero(ends == 3)
+        bytes_left = b_ends[self.is_byte[b_ids]] - 1
+        if not wide and not len(bytes_left):
+            return coarse
+        # Groups that spans leave too wide are refined by the ends of the tokens' own bytes.
         unclear = np.zeros(len(coarse) + 1, bool)
-        data = np.frombuffer(raw, np.uint8)
-        for where in (np.flatnonzero(data >= 0x80), b_ends[self.is_byte[b_ids]] - 1):
+        for where in (np.flatnonzero(raw >= 0x80), bytes_left):
             unclear[np.searchsorted(coarse, where, "right")] = True
-        ends = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        return ends[unclear[np.searchsorted(coarse, ends, "left")]]
-
-    def listing(self, a_ids, b_ids, a_cuts, b_cuts) -> str:
-        """Ids by group: ``a1,a2|b1;a3|b2,b3``."""
-        marks = []
-        for vocabulary, ids, cuts, own, between in ((self.a_words, a_ids, a_cuts, ",", "|"), (self.b_words, b_ids, b_cuts, ",", ";")):
-            names = list(map(vocabulary.names.__getitem__, ids.tolist()))
-            ends = [own] * len(names)
-            for cut in (cuts - 1).tolist():
-                ends[cut] = between
-            marks.append((list(map(str.__add__, names, ends)), [0, *cuts.tolist()]))
-        (a, a_at), (b, b_at) = marks
-        if len(a_at) - 1 == len(a) == len(b):
-            parts = chain.from_iterable(zip(a, b))
-        else:
-            parts = chain.from_iterable(a[i:j] + b[k:m] for i, j, k, m in zip(a_at, a_at[1:], b_at, b_at[1:]))
-        return "".join(parts)[:-1]
-
-    def pairs(self, a_ids, b_ids, a_cuts, b_cuts) -> tuple[np.ndarray, np.ndarray]:
-        """The id pairs that are linked, as a * ids of B + b, ascending, and the number of links of each."""
-        width = len(self.b_words.sizes)
-        a_at, b_at = np.append(0, a_cuts), np.append(0, b_cuts)
-        n_a, n_b = np.diff(a_at), np.diff(b_at)
-        narrow = n_a * n_b <= 64
-        # Groups of few links: all their pairs by place, then counted together.
-        links = np.where(narrow, n_a * n_b, 0)
-        group = np.repeat(np.arange(len(links)), links)
-        place = np.arange(len(group)) - np.repeat(np.cumsum(links) - links, links)
-        codes = a_ids[a_at[group] + place // n_b[group]] * width + b_ids[b_at[group] + place % n_b[group]]
-        found, counts = np.unique(codes, return_counts=True)
+        ends[:] = 0
+        ends[a_ends] = 1
+        ends[b_ends] |= 2
+        fine = np.flatnonzero(ends == 3)
+        return np.union1d(coarse, fine[unclear[np.searchsorted(coarse, fine)]])
+
+    def _listing(self, a_ids, b_ids, a_group, b_group, last_group) -> list[str]:
+        """``a1,a2|b1;a3|b2,b3`` of each piece, whose last groups are given."""
+        side = np.concatenate([2 * a_group, 2 * b_group + 1])
+        order = np.argsort(side, kind="stable")
+        side = side[order]
+        a, b = self.a_words.digits, self.b_words.digits
+        starts = np.concatenate([a.starts[a_ids], b.starts[b_ids] + len(a.bytes)])[order]
+        sizes = np.concatenate([a.sizes[a_ids], b.sizes[b_ids]])[order]
+        digits = np.concatenate([a.bytes, b.bytes])[_runs(starts, sizes)]
+        # After each id a comma, or what stands between the sides and between groups.
+        ends = np.cumsum(sizes + 1)
+        out = np.empty(ends[-1], np.uint8)
+        out[_runs(ends - sizes - 1, sizes)] = digits
+        follows = np.append(side[1:], -1)
+        out[ends - 1] = np.where(follows == side, ord(","), np.where(side % 2 == 0, ord("|"), ord(";")))
+        group_ends = ends[np.flatnonzero((follows != side) & (side % 2 == 1))]
+        text, stops = out.tobytes().decode(), group_ends[last_group].tolist()
+        return [text[begin:end - 1] for begin, end in zip([0, *stops], stops)]
+
+    def _pairs(self, a_ids, b_ids, n_a, n_b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """group, code and number of links of the linked id pairs, in order of groups."""
+        a_at, b_at, links = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b, n_a * n_b
+        narrow = np.where(links <= NARROW, links, 0)
+        # Groups of few links: all of them by place.
+        group = np.repeat(np.arange(len(links)), narrow)
+        place = _runs(np.zeros(len(links), np.int64), narrow)
+        codes = a_ids[a_at[group] + place // n_b[group]] * self.width + b_ids[b_at[group] + place % n_b[group]]
+        times = np.ones(len(codes), np.int64)
+        wide = np.flatnonzero(links > NARROW)
+        if not len(wide):
+            return group, codes, times
         # Groups of many links: each id once, with its number.
-        for g in np.flatnonzero(~narrow):
-            a, times_a = np.unique(a_ids[a_at[g]:a_at[g + 1]], return_counts=True)
-            b, times_b = np.unique(b_ids[b_at[g]:b_at[g + 1]], return_counts=True)
-            codes = np.concatenate([found, (a[:, None] * width + b).ravel()])
-            times = np.concatenate([counts, (times_a[:, None] * times_b).ravel()])
-            found, which = np.unique(codes, return_inverse=True)
-            counts = np.zeros(len(found), np.int64)
-            np.add.at(counts, which, times)
-        return found, counts
+        parts = [(group, codes, times)]
+        for g in wide.tolist():
+            a, many_a = np.unique(a_ids[a_at[g]:a_at[g] + n_a[g]], return_counts=True)
+            b, many_b = np.unique(b_ids[b_at[g]:b_at[g] + n_b[g]], return_counts=True)
+            product = (a[:, None] * self.width + b).ravel()
+            parts.append((np.full(len(product), g), product, (many_a[:, None] * many_b).ravel()))
+        group, codes, times = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(group, kind="stable")
+        return group[order], codes[order], times[order]
 
 
 _ALIGNERS: dict[int, Aligner] = {}
@@ -215,18 +336,14 @@ def aligned(documents: DataFrame, a_path: str, b_path: str, text: str = "text",
                 keys = batch.column(0).slice(first, last - first)
                 texts = [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:])]
                 out: list[tuple] = []
-                for i, groups in enumerate(aligner.encode(texts)):
-                    if groups is None:
+                for i, found in enumerate(aligner.align(texts)):
+                    if found is None:
                         out.append((row, 0, i, 0, 0, 0, 0, "", *nothing))
                     else:
-                        a_ids, b_ids, a_cuts, b_cuts = groups
-                        links = int((np.diff(a_cuts, prepend=0) * np.diff(b_cuts, prepend=0)).sum())
-                        digest = sha256(aligner.listing(*groups).encode()).hexdigest()
-                        codes, times = aligner.pairs(*groups)
-                        stats = len(a_ids), len(b_ids), len(a_cuts), links, digest
-                        for part in range(0, max(1, len(codes)), PART):
+                        stats = *found.sums.tolist(), sha256(found.listing.encode()).hexdigest()
+                        for part in range(0, len(found.codes), PART):
                             cut = slice(part, part + PART)
-                            out.append((row, part // PART, i, *(stats if part == 0 else (None,) * 5), codes[cut], times[cut]))
+                            out.append((row, part // PART, i, *(stats if part == 0 else (None,) * 5), found.codes[cut], found.times[cut]))
                     row += 1
                 columns = list(zip(*out))
                 bounds = pa.array(np.cumsum([0, *map(len, columns[8])]), pa.int32())

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from hashlib import sha256
 from zlib import crc32
 
+import numpy as np
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -258,15 +259,36 @@ def test_alignment_of_texts_with_random_characters(spark, plain_tokens):
     assert sorted((tuple(r) for r in got.select(*COLUMNS).collect()), key=repr) == sorted(plain_alignment(rows, plain_tokens), key=repr)
 
 
-def test_wide_groups_are_multiplied_and_large_documents_parted(plain_tokens, monkeypatch):
+@pytest.fixture(scope="module")
+def aligner():
     with open(PATHS[0], encoding="utf-8") as a, open(PATHS[1], "rb") as b:
-        aligner = alignment.Aligner(a.read(), b.read())
-    a_ids, b_ids = [1, 2, 1, 3, 5] * 9 + [7], [4, 4, 6] * 5 + [8]
-    import numpy as np
+        return alignment.Aligner(a.read(), b.read())
 
-    codes, times = aligner.pairs(np.array(a_ids), np.array(b_ids), np.array([45, 46]), np.array([15, 16]))
-    wanted = Counter((x, y) for x in a_ids[:45] for y in b_ids[:15]) + Counter([(7, 8)])
-    assert {divmod(c, 32000): n for c, n in zip(codes.tolist(), times.tolist())} == wanted
+
+def test_wide_groups_are_multiplied(aligner):
+    a_ids, b_ids = [1, 2, 1, 3, 5] * 9 + [7], [4, 4, 6] * 5 + [8]
+    group, codes, times = aligner._pairs(np.array(a_ids), np.array(b_ids), np.array([45, 1]), np.array([15, 1]))
+    wanted = Counter((0, x, y) for x in a_ids[:45] for y in b_ids[:15]) + Counter([(1, 7, 8)])
+    assert {(g, *divmod(c, 32000)): n for g, c, n in zip(group.tolist(), codes.tolist(), times.tolist())} == wanted
+
+
+def test_pieces_are_forgotten_and_learned_again(aligner, plain_tokens, monkeypatch):
+    rng = random.Random(4)
+    syllables = ["an", "the", "wh", "é", "日", "x", "...", "\n", "\t", " ", "  ", "▁", "Zw\u200b"]
+    texts = ["".join(rng.choice(syllables) + rng.choice(["", " "]) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    monkeypatch.setattr(alignment, "CACHED_PIECES", 50)
+    monkeypatch.setattr(alignment, "TOGETHER", 7)
+    aligner.store = alignment.Store()
+    got = [found for first in range(0, 300, 20) for found in aligner.align(texts[first:first + 20])]
+    assert len(aligner.store.listing) < 1500
+    for text, found, row in zip(texts, got, plain_alignment(list(enumerate(texts)), plain_tokens)):
+        if found is None:
+            assert row[1:5] == (0, 0, 0, 0)
+        else:
+            assert tuple(found.sums.tolist()) == row[1:5]
+            assert sha256(found.listing.encode()).hexdigest() == row[7]
+            assert len(set(found.codes.tolist())) == len(found.codes) and found.times.sum() == row[4]
+    assert sum(found is None for found in got) < 290
 
 
 def test_alignment_of_nothing(spark, nothing):
