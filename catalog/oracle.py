@@ -10,7 +10,7 @@ from catalog import queries as Q
 from forumgauge import schemas
 from forumgauge.functions.lexicon import DEFAULT_LEXICON
 from forumgauge.functions.stopwords import STOP_WORDS
-from forumgauge.sources.tables import ITEM_POSTS, MONTH_SECONDS, PAGE_POSTS, TITLES
+from forumgauge.sources.tables import ITEM_POSTS, MONTH_SECONDS, PAGE_POSTS, PER_PAGE, TITLES
 
 LEX = DEFAULT_LEXICON
 SPACE = r"[ \t\n\x0B\f\r]"
@@ -67,6 +67,20 @@ LEFT JOIN (SELECT event_id % (SELECT count(*) FROM documents) AS doc_id,
     CAST(sum(TRY_CAST(regexp_extract(props, '[0-9]+') AS BIGINT)) AS BIGINT) AS comments,
     min(CAST(floor(epoch(ts)) AS BIGINT)) AS second FROM events GROUP BY 1) e ON e.doc_id = d.doc_id""")
 
+cte("paged", ("posts",), f"""
+SELECT *, CAST(row_number() OVER (PARTITION BY subreddit, page ORDER BY doc_id) - 1 AS INTEGER) AS position FROM (
+  SELECT *, doc_id % {PAGE_POSTS} // {PER_PAGE} AS page FROM posts)""")
+
+# Each sighting of a post, and of a post's sightings the first run's first one.
+cte("sightings", ("paged",), """
+SELECT *, 1 AS listing_rank FROM paged
+UNION ALL SELECT * REPLACE (score + 1 AS score), 2 FROM paged WHERE page % 2 = 0""")
+cte("collected", ("sightings",), f"""
+SELECT *, CAST(nth AS BIGINT) AS run, CASE nth WHEN 1 THEN {lit(Q.DATE)} ELSE {lit(Q.NEXT_DATE)} END AS date FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY nth, listing_rank) AS met FROM (
+    SELECT *, 1 AS nth FROM sightings WHERE page % 3 = 0 UNION ALL SELECT *, 2 FROM sightings))
+WHERE met = 1""")
+
 cte("cleaned", ("posts",), rf"""
 SELECT *, CASE WHEN selftext IS NULL OR selftext = '' THEN title
     ELSE regexp_replace(title || ' ' || selftext, '{SPACE}+', ' ', 'g') END AS full_text,
@@ -345,7 +359,20 @@ ORACLE: dict[str, str] = {
     "read_posts_of_date": chain(
         f"SELECT {POST_FIELDS}, date FROM timed WHERE date = {lit(Q.DATE)}", "timed"),
     "flatten_listing": chain(
-        "SELECT * EXCLUDE (doc_id) REPLACE (coalesce(selftext, '') AS selftext) FROM posts", "posts"),
+        "SELECT * EXCLUDE (doc_id) REPLACE (coalesce(selftext, '') AS selftext) FROM paged", "paged"),
+    "read_posts_array": chain(f"SELECT {POST_FIELDS}, date FROM timed", "timed"),
+    "page_chains": chain(
+        "SELECT id, subreddit, dense_rank() OVER (PARTITION BY subreddit ORDER BY page) - 1 AS page_number, position FROM paged",
+        "paged"),
+    "collection_run": chain("SELECT id, title, score, subreddit, date, run FROM collected", "collected"),
+    "collection_registry": chain("SELECT id FROM posts", "posts"),
+    "collection_run_audit": chain(
+        "SELECT date AS collection_date, count(*) AS total_posts, run FROM collected GROUP BY ALL", "collected"),
+    "publish_one_date": published_sql(),
+    "write_empty_mart": chain("SELECT *, FALSE AS written FROM daily_experience_distribution", "daily_experience_distribution"),
+    "load_mart_mixed_columns": chain(
+        f"SELECT * REPLACE (CASE WHEN date <> {lit(Q.DATE)} THEN min_salary END AS min_salary) FROM daily_salary_stats",
+        "daily_salary_stats"),
     "dedup_new_posts": chain(
         "SELECT id, title, subreddit FROM posts WHERE doc_id NOT IN (SELECT doc_id FROM labels)", "posts"),
     "dedup_first_listing": """
@@ -520,6 +547,15 @@ SELECT industry, CAST(sum(salary_mention_posts) AS BIGINT) AS salary_mention_pos
   round(avg(median_salary), 6) AS avg_annual_tc, max(max_salary) AS max_salary
 FROM daily_salary_stats GROUP BY industry""", "daily_salary_stats"),
     "rollup_metrics": rollup("network_metrics", "value"),
+    "rollup_salary_median": chain("""
+SELECT industry, bounded AS median_salary, n AS mentions FROM (
+  SELECT industry, bounded, row_number() OVER (PARTITION BY industry ORDER BY bounded) AS rn,
+    count(*) OVER (PARTITION BY industry) AS n FROM pay_rows WHERE bounded IS NOT NULL)
+WHERE rn = n // 2 + 1""", "pay_rows"),
+    "stored_rollup_topic": rollup("topic_analysis", "avg_score", "avg_comments"),
+    "stored_rollup_topic_weighted": chain(rounded("whole_topic_analysis", "avg_score", "avg_comments"), "whole_topic_analysis"),
+    "stored_rollup_salary": rollup("salary_stats", *PAY),
+    "stored_rollup_metrics": rollup("network_metrics", "value"),
     "metric_value": chain(
         "SELECT coalesce(max(CAST(trunc(value) AS BIGINT)), 0) AS value FROM rolled_network_metrics "
         "WHERE metric = 'Total Comments'", "rolled_network_metrics"),
@@ -578,7 +614,7 @@ def word_labels(kind: str, default: str) -> str:
 
 ORACLE |= {
     "read_posts_rejects": f"SELECT url AS record, {lit(Q.DATE)} AS date FROM pages",
-    "flatten_listing_rejects": "SELECT 'links' AS subreddit, url AS payload FROM pages",
+    "flatten_listing_rejects": "SELECT 'links' AS subreddit, CAST(NULL AS BIGINT) AS page, url AS payload FROM pages",
     "filter_topic_mart": filtered("topic_analysis", f"topic IN ({listed(Q.TOPICS)})"),
     "filter_industry_mart": filtered("posts_by_industry", f"industry IN ({listed(Q.INDUSTRIES)})"),
     "filter_salary_mart": filtered("salary_stats", f"industry IN ({listed(Q.INDUSTRIES)})"),

@@ -17,14 +17,16 @@ from forumgauge import schemas
 from forumgauge.functions.labels import LABEL_COLUMNS
 from forumgauge.functions.salary import bounded_pay
 from forumgauge.operators import enrich, features, ingest, marts, ranking, rollups, salary, serving
-from forumgauge.plans import pipeline
+from forumgauge.plans import pipeline, stored_rollups
+from forumgauge.plans.collection import Collection, run_collection
 from forumgauge.sources import marts as mart_files
 from forumgauge.sources import raw, tables
-from forumgauge.sources.paths import work_folder
+from forumgauge.sources.paths import stored, work_folder
+from forumgauge.sources.registry import Registry
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-DATE = "2024-01-01"
+DATE, NEXT_DATE = "2024-01-01", "2024-01-02"
 SOURCES = tuple(f"src{i}" for i in range(20))
 LISTINGS = ("new", "top")
 COLLECTED_AT = datetime(2024, 6, 30, 12, 0, 0)
@@ -119,7 +121,8 @@ def read_posts_of_date(s, d):
 
 
 def flatten_listing(s, d):
-    return ingest.flatten_listing(raw.parse_listings(tables.listing_pages(s, d))).drop("position")
+    """Every page has the posts of one source whose numbers share all but the last digit."""
+    return ingest.flatten_listing(raw.parse_listings(tables.listing_pages(s, d)))
 
 
 def read_posts_rejects(s, d):
@@ -132,7 +135,8 @@ def read_posts_rejects(s, d):
 
 
 def flatten_listing_rejects(s, d):
-    addresses = tables.page_addresses(s, d).select(F.lit("links").alias("subreddit"), F.col("url").alias("payload"))
+    addresses = tables.page_addresses(s, d).select(
+        F.lit("links").alias("subreddit"), F.lit(None).cast("bigint").alias("page"), F.col("url").alias("payload"))
     pages = tables.listing_pages(s, d).unionByName(addresses)
     return ingest.rejected_pages(raw.parse_listings(pages, keep=True))
 
@@ -142,8 +146,45 @@ def dedup_new_posts(s, d):
     return new.select("id", "title", "subreddit")
 
 
+def read_posts_array(s, d):
+    """Files of one JSON array each."""
+    path = work_folder(s, "raw")
+    raw.write_posts(_dated_raw(s, d), path, layout="array")
+    return raw.read_posts(s, path, layout="array")
+
+
 def dedup_first_listing(s, d):
-    return ingest.dedup_first_listing(tables.repeated_posts(s, d), ("source_rank", "listing_rank"))
+    return ingest.dedup_first_listing(tables.repeated_posts(s, d), {"source_rank": 10, "listing_rank": 32})
+
+
+def _collected(s, d) -> Collection:
+    """Two runs over the landed pages: first those whose number 3 divides, then all of them, a day later."""
+    folder = work_folder(s, "collection")
+    conf = Collection(*(f"{folder}/{name}" for name in ("raw", "registry", "audit")), sources=SOURCES, listings=LISTINGS)
+    pages = stored(tables.landed_pages(s, d), "pages")
+    for run, (day, fetched) in enumerate(((DATE, pages.filter("page % 3 = 0")), (NEXT_DATE, pages)), 1):
+        run_collection(fetched.withColumn("fetched_at", F.lit(f"{day} 08:00:00").cast("timestamp")), conf, run)
+    return conf
+
+
+def collection_run(s, d):
+    return raw.read_runs(s, _collected(s, d).raw_path).select("id", "title", "score", "subreddit", "date", "run")
+
+
+def page_chains(s, d):
+    """Posts in the order in which following each page's token meets them."""
+    pages = raw.parse_listings(stored(tables.chained_pages(s, d), "pages")).withColumn("after", F.col("data.after"))
+    posts = ingest.flatten_listing(ingest.number_pages(pages))
+    return posts.select("id", "subreddit", F.col("page").alias("page_number"), "position")
+
+
+def collection_registry(s, d):
+    return Registry(s, _collected(s, d).registry_path).read()
+
+
+def collection_run_audit(s, d):
+    audit = s.read.parquet(_collected(s, d).audit_path)
+    return audit.select("collection_date", "total_posts", F.col("run").cast("bigint").alias("run"))
 
 
 def update_registry(s, d):
@@ -193,6 +234,32 @@ def mart_health(s, d):
     return pipeline.mart_health({name: mart_files.load_mart_all_dates(s, name, path) for name in schemas.MARTS})
 
 
+def publish_one_date(s, d):
+    """The posts of one day published by themselves, after all other days."""
+    path = work_folder(s, "marts")
+    posts = stored(_dated_raw(s, d), "posts")
+    pipeline.publish_all(posts.filter(F.col("date") != DATE), path)
+    pipeline.publish_all(posts.filter(F.col("date") == DATE).drop("date"), path, date=DATE)
+    return pipeline.published_rows(s, path)
+
+
+def write_empty_mart(s, d):
+    """An empty table is not written and leaves what is there; ``written`` is what the writer answers."""
+    path = _written(s, d, "experience_distribution")
+    written = mart_files.write_mart(_daily(s, d, "experience_distribution").limit(0), "experience_distribution", path)
+    return mart_files.load_mart_all_dates(s, "experience_distribution", path).withColumn("written", F.lit(written))
+
+
+def load_mart_mixed_columns(s, d):
+    """One date lacks a column and has the others in another order."""
+    path = work_folder(s, "marts")
+    daily = stored(_daily(s, d, "salary_stats"), "daily")
+    mart_files.write_mart(daily.filter(F.col("date") != DATE), "salary_stats", path)
+    older = daily.filter(F.col("date") == DATE).select(*[c for c in reversed(daily.columns) if c != "min_salary"])
+    mart_files.write_mart(older, "salary_stats", path)
+    return mart_files.load_mart_all_dates(s, "salary_stats", path)
+
+
 def list_dates(s, d):
     return mart_files.list_dates(s, _written(s, d, "network_metrics", "experience_distribution"))
 
@@ -387,6 +454,26 @@ def _rollup(name: str, *rounded: str) -> Query:
     return lambda s, d: _rounded(_rolled(s, d, name), *rounded) if rounded else _rolled(s, d, name)
 
 
+def _stored_rollup(name: str, *rounded: str, avg_mode: str = rollups.MEAN_OF_MEANS) -> Query:
+    """The roll-up from its stored state, made of all dates but one and then brought up to date by that one."""
+    def query(s, d):
+        path = work_folder(s, "marts")
+        daily = stored(_daily(s, d, name), "daily")
+        mart_files.write_mart(daily.filter(F.col("date") != DATE), name, path)
+        stored_rollups.update(s, path, name)
+        mart_files.write_mart(daily.filter(F.col("date") == DATE), name, path)
+        return _rounded(stored_rollups.stored_rollup(s, path, name, avg_mode=avg_mode), *rounded)
+    return query
+
+
+def rollup_salary_median(s, d):
+    """The exact median over all dates, merged from the published pay histograms of the dates."""
+    path = work_folder(s, "marts")
+    histogram = salary.histogram(_dated(_tagged(s, d, ["industry"], True)), ["date"])
+    mart_files.write_mart(histogram, "salary_histogram", path, fmt="parquet")
+    return rollups.rollup_salary_median(mart_files.load_mart_all_dates(s, "salary_histogram", path, fmt="parquet"))
+
+
 def rollup_topic_weighted(s, d):
     return _rounded(rollups.rollup_topic(_daily(s, d, "topic_analysis"), rollups.WEIGHTED),
                     "avg_score", "avg_comments")
@@ -507,6 +594,11 @@ QUERIES: dict[str, Query] = {
     # Sources, sinks, ingest
     "read_posts": read_posts,
     "read_posts_of_date": read_posts_of_date,
+    "read_posts_array": read_posts_array,
+    "page_chains": page_chains,
+    "collection_run": collection_run,
+    "collection_registry": collection_registry,
+    "collection_run_audit": collection_run_audit,
     "flatten_listing": flatten_listing,
     "read_posts_rejects": read_posts_rejects,
     "flatten_listing_rejects": flatten_listing_rejects,
@@ -518,6 +610,9 @@ QUERIES: dict[str, Query] = {
     "write_mart": write_mart,
     "write_salary_mart": write_salary_mart,
     "publish_all": publish_all,
+    "publish_one_date": publish_one_date,
+    "write_empty_mart": write_empty_mart,
+    "load_mart_mixed_columns": load_mart_mixed_columns,
     "list_dates": list_dates,
     "load_mart": load_mart,
     "load_mart_all_dates": load_mart_all_dates,
@@ -605,6 +700,11 @@ QUERIES: dict[str, Query] = {
     "rollup_skills_industry": _rollup("skills_by_industry"),
     "rollup_salary": _rollup("salary_stats", *PAY),
     "rollup_salary_fallback": rollup_salary_fallback,
+    "rollup_salary_median": rollup_salary_median,
+    "stored_rollup_topic": _stored_rollup("topic_analysis", "avg_score", "avg_comments"),
+    "stored_rollup_topic_weighted": _stored_rollup("topic_analysis", "avg_score", "avg_comments", avg_mode=rollups.WEIGHTED),
+    "stored_rollup_salary": _stored_rollup("salary_stats", *PAY),
+    "stored_rollup_metrics": _stored_rollup("network_metrics", "value"),
     "rollup_metrics": _rollup("network_metrics", "value"),
     "metric_value": metric_value,
     "kpi_salary_posts": kpi_salary_posts,

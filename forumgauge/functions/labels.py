@@ -1,10 +1,10 @@
 """Keyword labels as native column expressions.
 
 Testing every keyword with its own ``contains`` reads the text once per keyword,
-several hundred times for the whole lexicon.  Above a measured number of keywords
-they go into one prefix-tree pattern instead, tried at each position, so that the
-text is read once whatever the number of labels.  The labels are then worked out
-on the short array of keywords found.
+several hundred times for the whole lexicon.  All keywords go into one prefix-tree
+pattern instead, tried at each position, so that the text is read once whatever
+the number of labels.  The labels are then worked out on the short array of
+keywords found.
 """
 
 from __future__ import annotations

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumgauge.functions.lexicon import SENTIMENTS
+from forumgauge.operators.salary import upper_median
 
 # Output column -> (input column, aggregate).
 Aggregates = dict[str, tuple[str, str]]
@@ -40,37 +42,68 @@ def rollup_mart(table: DataFrame, keys: Sequence[str], aggregates: Aggregates,
         _aggregate(source, how, used).alias(name) for name, (source, how) in aggregates.items()])
 
 
-def _same(how: str, *columns: str) -> Aggregates:
-    return {c: (c, how) for c in columns}
+# Output column -> the columns it may be made from, best first, and how; none there, no output.
+Outputs = dict[str, tuple[tuple[str, ...], str]]
 
 
-def rollup_topic(table: DataFrame, avg_mode: str = MEAN_OF_MEANS) -> DataFrame:
-    return rollup_mart(table, ["topic"], _same("sum", "post_count") | _same("mean", "avg_score", "avg_comments"),
-                       avg_mode, "post_count")
+@dataclass(frozen=True)
+class Rollup:
+    """What a published table is grouped by over its dates, and what is worked out."""
 
+    keys: tuple[str, ...]
+    outputs: Outputs
+    weight: str | None = None
 
-def rollup_sentiment_topic(table: DataFrame) -> DataFrame:
-    return rollup_mart(table, ["topic", "sentiment"], _same("sum", "count"))
+    def aggregates(self, columns: Iterable[str]) -> Aggregates:
+        """Each output with the first of its source columns that a table has."""
+        columns = set(columns)
+        sources = {name: [c for c in wanted if c in columns] for name, (wanted, _) in self.outputs.items()}
+        return {name: (found[0], self.outputs[name][1]) for name, found in sources.items() if found}
 
+    def __call__(self, table: DataFrame, avg_mode: str = MEAN_OF_MEANS) -> DataFrame:
+        return rollup_mart(table, self.keys, self.aggregates(table.columns), avg_mode, self.weight)
 
-def rollup_industry(table: DataFrame, avg_mode: str = MEAN_OF_MEANS) -> DataFrame:
-    return rollup_mart(table, ["industry"],
-                       _same("sum", "post_count") | _same("mean", "avg_engagement_score", "avg_comments_count"),
-                       avg_mode, "post_count")
 
+def _same(how: str, *columns: str) -> Outputs:
+    return {c: ((c,), how) for c in columns}
 
-def rollup_experience(table: DataFrame) -> DataFrame:
-    return rollup_mart(table, ["experience_level"], _same("sum", "post_count"))
 
+rollup_topic = Rollup(("topic",), _same("sum", "post_count") | _same("mean", "avg_score", "avg_comments"), "post_count")
+rollup_sentiment_topic = Rollup(("topic", "sentiment"), _same("sum", "count"))
+rollup_industry = Rollup(
+    ("industry",), _same("sum", "post_count") | _same("mean", "avg_engagement_score", "avg_comments_count"), "post_count")
+rollup_experience = Rollup(("experience_level",), _same("sum", "post_count"))
+rollup_skills = Rollup(("skill",), _same("sum", "skill_count"))
+rollup_temporal = Rollup(
+    ("year_month", "sentiment"), _same("sum", "post_count") | _same("mean", "avg_score", "avg_comments"), "post_count")
+rollup_company = Rollup(
+    ("company",), _same("sum", "mention_count") | _same("mean", "avg_score", "avg_engagement"), "mention_count")
+rollup_topic_industry = Rollup(("industry", "topic"), _same("sum", "post_count") | _same("mean", "avg_score"), "post_count")
+rollup_skills_industry = Rollup(("industry", "skill"), _same("sum", "skill_count"))
+# Tables written without some of these columns are accepted.
+rollup_salary = Rollup(("industry",), {
+    **_same("sum", "salary_mention_posts"), **_same("mean", "avg_engagement_score", "avg_comments"),
+    "avg_annual_tc": (("avg_annual_tc", "median_salary"), "mean"),
+    **_same("min", "min_salary"), **_same("max", "max_salary")}, "salary_mention_posts")
 
-def rollup_skills(table: DataFrame) -> DataFrame:
-    return rollup_mart(table, ["skill"], _same("sum", "skill_count"))
+TOTALS, AVERAGES = ("Total Posts", "Total Comments"), ("Avg Score", "Avg Comments")
 
 
-def rollup_temporal(table: DataFrame, avg_mode: str = MEAN_OF_MEANS) -> DataFrame:
-    return rollup_mart(table, ["year_month", "sentiment"],
-                       _same("sum", "post_count") | _same("mean", "avg_score", "avg_comments"),
-                       avg_mode, "post_count")
+@dataclass(frozen=True)
+class MetricRollup(Rollup):
+    """Totals added up and averages averaged, by metric name; other metrics are left out."""
+
+    def __call__(self, table: DataFrame, avg_mode: str = MEAN_OF_MEANS) -> DataFrame:
+        return self.chosen(super().__call__(table, avg_mode))
+
+    @staticmethod
+    def chosen(both: DataFrame) -> DataFrame:
+        metric = F.col("metric")
+        value = F.when(metric.isin(*TOTALS), F.col("total")).when(metric.isin(*AVERAGES), F.col("mean"))
+        return both.filter(metric.isin(*TOTALS, *AVERAGES)).select("metric", value.alias("value"))
+
+
+rollup_metrics = MetricRollup(("metric",), {"total": (("value",), "sum"), "mean": (("value",), "mean")})
 
 
 def densify_temporal(temporal: DataFrame) -> DataFrame:
@@ -85,46 +118,17 @@ def densify_temporal(temporal: DataFrame) -> DataFrame:
     return temporal.groupBy("year_month").agg(*sides).select("year_month", F.inline(F.array(*rows)))
 
 
-def rollup_company(table: DataFrame, avg_mode: str = MEAN_OF_MEANS) -> DataFrame:
-    return rollup_mart(table, ["company"],
-                       _same("sum", "mention_count") | _same("mean", "avg_score", "avg_engagement"),
-                       avg_mode, "mention_count")
-
-
-def rollup_topic_industry(table: DataFrame, avg_mode: str = MEAN_OF_MEANS) -> DataFrame:
-    return rollup_mart(table, ["industry", "topic"], _same("sum", "post_count") | _same("mean", "avg_score"),
-                       avg_mode, "post_count")
-
-
-def rollup_skills_industry(table: DataFrame) -> DataFrame:
-    return rollup_mart(table, ["industry", "skill"], _same("sum", "skill_count"))
+def rollup_salary_median(histogram: DataFrame) -> DataFrame:
+    """industry, median_salary, mentions: the exact upper median over all dates of a pay histogram.
 
+    Histograms of dates are added up; a mean of the dates' medians is not the median.
+    """
+    known = histogram.filter(F.col("industry").isNotNull())
+    mentions = known.groupBy("industry").agg(F.sum("mentions").alias("mentions"))
+    return mentions.join(upper_median(known, ["industry"]), "industry")
 
-def rollup_salary(table: DataFrame, avg_mode: str = MEAN_OF_MEANS) -> DataFrame:
-    """Pay per industry; tables written without some columns are accepted.
 
-    The average pay falls back to the mean of the medians when no date has it.
-    """
-    aggregates = _same("sum", "salary_mention_posts") | _same("mean", "avg_engagement_score", "avg_comments")
-    if "avg_annual_tc" in table.columns:
-        aggregates["avg_annual_tc"] = ("avg_annual_tc", "mean")
-    elif "median_salary" in table.columns:
-        aggregates["avg_annual_tc"] = ("median_salary", "mean")
-    for column, how in (("min_salary", "min"), ("max_salary", "max")):
-        if column in table.columns:
-            aggregates[column] = (column, how)
-    return rollup_mart(table, ["industry"], aggregates, avg_mode, "salary_mention_posts")
-
-
-def rollup_metrics(table: DataFrame) -> DataFrame:
-    """Totals added up and averages averaged, by metric name."""
-    totals = F.col("metric").isin("Total Posts", "Total Comments")
-    averages = F.col("metric").isin("Avg Score", "Avg Comments")
-    return (table.filter(totals | averages).groupBy("metric")
-            .agg(F.when(totals, F.sum("value")).otherwise(F.avg("value")).alias("value")))
-
-
-ROLLUPS = {
+ROLLUPS: dict[str, Rollup] = {
     "topic_analysis": rollup_topic,
     "sentiment_by_topic": rollup_sentiment_topic,
     "posts_by_industry": rollup_industry,

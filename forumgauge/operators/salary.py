@@ -34,6 +34,12 @@ def pay_counts(posts: DataFrame, by: Sequence[str] = (), lowest: float = LOWEST,
                  F.sum("num_comments").alias("num_comments")))
 
 
+def histogram(posts: DataFrame, by: Sequence[str] = (), lowest: float = LOWEST, highest: float = HIGHEST) -> DataFrame:
+    """industry, pay, mentions of pay in range: what medians over several dates are merged from."""
+    counts = pay_counts(posts, by, lowest, highest)
+    return counts.filter(F.col("pay").isNotNull()).select(*by, "industry", "pay", "mentions")
+
+
 def _mention_stats(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     # Decimal money makes the sum exact, whatever the order of addition.
     money = F.col("pay").cast("decimal(12,2)") * F.col("mentions").cast("decimal(20,0)")
@@ -56,33 +62,33 @@ def salary_stats(posts: DataFrame, by: Sequence[str] = (), lowest: float = LOWES
     return stats.drop("min_salary", "max_salary")
 
 
-def upper_median(counts: DataFrame, by: Sequence[str], lowest: float, highest: float) -> DataFrame:
-    """The exact upper median of pay per industry, from mention counts.
+def upper_median(counts: DataFrame, keys: Sequence[str], value: str = "pay", held: str = "mentions",
+                 out: str = "median_salary") -> DataFrame:
+    """The exact upper median of a value per key, from rows of (value, how often).
 
-    No task ever sorts a whole industry.  Counting mentions in fixed pay buckets
-    tells which bucket holds the middle mention and how far into it; only the
-    distinct values of that one bucket are then put in order.
+    No task ever sorts all values of a key.  Counting in ``BUCKETS`` equal parts of
+    the key's own range tells which part holds the middle and how far into it; only
+    the distinct values of that one part are then put in order.
     """
-    keys = [*by, "industry"]
-    width = (highest - lowest) / BUCKETS
-    values = (counts.filter(F.col("pay").isNotNull())
-              .withColumn("bucket", F.floor((F.col("pay") - lowest) / width)))
-
-    in_order = Window.partitionBy(*keys).orderBy("bucket")
-    everything = Window.partitionBy(*keys)
-    buckets = (values.groupBy(*keys, "bucket").agg(F.sum("mentions").alias("held"))
-               .withColumn("upto", F.sum("held").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
-               .withColumn("middle", F.expr("sum(held)").over(everything)))
-    middle = F.floor(F.col("middle") / 2) + 1
-    chosen = (buckets.withColumn("middle", middle)
-              .filter((F.col("upto") >= F.col("middle")) & (F.col("upto") - F.col("held") < F.col("middle")))
-              .select(*keys, "bucket", (F.col("middle") - (F.col("upto") - F.col("held"))).alias("offset")))
-
-    by_value = Window.partitionBy(*keys).orderBy("pay").rowsBetween(Window.unboundedPreceding, 0)
-    return (values.join(chosen, [*keys, "bucket"])
-            .withColumn("upto", F.sum("mentions").over(by_value))
-            .filter((F.col("upto") >= F.col("offset")) & (F.col("upto") - F.col("mentions") < F.col("offset")))
-            .select(*keys, F.col("pay").alias("median_salary")))
+    keys = list(keys)
+    values = counts.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(held).alias("_held"))
+    ranges = values.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"),
+                                       (F.floor(F.sum("_held") / 2) + 1).alias("_middle"))
+    part = F.when(F.col("_high") == F.col("_low"), 0).otherwise(
+        F.least(F.floor((F.col(value) - F.col("_low")) / (F.col("_high") - F.col("_low")) * BUCKETS), F.lit(BUCKETS - 1)))
+    values = values.join(ranges, keys).withColumn("_part", part.cast("int"))
+
+    upto = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    parts = (values.groupBy(*keys, "_middle", "_part").agg(F.sum("_held").alias("_in"))
+             .withColumn("_before", F.sum("_in").over(upto) - F.col("_in")))
+    chosen = parts.filter(F.col("_middle").between(F.col("_before") + 1, F.col("_before") + F.col("_in"))).select(
+        *keys, "_part", (F.col("_middle") - F.col("_before")).alias("_offset"))
+
+    by_value = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    last = F.sum("_held").over(by_value)
+    return (values.join(chosen, [*keys, "_part"]).withColumn("_upto", last)
+            .filter((F.col("_upto") >= F.col("_offset")) & (F.col("_upto") - F.col("_held") < F.col("_offset")))
+            .select(*keys, F.col(value).alias(out)))
 
 
 def salary_order_stats(posts: DataFrame, by: Sequence[str] = (), lowest: float = LOWEST,
@@ -101,7 +107,7 @@ def salary_table(posts: DataFrame, by: Sequence[str] = (), lowest: float = LOWES
     """
     counts = stored(pay_counts(posts, by, lowest, highest), "pay")
     keys = [*by, "industry"]
-    joined = _mention_stats(counts, by).join(upper_median(counts, by, lowest, highest), keys, "left")
+    joined = _mention_stats(counts, by).join(upper_median(counts, keys), keys, "left")
     return joined.select(
         *keys, "salary_mention_posts", "salary_distinct_posts", "avg_engagement_score",
         "avg_comments", "avg_annual_tc", "median_salary", "min_salary", "max_salary")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from forumgauge.operators import ingest
 from forumgauge.sources import raw
+from forumgauge.sources.registry import Registry
 
 # Landed pages: the payload as fetched, and what it is the answer to.
 LANDED_PAGE = "payload string, subreddit string, listing string, page int, fetched_at timestamp"
@@ -30,9 +31,8 @@ def new_posts(pages: DataFrame, registry: DataFrame, sources: Sequence[str],
               listings: Sequence[str]) -> DataFrame:
     """Posts not collected before, each once, dated by when it was fetched."""
     ranked = ingest.rank_pages(raw.parse_listings(pages), sources, listings)
-    posts = ingest.dedup_first_listing(ingest.flatten_listing(ranked))
-    dated = posts.withColumn("date", F.date_format("fetched_at", "yyyy-MM-dd"))
-    return ingest.dedup_new_posts(dated, registry)
+    posts = ingest.flatten_listing(ranked).withColumn("date", F.date_format("fetched_at", "yyyy-MM-dd"))
+    return ingest.first_of_new(posts, registry)
 
 
 def run_collection(pages: DataFrame, collection: Collection, run: int) -> None:
@@ -43,11 +43,11 @@ def run_collection(pages: DataFrame, collection: Collection, run: int) -> None:
     attempt left.  Ids are recorded last, once the posts are safe.
     """
     spark = pages.sparkSession
-    earlier = raw.read_registry(spark, collection.registry_path).filter(F.col("run") != run)
-    found = new_posts(pages, earlier, collection.sources, collection.listings)
+    registry = Registry(spark, collection.registry_path)
+    found = new_posts(pages, registry.read(before_run=run), collection.sources, collection.listings)
     raw.write_posts(found.drop("source_rank", "listing_rank", "page", "position", "listing")
                     .withColumn("run", F.lit(run)), collection.raw_path, parts=("date", "run"))
     written = raw.read_run(spark, collection.raw_path, run)
     raw.write_run(ingest.collection_audit(written, collection.sources, collection.listings, F.col("fetched_at")),
                   collection.audit_path, run)
-    raw.write_run(written.select("id"), collection.registry_path, run)
+    registry.add(written.select("id"), run)

@@ -75,42 +75,59 @@ def compute_mart(name: str, labels: DataFrame, by: Iterable[str] = ("date",)) ->
     return TEXT_MARTS[name](labels.filter("is_text_post"), by)
 
 
+# A failure of one of these tables does not keep the others from being published.
+ISOLATED = ("salary_stats", "salary_histogram")
+
+SIDE_TABLES: dict[str, Callable[..., DataFrame]] = {"salary_histogram": salary.histogram}
+
+
+def compute_side(name: str, labels: DataFrame, by: Iterable[str] = ("date",)) -> DataFrame:
+    return SIDE_TABLES[name](labels.filter("is_text_post"), tuple(by))
+
+
 def publish_all(posts: DataFrame, path: str, date: str | None = None, fmt: str = "csv",
-                labels_path: str | None = None) -> dict[str, bool | Exception]:
+                labels_path: str | None = None, isolated: Iterable[str] = ISOLATED,
+                side: bool = False) -> dict[str, bool | Exception]:
     """Compute and write all published tables for the dates of ``posts``.
 
     The label table is written once, to ``labels_path`` or the shared folder;
     each published table then reads only its own few columns of it.
 
     Pass ``date`` for posts of a single run; otherwise ``posts`` must have a
-    ``date`` column and every date is published by the same jobs.  A table that
-    fails is reported in the result and does not stop the others.
+    ``date`` column and every date is published by the same jobs.  All tables are
+    written before any is visible; then one small file per date shows all of them.
+    The result says of each table whether it had rows, or why it failed.  Where a
+    table outside ``isolated`` fails, nothing is shown and every date keeps what it
+    had; a failed table of ``isolated`` keeps its own earlier state only.  ``side``
+    adds the tables that exact roll-ups are made from.
     """
     if date is not None:
         posts = posts.withColumn("date", F.lit(date))
     labels = stored(label_posts(posts), "labels", labels_path)
 
-    def publish(name: str) -> bool | Exception:
+    def stage(name: str) -> mart_files.Staged | Exception:
         try:
-            return mart_files.write_mart(compute_mart(name, labels), name, path, fmt=fmt)
-        except Exception as error:  # noqa: BLE001 - reported, the other tables go on
+            table = compute_side(name, labels) if name in SIDE_TABLES else compute_mart(name, labels)
+            return mart_files.stage_mart(table, name, path, fmt=fmt)
+        except Exception as error:  # noqa: BLE001 - reported, and decided on below
             return error
 
+    names = [*schemas.MARTS, *(SIDE_TABLES if side else ())]
     # The tables are small jobs over the same input; run together they fill the
     # cores that each of them leaves idle while it finishes.
     with ThreadPoolExecutor(RUN_TOGETHER) as pool:
-        return dict(zip(schemas.MARTS, pool.map(publish, schemas.MARTS)))
-
-
-def load_published(spark: SparkSession, path: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """Every published table over all dates, by name.
-
-    Finding out which columns each date has takes a small job per table; these
-    run together.
-    """
-    with ThreadPoolExecutor(RUN_TOGETHER) as pool:
-        tables = pool.map(lambda name: mart_files.load_mart_all_dates(spark, name, path, fmt), schemas.MARTS)
-        return dict(zip(schemas.MARTS, tables))
+        outcome = dict(zip(names, pool.map(stage, names)))
+    failed = {name for name, result in outcome.items() if isinstance(result, Exception)}
+    if failed <= set(isolated):
+        mart_files.commit_marts(posts.sparkSession, path, [r for n, r in outcome.items() if n not in failed])
+    return {name: result if name in failed else bool(result.dates) for name, result in outcome.items()}
+
+
+def load_published(spark: SparkSession, path: str, fmt: str = "csv", names: Iterable[str] = tuple(schemas.MARTS)
+                   ) -> dict[str, DataFrame]:
+    """Every published table over all dates, by name, as one state of the commits has them."""
+    commits = mart_files.committed(spark, path)
+    return {name: mart_files.load_mart_all_dates(spark, name, path, fmt, commits) for name in names}
 
 
 def published_rows(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

@@ -46,6 +46,16 @@ MARTS = {
         "industry string, skill string, skill_count bigint",
 }
 
+# Tables that are written with the published ones for roll-ups; the dashboard does not show them.
+SIDE_MARTS = {
+    "salary_histogram": "industry string, pay double, mentions bigint",
+}
+
+
+def fields_of(name: str) -> str:
+    """The columns of a published or side table, as DDL."""
+    return (MARTS | SIDE_MARTS)[name]
+
 
 def fields(ddl: str) -> dict[str, str]:
     """A flat DDL string as an ordered ``name -> type`` mapping."""

@@ -1,16 +1,16 @@
-"""Raw posts: landing pages, dated JSON batches, the id registry."""
+"""Raw posts: landing pages, dated JSON batches."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumgauge import schemas
 
 CORRUPT = "_corrupt_record"
+ARRAY_POSTS = 1000
 
 
 def _records(spark: SparkSession, path: str, date: str | None, layout: str) -> DataFrame:
@@ -42,13 +42,25 @@ def read_rejects(spark: SparkSession, path: str, date: str | None = None, layout
     return rest.select(F.coalesce(CORRUPT, F.to_json(F.struct(*schemas.POST_COLUMNS))).alias("record"), "date")
 
 
-def write_posts(posts: DataFrame, path: str, parts: Sequence[str] = ("date",)) -> None:
-    """Write dated posts as JSON lines, one folder per date.
+def write_posts(posts: DataFrame, path: str, parts: Sequence[str] = ("date",), layout: str = "lines",
+                per_array: int = ARRAY_POSTS) -> None:
+    """Write dated posts as JSON, one folder per date.
 
-    Replaces the folders that occur in ``posts`` and no others.
+    Replaces the folders that occur in ``posts`` and no others.  The posts of a date
+    are gathered into as many files as their size asks for: a small date gets one, a
+    date with most posts many.  ``layout="array"`` writes files of one JSON array
+    each, with ``per_array`` posts at most.
     """
-    (posts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).json(path))
+    if layout == "lines":
+        (posts.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).json(path))
+        return
+    group = F.floor(F.monotonically_increasing_id() / per_array)
+    post = F.to_json(F.struct(*[c for c in posts.columns if c not in parts]), {"ignoreNullFields": "false"})
+    arrays = posts.select(*parts, group.alias("_group"), post.alias("_post")).groupBy(*parts, "_group").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("_post"), ",\n"), F.lit("]")).alias("value"))
+    (arrays.drop("_group").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", 1).partitionBy(*parts).text(path))
 
 
 def parse_listings(pages: DataFrame, payload: str = "payload", keep: bool = False) -> DataFrame:
@@ -60,24 +72,17 @@ def parse_listings(pages: DataFrame, payload: str = "payload", keep: bool = Fals
     return parsed if keep else parsed.drop(payload)
 
 
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """All posts that collection runs have written, with when they were fetched, date and run."""
+    return spark.read.schema(f"{schemas.POST}, fetched_at timestamp, date string, run bigint").json(path)
+
+
 def read_run(spark: SparkSession, path: str, run: int) -> DataFrame:
-    """The posts one collection run has written, with their dates."""
-    posts = spark.read.schema(f"{schemas.POST}, fetched_at timestamp, date string, run bigint").json(path)
-    return posts.filter(F.col("run") == run)
+    """The posts one collection run has written."""
+    return read_runs(spark, path).filter(F.col("run") == run)
 
 
 def write_run(table: DataFrame, path: str, run: int) -> None:
     """Write what one run adds to a table, replacing an earlier attempt of it."""
     (table.withColumn("run", F.lit(run)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path))
-
-
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """Ids collected by earlier runs; none if there was no earlier run."""
-    schema = f"{schemas.REGISTRY}, run bigint"
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)

@@ -11,39 +11,39 @@ narrow result, so no body crosses the network for the join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from forumgauge.schemas import POST_COLUMNS
+from forumgauge.schemas import LISTING, POST_COLUMNS
 
 # --- Fixed values: titles by doc_id % 20 -----------------------------------------
-TITLES_TEXT = """
-Got an internship offer at Google paying $45/hr
-Rejected again after the final interview, feeling hopeless
-New grad salary $120,000 or $135,500 at a YC startup
-Is 150k total comp fair after 3 years of Python and AWS
-Moving to consulting at Deloitte, any resume advice?
-Palantir clearance job: is $52.50 per hour low?
-Nvidia hardware team burnout, 2,000 applications later
-Stripe or Databricks: system design mock interview tips
-Biotech data science, staff role, $185k base
-Walmart retail to game dev, career change via bootcamp
-ok
-Entry level C++ at Oracle, degree from a small college
-Sophomore at a state school, new to networking on LinkedIn
-Job search is slow, amazon and meta ghosted me, was 60/hr
-How to negotiate offer: $95,000 vs $110k at Goldman Sachs
-Learn open source, check Glassdoor before joining Uber
-Contract at $2,500 per hour, or 1,000/hr, or 1000.50/hr?
-After a 100km run with a 120kb file: $120.5k or 85.5k base?
-Is 120,0000 a typo, and does 401k match count next to $401k?
-Volunteering pays 0/hr, then 95,000.50 and $95000.50 a year
-"""
+TITLES = (
+    "Got an internship offer at Google paying $45/hr",
+    "Rejected again after the final interview, feeling hopeless",
+    "New grad salary $120,000 or $135,500 at a YC startup",
+    "Is 150k total comp fair after 3 years of Python and AWS",
+    "Moving to consulting at Deloitte, any resume advice?",
+    "Palantir clearance job: is $52.50 per hour low?",
+    "Nvidia hardware team burnout, 2,000 applications later",
+    "Stripe or Databricks: system design mock interview tips",
+    "Biotech data science, staff role, $185k base",
+    "Walmart retail to game dev, career change via bootcamp",
+    "ok",
+    "Entry level C++ at Oracle, degree from a small college",
+    "Sophomore at a state school, new to networking on LinkedIn",
+    "Job search is slow, amazon and meta ghosted me, was 60/hr",
+    "How to negotiate offer: $95,000 vs $110k at Goldman Sachs",
+    "Learn open source, check Glassdoor before joining Uber",
+    "Contract at $2,500 per hour, or 1,000/hr, or 1000.50/hr?",
+    "After a 100km run with a 120kb file: $120.5k or 85.5k base?",
+    "Is 120,0000 a typo, and does 401k match count next to $401k?",
+    "Volunteering pays 0/hr, then 95,000.50 and $95000.50 a year",
+)
 # --- End of fixed values ----------------------------------------------------------
 
-TITLES = tuple(TITLES_TEXT.strip().splitlines())
 MONTH_SECONDS = 2_592_000
 PAGE_POSTS, ITEM_POSTS = 10 ** 12, 2 * 10 ** 12  # where their post numbers begin
+PER_PAGE = 10
 
 
 SCHEMAS = {
@@ -129,15 +129,47 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested API pages over the posts, one post per page.
+    """subreddit, page, payload: nested API pages over the posts, up to ``PER_PAGE`` posts of a source each.
 
-    A missing body is left out of the payload, as the API may do.
+    A page holds the posts whose numbers share all but the last digit, so a group is
+    never larger.  A missing body is left out of the payload, as the API may do.
     """
     child = F.struct(F.struct("id", "title", "selftext", "score", "created_utc",
                               "num_comments", "url").alias("data"))
-    page = F.struct(F.struct(F.array(child).alias("children"),
-                             F.concat(F.lit("t3_"), "id").alias("after")).alias("data"))
-    return posts(spark, sf_dir).select("subreddit", F.to_json(page).alias("payload"))
+    number = F.col("id").cast("bigint")
+    pages = posts(spark, sf_dir).groupBy("subreddit", F.expr(f"bigint(id) % {PAGE_POSTS} div {PER_PAGE}").alias("page")).agg(
+        F.array_sort(F.collect_list(F.struct(number.alias("number"), child.alias("child")))).alias("found"))
+    page = F.struct(F.struct(F.transform("found", lambda x: x["child"]).alias("children"),
+                             F.concat(F.lit("t3_"), F.element_at("found", -1)["number"]).alias("after")).alias("data"))
+    return pages.select("subreddit", "page", F.to_json(page).alias("payload"))
+
+
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """payload, subreddit, listing, page: every page in the listing ``new``, those of even number also in ``top``.
+
+    A post has one vote more by the time that it is in ``top``.
+    """
+    new = listing_pages(spark, sf_dir)
+    top = new.filter("page % 2 = 0").withColumn("payload", F.to_json(_voted(F.from_json("payload", LISTING))))
+    return new.withColumn("listing", F.lit("new")).unionByName(top.withColumn("listing", F.lit("top"))).select(
+        "payload", "subreddit", "listing", F.col("page").cast("int").alias("page"))
+
+
+def _voted(page: Column) -> Column:
+    """A parsed page whose posts have one vote more."""
+    def more(child: Column) -> Column:
+        return child.withField("data", child["data"].withField("score", child["data"]["score"] + 1))
+
+    data = page["data"]
+    return F.struct(data.withField("children", F.transform(data["children"], more)).alias("data"))
+
+
+def chained_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """payload, subreddit, listing, asked_after: the pages of a source, each asked for with the token of the one before."""
+    after = F.get_json_object("payload", "$.data.after")
+    in_order = Window.partitionBy("subreddit").orderBy("page")
+    asked = listing_pages(spark, sf_dir).withColumn("asked_after", F.lag(after).over(in_order))
+    return asked.select("payload", "subreddit", F.lit("new").alias("listing"), "asked_after")
 
 
 def page_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:

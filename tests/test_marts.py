@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from forumgauge import schemas
 from forumgauge.operators import features, marts, ranking, rollups, serving
 from forumgauge.operators.enrich import prepare_words
-from forumgauge.plans import pipeline
+from forumgauge.plans import pipeline, stored_rollups
 from forumgauge.sources import marts as files
 from forumgauge.sources.paths import shared_folder, stored
 
@@ -99,13 +99,57 @@ def test_publish_of_one_run_takes_the_date_given(spark, sample, tmp_path):
     assert [r.date for r in files.list_dates(spark, path).collect()] == ["2024-03-03"]
 
 
-def test_a_failing_table_does_not_stop_the_others(sample, tmp_path, monkeypatch):
+def state_of(spark, path):
+    return {name: rows_of(table) for name, table in pipeline.load_published(spark, path).items()}
+
+
+def test_a_failing_salary_table_keeps_its_own_state_only(spark, sample, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    pipeline.publish_all(sample, path)
+    before = state_of(spark, path)
+
     def broken(*_):
         raise RuntimeError("no")
     monkeypatch.setitem(pipeline.TEXT_MARTS, "salary_stats", broken)
-    done = pipeline.publish_all(sample, str(tmp_path / "out"))
+    more = sample.withColumn("score", F.col("score") + 1)
+    done = pipeline.publish_all(more, path)
     assert isinstance(done["salary_stats"], RuntimeError)
     assert all(v is True for n, v in done.items() if n != "salary_stats")
+    after = state_of(spark, path)
+    assert after["salary_stats"] == before["salary_stats"] and after["network_metrics"] != before["network_metrics"]
+
+
+def test_another_failing_table_leaves_every_table_as_it_was(spark, sample, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    pipeline.publish_all(sample, path)
+    before = state_of(spark, path)
+
+    def broken(labels, by=()):
+        # fails in the middle of writing, after some rows
+        return marts.topic_analysis(labels, by).withColumn("post_count", F.raise_error(F.lit("no")).cast("bigint"))
+    monkeypatch.setitem(pipeline.TEXT_MARTS, "topic_analysis", broken)
+    done = pipeline.publish_all(sample.withColumn("score", F.col("score") + 1), path)
+    assert isinstance(done["topic_analysis"], Exception) and done["network_metrics"] is True
+    assert state_of(spark, path) == before
+    monkeypatch.undo()
+    assert files.vacuum(spark, path) > 0 and state_of(spark, path) == before
+    pipeline.publish_all(sample.withColumn("score", F.col("score") + 1), path)
+    assert state_of(spark, path) != before
+
+
+def test_tables_written_by_other_programs_are_read(spark, tmp_path):
+    path = tmp_path / "out"
+    for date, text in (("d1", "skill,skill_count\ngo,3\n"), ("d2", "skill_count,skill\n5,rust\n")):
+        (path / "skills_summary" / f"date={date}").mkdir(parents=True)
+        (path / "skills_summary" / f"date={date}" / "part-0.csv").write_text(text)
+    full = spark.createDataFrame([("sql", 1)], "skill string, skill_count bigint")
+    files.write_mart(full, "skills_summary", str(path), "d3")
+    assert rows_of(files.load_mart_all_dates(spark, "skills_summary", str(path))) == [
+        ("go", 3, "d1"), ("rust", 5, "d2"), ("sql", 1, "d3")]
+    assert rows_of(files.load_mart(spark, "skills_summary", "d2", str(path)).select("skill", "skill_count")) == [("rust", 5)]
+    assert [r.date for r in files.list_dates(spark, str(path)).collect()] == ["d1", "d2", "d3"]
+    files.write_mart(full, "skills_summary", str(path), "d1")
+    assert rows_of(files.load_mart(spark, "skills_summary", "d1", str(path))) == [("sql", 1, "d1")]
 
 
 @pytest.mark.parametrize("fmt", files.FORMATS)
@@ -127,6 +171,8 @@ def test_dates_with_other_columns_are_aligned_by_name(spark, tmp_path, fmt):
     table = files.load_mart_all_dates(spark, "salary_stats", path, fmt)
     got = rows_of(table.select("date", "industry", "salary_mention_posts", "median_salary", "min_salary"))
     assert got == [("d1", "A", 5, 50000.0, None), ("d2", "A", 2, None, 70000.0)]
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and " text " not in plan
     assert "max_salary" not in table.columns
 
 
@@ -157,6 +203,66 @@ def test_mean_of_means_and_weighted(spark):
         rollups.rollup_topic(table, "other")
 
 
+@pytest.mark.parametrize("fmt", files.FORMATS)
+def test_stored_rollups_read_only_new_dates(spark, tmp_path, fmt):
+    path = str(tmp_path)
+    table = spark.createDataFrame(
+        [("d1", "A", 5, 1.0, 50000.0, 10.0), ("d1", "B", 1, 4.0, None, 20.0), ("d2", "A", 3, 2.5, 70000.0, 5.0),
+         ("d3", None, 9, 9.0, 9.0, 9.0), ("d3", "C", 2, 3.0, 1.0, None)],
+        "date string, industry string, salary_mention_posts bigint, avg_comments double, median_salary double, min_salary double")
+
+    def agree(mode=rollups.MEAN_OF_MEANS):
+        stored_table = stored_rollups.stored_rollup(spark, path, "salary_stats", fmt, mode)
+        whole = rollups.rollup_salary(files.load_mart_all_dates(spark, "salary_stats", path, fmt), mode)
+        assert stored_table.columns == whole.columns
+        assert rows_of(stored_table) == rows_of(whole)
+
+    read = []
+    load = files.load_mart_dates
+    stored_rollups.mart_files.load_mart_dates = lambda s, n, dates, *rest: read.append(dates) or load(s, n, dates, *rest)
+    try:
+        agree()
+        files.write_mart(table.filter("date = 'd1'"), "salary_stats", path, fmt=fmt)
+        agree()
+        files.write_mart(table.filter("date > 'd1'").withColumn("avg_annual_tc", F.lit(1.5)), "salary_stats", path, fmt=fmt)
+        agree()
+        agree(rollups.WEIGHTED)
+        assert read == [[], ["d1"], ["d2", "d3"]]
+        files.write_mart(table.filter("date = 'd2'").withColumn("min_salary", F.lit(7.0)), "salary_stats", path, fmt=fmt)
+        agree()
+        assert read[3:] == [["d1", "d2", "d3"]]
+    finally:
+        stored_rollups.mart_files.load_mart_dates = load
+    with pytest.raises(ValueError):
+        stored_rollups.stored_rollup(spark, path, "salary_stats", fmt, "other")
+
+
+def test_stored_rollup_of_every_table_equals_the_whole_one(spark, sample, tmp_path):
+    path = str(tmp_path / "out")
+    pipeline.publish_all(sample.filter("date = '2024-01-01'"), path)
+    for name in schemas.MARTS:
+        stored_rollups.update(spark, path, name)
+    pipeline.publish_all(sample.filter("date > '2024-01-01'"), path)
+    for name, table in pipeline.load_published(spark, path).items():
+        assert rows_of(stored_rollups.stored_rollup(spark, path, name)) == rows_of(rollups.ROLLUPS[name](table)), name
+
+
+def test_median_over_dates_is_the_median_of_all_mentions(spark, tmp_path):
+    import random
+
+    rng = random.Random(3)
+    rows = [(f"d{rng.randrange(5)}", "ABC"[i % 3], rng.choice([30000.0, 50000.5, 99999.99, 1e6, float(rng.randrange(30000, 10**6))]),
+             rng.randint(1, 4)) for i in range(600)] + [("d1", "one", 5e4, 1), ("d1", "same", 7e4, 2), ("d2", "same", 7e4, 5), ("d2", None, 1e5, 1)]
+    table = spark.createDataFrame(rows, "date string, industry string, pay double, mentions bigint")
+    files.write_mart(table, "salary_histogram", str(tmp_path), fmt="parquet")
+    got = rollups.rollup_salary_median(files.load_mart_all_dates(spark, "salary_histogram", str(tmp_path), "parquet"))
+    values = {}
+    for _, industry, pay, n in rows:
+        values.setdefault(industry, []).extend([pay] * n)
+    wanted = [(k, float(len(v)), sorted(v)[len(v) // 2]) for k, v in values.items() if k]
+    assert rows_of(got.select("industry", F.col("mentions").cast("double"), "median_salary")) == sorted(wanted)
+
+
 def test_densify_fills_counts_but_not_averages(spark):
     table = spark.createDataFrame([("2024-01", "Positive", 2, 5.0, 1.0), ("2024-02", "Neutral", 1, 3.0, 0.0)],
                                   "year_month string, sentiment string, post_count bigint, avg_score double, avg_comments double")
@@ -196,5 +302,19 @@ def test_term_counts_agree_with_the_vectors(posts_of):
         assert dense[row.id][row["index"]] == pytest.approx(row.weight)
 
 
+def test_bags_count_each_term_of_a_post(spark):
+    posts = spark.createDataFrame([("a", ["x", "b", "x", "", "x"]), ("b", []), ("c", None), ("d", ["q"])], "id string, filtered_words array<string>")
+    assert rows_of(features.term_bags(posts), "id") == [
+        ("a", ["", "b", "x"], [1, 1, 3]), ("b", [], []), ("c", [], []), ("d", ["q"], [1])]
+    assert rows_of(features.bag_vocabulary(features.term_bags(posts), 2)) == rows_of(features.vocabulary(posts, 2))
+
+
+def test_texts_are_read_once_for_weights(spark, posts_of):
+    posts = prepare_words(posts_of({"title": "apple apple banana tree"}, {"title": "banana bread with seeds"}))
+    for table in (features.term_counts(posts, 3), features.tfidf_weights(posts, 3)):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "title" not in plan and "FileScan" in plan
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
