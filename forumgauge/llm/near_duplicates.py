@@ -202,8 +202,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(joined, run, schema)
 
 
-def _dealt(parts: DataFrame, work: Work, name: str) -> DataFrame:
-    """cluster, row, column, side, doc, part: the blocks to compare in clusters of several parts.
+def _dealt(parts: DataFrame, work: Work, name: str) -> DataFrame | None:
+    """cluster, row, column, side, doc, part: the blocks to compare in clusters of several parts; None if there are none.
 
     ``parts`` has doc, cluster and part.  Documents outside the largest part of a cluster
     are dealt to columns, all documents to rows of blocks.
@@ -216,6 +216,8 @@ def _dealt(parts: DataFrame, work: Work, name: str) -> DataFrame:
                      F.ceil(F.col("all") / BLOCK).alias("rows"),
                      F.ceil((F.col("all") - F.col("top.n")) / BLOCK).alias("columns")))
     rows = work.keep(parts.join(mixed, "cluster"), name)
+    if rows.isEmpty():
+        return None
     place = F.xxhash64("doc")
     wide = [F.col("doc"), F.col("part"), F.col("cluster")]
     as_row = rows.select(*wide, F.pmod(place, "rows").alias("row"),
@@ -260,7 +262,10 @@ def _left(rest: DataFrame, stars: DataFrame, classes: DataFrame, work: Work) ->
     joined = components(stars, work, "joined").select(F.col("node").alias("doc"), "component")
     parts = rest.join(joined, "doc", "left").select(
         "doc", F.col("key").alias("cluster"), F.coalesce("component", "doc").alias("part"))
-    dealt = _dealt(parts, work, "left").join(classes, "doc")
+    dealt = _dealt(parts, work, "left")
+    if dealt is None:
+        return stars.limit(0)
+    dealt = dealt.join(classes, "doc")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
                            T.StructField("likeness", T.DoubleType())])
 
@@ -272,10 +277,13 @@ def _left(rest: DataFrame, stars: DataFrame, classes: DataFrame, work: Work) ->
     return dealt.groupBy("cluster", "row", "column").applyInArrow(compare, schema)
 
 
-def _across(parts: DataFrame, classes: DataFrame, sets: DataFrame, work: Work, percent: int) -> DataFrame:
-    """Links between parts of one cluster, confirmed on full sets."""
+def _across(parts: DataFrame, classes: DataFrame, sets: DataFrame, work: Work, percent: int) -> DataFrame | None:
+    """Links between parts of one cluster, confirmed on full sets; None where each cluster is one part."""
+    dealt = _dealt(parts, work, "mixed")
+    if dealt is None:
+        return None
     full = classes.join(sets, "doc").select("doc", "n_shingles", "registers", "shingles")
-    dealt = _dealt(parts, work, "mixed").join(full, "doc")
+    dealt = dealt.join(full, "doc")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
     def compare(group: pa.Table) -> pa.Table:
@@ -310,7 +318,9 @@ def groups(documents: DataFrame, work: Work, text: str = "text", key: str = "doc
     stars = edges[0]
     for more in edges[1:]:
         stars = stars.unionByName(more)
-    likely = work.keep(stars.unionByName(_left(rest, stars, classes, work)), "likely")
+    if not rest.isEmpty():
+        stars = stars.unionByName(_left(rest, stars, classes, work))
+    likely = work.keep(stars, "likely")
 
     clusters = work.keep(components(likely, work, "clusters"), "clusters")
     sets = work.keep(_sets(long_key, clusters.select(F.col("node").alias("doc")), "text", "doc", size), "sets")
@@ -321,8 +331,16 @@ def groups(documents: DataFrame, work: Work, text: str = "text", key: str = "doc
         clusters.select(F.col("node").alias("doc"), F.col("component").alias("cluster"))
         .join(first.select(F.col("node").alias("doc"), "component"), "doc", "left")
         .select("doc", "cluster", F.coalesce("component", "doc").alias("part")), "parts")
-    more = work.keep(_across(parts, classes, sets, work, percent), "more")
-    whole = work.keep(components(links.unionByName(more), work, "whole"), "whole")
+    whole = parts.select(F.col("doc").alias("node"), F.col("part").alias("component"))
+    more = _across(parts, classes, sets, work, percent)
+    if more is not None:
+        # Parts are connected already; only links between them are left to follow.
+        sides = [whole.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}")) for x in "ab"]
+        between = work.keep(more, "more").join(sides[0], "a").join(sides[1], "b")
+        joined = components(between, work, "whole", "part_a", "part_b").select(
+            F.col("node").alias("component"), F.col("component").alias("first"))
+        whole = work.keep(whole.join(joined, "component", "left").select(
+            "node", F.coalesce("first", "component").alias("component")), "whole")
 
     heads = same.join(whole.select(F.col("node").alias("head"), "component"), "head", "left").select(
         "f", "g", "n_shingles", F.coalesce("component", "head").alias("component"))
