@@ -598,7 +598,7 @@ def filtered(mart: str, where: str = "true") -> str:
     return chain(rounded(f"(SELECT * FROM rolled_{mart} WHERE {where})", *AVERAGES[mart]), f"rolled_{mart}")
 
 
-def word_labels(kind: str, default: str) -> str:
+def word_labels(kind: str, default: str | None) -> str:
     """Labels by whole words, one search per keyword."""
     column = LABEL_SQL[kind][0]
 
@@ -608,7 +608,7 @@ def word_labels(kind: str, default: str) -> str:
 
     cases = ", ".join(f"CASE WHEN {' OR '.join(map(found, kws))} THEN {lit(name)} END"
                       for name, kws in LEX.categories(kind).items())
-    return chain(f"SELECT id, CASE WHEN l = '' THEN {lit(default)} ELSE l END AS {column} "
+    return chain(f"SELECT id, CASE WHEN l = '' THEN {lit(default or '')} ELSE l END AS {column} "
                  f"FROM (SELECT id, concat_ws('|', {cases}) AS l FROM text_posts)", "text_posts")
 
 
@@ -624,4 +624,7 @@ ORACLE |= {
     "order_months": ORACLE["monthly_avg_score"],
     "tag_topics_word": word_labels("topic", "General"),
     "tag_industries_word": word_labels("industry", "General/Unspecified"),
+    "tag_topics_table": word_labels("topic", "General"),
+    "tag_industries_table": word_labels("industry", "General/Unspecified"),
+    "tag_skills_table": word_labels("skill", None),
 }

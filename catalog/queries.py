@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from forumgauge import schemas
 from forumgauge.functions.labels import LABEL_COLUMNS
 from forumgauge.functions.salary import bounded_pay
-from forumgauge.operators import enrich, features, ingest, marts, ranking, rollups, salary, serving
+from forumgauge.functions.lexicon import DEFAULT_LEXICON
+from forumgauge.operators import enrich, features, ingest, marts, ranking, rollups, salary, serving, table_tagging
 from forumgauge.plans import pipeline, stored_rollups
 from forumgauge.plans.collection import Collection, run_collection
 from forumgauge.sources import marts as mart_files
@@ -563,6 +564,17 @@ def tag_topics_word(s, d):
     return _joined(labels.select("id", "topics"), "topics")
 
 
+def _table_query(kind: str) -> Query:
+    """Whole-word labels from the lexicon as a table."""
+    column = LABEL_COLUMNS[kind]
+
+    def query(s, d):
+        posts = enrich.keep_text_posts(enrich.add_full_text(tables.post_texts(s, d)))
+        found = table_tagging.tag_by_table(posts, DEFAULT_LEXICON.to_df(s), [kind])
+        return _joined(found, column)
+    return query
+
+
 def tag_industries_word(s, d):
     labels = pipeline.text_labels(tables.post_texts(s, d), ["industry"], match="word")
     return _joined(labels.select("id", "industries"), "industries")
@@ -722,6 +734,9 @@ QUERIES: dict[str, Query] = {
     "order_pay": order_pay,
     "order_months": order_months,
     "tag_topics_word": tag_topics_word,
+    "tag_topics_table": _table_query("topic"),
+    "tag_industries_table": _table_query("industry"),
+    "tag_skills_table": _table_query("skill"),
     "tag_industries_word": tag_industries_word,
     "monthly_avg_score": monthly_avg_score,
     "salary_ranges": salary_ranges,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from forumgauge.functions.labels import LABEL_COLUMNS, found_keywords, with_implied
 from forumgauge.functions.lexicon import DEFAULT_LEXICON, KINDS, Lexicon
-from forumgauge.operators import tagging
+from forumgauge.operators import table_tagging, tagging
 from forumgauge.operators.enrich import keep_labelled
 
 WORDS = DEFAULT_LEXICON.keywords(*KINDS)
@@ -122,3 +122,41 @@ def test_filter_on_labels_reads_the_text_once(spark):
     assert plan.count("regexp_extract_all") == 1
     plan = keep_labelled(tagging.tag_skills(df), "mentioned_skills")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
+
+
+def _posts(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "id bigint, full_text string")
+
+
+ODD_TEXTS = [
+    None, "", "c++", "I know C++, c# and c", "c++x", "xc++", "(c++)", "c+++", "+c++ ", "go", "golang", "go-go", "node.js", "_go_", "go_",
+    "y combinator and y  combinator", "ernst & young!", "ernst&young", "5+ years", "15+ years", "5+ years!", "high-school senior",
+    "ts/sci clearance", "23andme", "Über uber", "rejected, ghosted; offer offered", "entry level\tjob", "...", " \n ", "a.i. ai a_i",
+    "co-op coop co op", "what should i do", "日本 go 日本", "go日本", "new grad, new-grad newgrad",
+]
+
+
+def test_labels_from_a_table_equal_whole_word_labels(spark):
+    posts = _posts(spark, ODD_TEXTS)
+    wanted = tagging.tag(posts, KINDS, match="word").select("id", *LABEL_COLUMNS.values())
+    got = table_tagging.tag_by_table(posts, DEFAULT_LEXICON.to_df(spark))
+    assert got.columns == wanted.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_a_lexicon_of_many_keywords_is_joined(spark):
+    table = spark.range(100_000).select(
+        F.lit("skill").alias("kind"), F.col("id").cast("int").alias("priority"), F.concat(F.lit("s"), "id").alias("category"),
+        F.concat(F.lit("tool "), F.col("id").cast("string"), F.when(F.col("id") % 2 == 0, "+").otherwise("")).alias("keyword"))
+    texts = ["tool 7 and tool 8+ but tool 9x", "tool 8", "no tool", "tool 99999, tool 0+"]
+    got = {r.id: r.mentioned_skills for r in table_tagging.tag_by_table(_posts(spark, texts), table, ["skill"]).collect()}
+    assert got == {0: ["s7", "s8"], 1: [], 2: [], 3: ["s0", "s99999"]}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        shuffled = table_tagging.tag_by_table(_posts(spark, texts), table, ["skill"])
+        assert {r.id: r.mentioned_skills for r in shuffled.collect()} == got
+        assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(Exception, match="keyword without a word"):
+        table_tagging.found_rows(_posts(spark, texts), table.limit(1).withColumn("keyword", F.lit("++")))
