@@ -310,7 +310,7 @@ def classify(documents: DataFrame, labels: DataFrame, work: Work, text: str = "t
 
 def filtered(documents: DataFrame, labels: DataFrame, work: Work, text: str = "text", key: str = "doc_id",
              host: str = "source", path: str = "lang", **settings) -> DataFrame:
-    """The documents that are kept, with their own columns.
+    """The documents that are kept, with their own columns, which may have any names.
 
     Evidence is worked out again beside the whole rows, which costs less than sending
     all texts to where the verdicts are.
@@ -318,4 +318,7 @@ def filtered(documents: DataFrame, labels: DataFrame, work: Work, text: str = "t
     model = fit(documents, labels, work, text, key, **settings)
     narrow = with_evidence(documents.select(host, path, text), model, text).drop(text)
     priors = site_priors(narrow, work, host, path)
-    return judge(with_evidence(documents, model, text), priors, host, path).where("kept").select(*documents.columns)
+    # Numbered names keep the caller's columns apart from those of the judgement.
+    safe = {name: f"_column_{i}" for i, name in enumerate(documents.columns)}
+    judged = judge(with_evidence(documents.toDF(*safe.values()), model, safe[text]), priors, safe[host], safe[path])
+    return judged.where("kept").select(*safe.values()).toDF(*safe)

@@ -152,14 +152,20 @@ def mix(documents: DataFrame, work: Work, text: str = "text", source: str = "sou
     """The documents of the mix: a row for each time one is taken, its text cut to what the last time took.
 
     Rows are joined to what the plan takes by key, source and size, so documents
-    that agree in all three count as one; the key is otherwise taken to be unique.
+    that agree in all three count as one; a key may occur in several sources.  Columns
+    of any other name stay as they are.
     """
     taken, _ = plan(documents, work, text, source, key, **settings)
-    taken = taken.select(F.col(key).alias("_key"), "size", "taken").where("taken > 0").dropDuplicates(["_key", "size"])
-    texts = documents.withColumn("_size", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint"))
-    rows = texts.join(taken, texts[key].eqNullSafe(taken["_key"]) & (texts["_size"] == taken["size"]))
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))))
-    left = F.col("taken") - (F.col("_copy") - 1) * F.col("size")
+    taken = taken.where("taken > 0").select(
+        F.col(key).alias("_mix_key"), F.col(source).alias("_mix_source"), F.col("size").alias("_mix_size"),
+        F.col("taken").alias("_mix_taken")).dropDuplicates(["_mix_key", "_mix_source", "_mix_size"])
+    size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
+    texts = documents.withColumn("_mix_words", size)
+    rows = texts.join(taken, texts[key].eqNullSafe(taken["_mix_key"]) & texts[source].eqNullSafe(taken["_mix_source"])
+                      & (texts["_mix_words"] == taken["_mix_size"]))
+    copies = F.ceil(F.col("_mix_taken") / F.col("_mix_size")).cast("int")
+    rows = rows.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), copies)))
+    left = F.col("_mix_taken") - (F.col("_mix_copy") - 1) * F.col("_mix_size")
     part = F.array_join(F.slice(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), ""), 1, left.cast("int")), " ")
-    cut = rows.withColumn(text, F.when(left >= F.col("size"), F.col(text)).otherwise(part))
+    cut = rows.withColumn(text, F.when(left >= F.col("_mix_size"), F.col(text)).otherwise(part))
     return cut.select(*documents.columns)

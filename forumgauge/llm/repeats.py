@@ -295,5 +295,7 @@ def remove(documents: DataFrame, work: Work, text: str = "text", key: str = "doc
                     [batch.column(0).slice(first, last - first), pa.array(counts, pa.int64()),
                      pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=schema.names)
 
-    joined = documents.join(spans, documents[key].cast("bigint") == spans["doc"], "left")
-    return map_batches(joined.select(documents[key], documents[text], "spans"), run, schema)
+    narrow = documents.select(key, text)  # other columns are not looked at, whatever their names
+    spans = spans.select(F.col("doc").alias("_repeats_doc"), F.col("spans").alias("_repeats_spans"))
+    joined = narrow.join(spans, narrow[key].cast("bigint") == spans["_repeats_doc"], "left")
+    return map_batches(joined.select(key, text, "_repeats_spans"), run, schema)
