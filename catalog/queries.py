@@ -219,7 +219,9 @@ def write_salary_mart(s, d):
 
 def _published(s, d):
     path = work_folder(s, "marts")
-    outcome = pipeline.publish_all(_dated_raw(s, d), path)
+    measures = tables.add_measures(tables.post_ids(s, d), d).withColumn(
+        "date", F.date_format(F.timestamp_seconds("created_utc"), "yyyy-MM-dd"))
+    outcome = pipeline.publish_all(tables.post_texts(s, d), path, measures=measures.drop("doc_id"))
     failed = {n: r for n, r in outcome.items() if isinstance(r, Exception)}
     if failed:
         raise RuntimeError(f"tables not published: {failed}")

@@ -53,18 +53,21 @@ def text_labels(posts: DataFrame, kinds: Iterable[str] = KINDS, salaries: bool =
 
 
 def label_posts(posts: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON, match: str = "substring",
-                hours_per_year: float = HOURS_PER_YEAR) -> DataFrame:
+                hours_per_year: float = HOURS_PER_YEAR, measures: DataFrame | None = None) -> DataFrame:
     """All labels of all posts, without text: what every table is made from.
 
     Texts are the bulk of the data and are read once, here.  Posts too short to
     analyse stay in, marked by ``is_text_post``, because some tables count them.
+    Where score, comments and time are in a table of their own, ``measures`` with the
+    same ids, they are joined with the labels, so that no text moves for the join.
     """
-    found = enrich.add_measures_time(enrich.add_full_text(posts))
-    found = found.withColumn("is_text_post", is_long_enough(joined_text()))
+    found = enrich.add_full_text(posts).withColumn("is_text_post", is_long_enough(joined_text()))
     found = tagging.tag_salaries(tagging.tag(found, KINDS, lexicon=lexicon, match=match),
                                  hours_per_year=hours_per_year)
-    extra = [c for c in ("date",) if c in posts.columns]
-    return found.select(*LABEL_TABLE, *extra)
+    found = found.drop("full_text", "title", "selftext", "url")
+    if measures is not None:
+        found = found.join(measures, "id")
+    return enrich.add_measures_time(found).select(*LABEL_TABLE, *(c for c in ("date",) if c in found.columns))
 
 
 def compute_mart(name: str, labels: DataFrame, by: Iterable[str] = ("date",)) -> DataFrame:
@@ -86,8 +89,8 @@ def compute_side(name: str, labels: DataFrame, by: Iterable[str] = ("date",)) ->
 
 
 def publish_all(posts: DataFrame, path: str, date: str | None = None, fmt: str = "csv",
-                labels_path: str | None = None, isolated: Iterable[str] = ISOLATED,
-                side: bool = False) -> dict[str, bool | Exception]:
+                labels_path: str | None = None, isolated: Iterable[str] = ISOLATED, side: bool = False,
+                measures: DataFrame | None = None) -> dict[str, bool | Exception]:
     """Compute and write all published tables for the dates of ``posts``.
 
     The label table is written once, to ``labels_path`` or the shared folder;
@@ -99,11 +102,12 @@ def publish_all(posts: DataFrame, path: str, date: str | None = None, fmt: str =
     The result says of each table whether it had rows, or why it failed.  Where a
     table outside ``isolated`` fails, nothing is shown and every date keeps what it
     had; a failed table of ``isolated`` keeps its own earlier state only.  ``side``
-    adds the tables that exact roll-ups are made from.
+    adds the tables that exact roll-ups are made from.  ``measures`` as for
+    :func:`label_posts`.
     """
     if date is not None:
         posts = posts.withColumn("date", F.lit(date))
-    labels = stored(label_posts(posts), "labels", labels_path)
+    labels = stored(label_posts(posts, measures=measures), "labels", labels_path)
 
     def stage(name: str) -> mart_files.Staged | Exception:
         try:
