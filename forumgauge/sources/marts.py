@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,6 +23,7 @@ from forumgauge.sources.commits import CommitLog, Folder
 
 FORMATS = ("csv", "parquet")
 COMMITS = "_commits"
+COMMITS_AT_ONCE = 16
 COMMIT = "number bigint, tables map<string, struct<folder: string, columns: array<string>>>, date string"
 
 
@@ -69,9 +71,14 @@ def commit_marts(spark: SparkSession, path: str, staged: Iterable[Staged]) -> No
     for one in staged:
         for date in one.dates:
             by_date.setdefault(date, {})[one.name] = {"folder": f"version={one.version}/date={date}", "columns": one.columns}
-    for date, tables in by_date.items():
+
+    def commit(date: str) -> None:
         CommitLog(spark, f"{path}/{COMMITS}/date={date}").change(
-            lambda before, tables=tables: {"tables": {**(before or {"tables": {}})["tables"], **tables}})
+            lambda before: {"tables": {**(before or {"tables": {}})["tables"], **by_date[date]}})
+
+    # Each date is a few small file operations, which mostly wait.
+    with ThreadPoolExecutor(COMMITS_AT_ONCE) as pool:
+        list(pool.map(commit, by_date))
 
 
 def write_mart(table: DataFrame, name: str, path: str, date: str | None = None, fmt: str = "csv") -> bool:
@@ -97,7 +104,8 @@ def committed(spark: SparkSession, path: str, date: str | None = None) -> dict[s
         return {date: latest["tables"]} if latest else {}
     if not Folder(spark, path).names(f"{COMMITS}/date=*/[0-9]*.json"):
         return {}
-    commits = spark.read.schema(COMMIT).json(f"{path}/{COMMITS}")
+    # A commit may be followed by another, and removed, while this reads.
+    commits = spark.read.schema(COMMIT).option("ignoreMissingFiles", True).json(f"{path}/{COMMITS}")
     latest = commits.groupBy("date").agg(F.max_by("tables", "number").alias("tables"))
     return {row.date: {name: entry.asDict() for name, entry in row.tables.items()} for row in latest.collect()}
 
