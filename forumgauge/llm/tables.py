@@ -9,21 +9,13 @@ from collections.abc import Callable
 from functools import cache
 from pathlib import Path
 
-import forumgauge
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-SETTING = "spark.checkpoint.dir"
-BATCH_ROWS = 1000
-
+import forumgauge
+from forumgauge.sources.paths import shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; set to a new one where it is unset, as in tests."""
-    folder = spark.conf.get(SETTING, None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='forumgauge-')}"
-        spark.conf.set(SETTING, folder)
-    return folder.rstrip("/")
+BATCH_ROWS = 1000
 
 
 class Work:
