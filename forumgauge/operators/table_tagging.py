@@ -3,8 +3,8 @@
 A keyword is found as a whole word where the characters beside it are no letters,
 digits or underscores.  So it is found exactly where it equals one of the text's runs
 of words, written with what stands between them, or such a run with some of the
-signs before or after it (``c++``).  These runs are listed inside each row, each once,
-and joined with the keywords by equality; whether keywords or runs move is decided
+signs before or after it (``c++``).  Runs of the shapes that keywords have are listed by one
+pattern per shape inside each row, each once, and joined with the keywords by equality; whether keywords or runs move is decided
 by Spark from their sizes.  Only keys, runs and labels leave the row, no text does.
 """
 
@@ -20,48 +20,28 @@ from forumgauge.functions.lexicon import DEFAULT_EXPERIENCE, KINDS, NEUTRAL
 from forumgauge.operators.once import compute_once
 
 WORD = r"[\p{L}\p{N}_]"
+SIGN = r"[^\p{L}\p{N}_]"
 # Signs before or after a keyword's outer words that still belong to it, at most.
 MOST_SIGNS = 4
 
 
-def _sides(beside: Column, inner_end: bool, open_end: Column) -> Column:
-    """What a keyword may take of the signs between words: '' or up to ``MOST_SIGNS`` next to the word.
+def _run_pattern(words: int, before: int, after: int) -> str:
+    """Runs of that many words with that many signs before and after them, as group 1, wherever one begins.
 
-    ``inner_end``: the signs follow the word.  All of them may be taken only where no
-    word stands behind them, at an open end of the text; else a sign must be left.
+    Signs at an outer end are no blanks, and no word stands beside them.  The part behind the
+    group takes the first word, so that the next search does not begin inside it.
     """
-    def piece(j: Column) -> Column:
-        return F.substring(beside, F.lit(1), j) if inner_end else F.substring(beside, F.length(beside) - j + 1, j)
+    lead = rf"(?!\s){SIGN}{{{before}}}" if before else ""
+    tail = rf"{SIGN}{{{after}}}(?<!\s)" if after else ""
+    more = f"(?:{SIGN}++{WORD}++){{{words - 1}}}" if words > 1 else ""
+    return f"(?<!{WORD})(?=({lead}{WORD}++{more}{tail})(?!{WORD}))" + ("" if before else f"{WORD}++")
 
-    blank = r"\s$" if inner_end else r"^\s"
-    pieces = F.transform(F.sequence(F.lit(1), F.greatest(F.least(F.length(beside), F.lit(MOST_SIGNS)), F.lit(1))), piece)
-    fitting = F.filter(pieces, lambda p: (F.length(p) > 0) & ~p.rlike(blank) & ((F.length(p) < F.length(beside)) | open_end))
-    return F.concat(F.array(F.lit("")), fitting)
 
-
-def word_runs(posts: DataFrame, text_col: str, most_words: int, out: str = "_runs") -> DataFrame:
-    """Add the distinct runs of 1 to ``most_words`` words of the lower-cased text, with and without signs around."""
-    tokens = F.regexp_extract_all(F.lower(F.coalesce(text_col, F.lit(""))), F.lit(f"{WORD}+|[^\\p{{L}}\\p{{N}}_]+"), F.lit(0))
-    found = compute_once(posts, "_tokens", tokens)
-    # Words and signs alternate.
-    size = F.size("_tokens")
-    first = F.when(F.get("_tokens", F.lit(0)).rlike(f"^{WORD}"), 0).otherwise(1)
-    starts = F.when(size > first, F.sequence(first, F.greatest(size - 1, first), F.lit(2))).otherwise(F.array().cast("array<int>"))
-
-    def runs_from(i: Column) -> Column:
-        before = _sides(F.coalesce(F.get("_tokens", i - 1), F.lit("")), False, i - 1 == 0)
-        more = F.least(F.lit(most_words - 1), F.floor((size - 1 - i) / 2).cast("int"))
-
-        def run(m: Column) -> Column:
-            words = F.array_join(F.slice("_tokens", i + 1, 2 * m + 1), "")
-            end = i + 2 * m + 1
-            after = _sides(F.coalesce(F.get("_tokens", end), F.lit("")), True, end == size - 1)
-            return F.flatten(F.transform(before, lambda b: F.transform(after, lambda a: F.concat(b, words, a))))
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), more), run))
-
-    runs = F.array_distinct(F.flatten(F.transform(starts, runs_from)))
-    return compute_once(found, out, runs).drop("_tokens")
+def word_runs(posts: DataFrame, text_col: str, shapes: Iterable[tuple[int, int, int]], out: str = "_runs") -> DataFrame:
+    """Add the distinct runs of words of the lower-cased text that have one of the shapes: words, signs before and after."""
+    lowered = F.lower(F.coalesce(text_col, F.lit("")))
+    found = [F.regexp_extract_all(lowered, F.lit(_run_pattern(*shape)), F.lit(1)) for shape in shapes]
+    return compute_once(posts, out, F.array_distinct(F.concat(F.array().cast("array<string>"), *found)))
 
 
 def keyword_words(keyword: Column) -> Column:
@@ -69,16 +49,27 @@ def keyword_words(keyword: Column) -> Column:
     return F.size(F.regexp_extract_all(keyword, F.lit(f"{WORD}+"), F.lit(0)))
 
 
+def keyword_shapes(lexicon: DataFrame) -> list[tuple[int, int, int]]:
+    """How many words, signs before and signs after them the keywords have, each combination once.
+
+    Keywords with more than ``MOST_SIGNS`` signs at a side are left out, as no text is searched for
+    them; those without a word are an error.
+    """
+    keyword = F.col("keyword")
+    words = keyword_words(keyword)
+    checked = F.when(words > 0, words).otherwise(F.raise_error(F.concat(F.lit("keyword without a word: "), "keyword")).cast("int"))
+    before, after = (F.length(F.regexp_extract(keyword, p, 0)) for p in (f"^{SIGN}*", f"{SIGN}*$"))
+    shapes = lexicon.select(checked.alias("words"), before.alias("before"), after.alias("after")).distinct()
+    return sorted(tuple(row) for row in shapes.collect() if max(row["before"], row["after"]) <= MOST_SIGNS)
+
+
 def found_rows(posts: DataFrame, lexicon: DataFrame, text_col: str = "full_text", key: str = "id") -> DataFrame:
     """key and the row of ``lexicon`` (kind, priority, category, keyword) for each keyword in a text.
 
-    Keywords without a word are an error.  The largest number of words, one value, goes
-    to the driver.
+    Keywords without a word are an error.  The shapes of the keywords, few whatever their number,
+    go to the driver; a text is searched once for each shape.
     """
-    words = keyword_words(F.col("keyword"))
-    checked = F.when(words > 0, words).otherwise(F.raise_error(F.concat(F.lit("keyword without a word: "), "keyword")).cast("int"))
-    most = lexicon.agg(F.max(checked)).first()[0] or 1
-    runs = word_runs(posts.select(key, text_col), text_col, most).select(key, F.explode("_runs").alias("keyword"))
+    runs = word_runs(posts.select(key, text_col), text_col, keyword_shapes(lexicon)).select(key, F.explode("_runs").alias("keyword"))
     return runs.join(lexicon, "keyword").select(key, "kind", "priority", "category", "keyword")
 
 
