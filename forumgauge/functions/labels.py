@@ -52,7 +52,7 @@ def _one_of(chars: Iterable[str]) -> str:
     return f"(?=[{''.join(map(_quote, chars))}])"
 
 
-def _tree_pattern(words: Iterable[str]) -> str:
+def tree_pattern(words: Iterable[str]) -> str:
     """A pattern matching the longest of the words that starts at a position.
 
     Most positions match nothing, so what counts is how few tests it takes to
@@ -71,7 +71,7 @@ def _tree_pattern(words: Iterable[str]) -> str:
     for char in firsts:
         seconds = sorted({rest[:1] for rest in by_first[char]})
         peek = _one_of(seconds) if len(seconds) > 2 and "" not in seconds else ""
-        branches.append(_quote(char) + peek + _tree_pattern(by_first[char]))
+        branches.append(_quote(char) + peek + tree_pattern(by_first[char]))
     if not branches:
         return ""
     if len(branches) == 1 and not ends_here:
@@ -121,7 +121,7 @@ def found_keywords(lowered: Column, keywords: Iterable[str], match: str = "subst
 
 
 def _pattern(keywords: list[str], match: str) -> str:
-    tree = _tree_pattern(keywords)
+    tree = tree_pattern(keywords)
     if match == "word":
         return f"(?<!{_WORD_CHAR})(?=({tree})(?!{_WORD_CHAR}))"
     return f"(?=({tree}))"

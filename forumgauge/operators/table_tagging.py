@@ -3,19 +3,20 @@
 A keyword is found as a whole word where the characters beside it are no letters,
 digits or underscores.  So it is found exactly where it equals one of the text's runs
 of words, written with what stands between them, or such a run with some of the
-signs before or after it (``c++``).  Runs of the shapes that keywords have are listed by one
-pattern per shape inside each row, each once, and joined with the keywords by equality; whether keywords or runs move is decided
+signs before or after it (``c++``).  Runs that begin as some keyword does and have the
+shape of one are listed inside each row, each once, and joined with the keywords by equality; whether keywords or runs move is decided
 by Spark from their sizes.  Only keys, runs and labels leave the row, no text does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forumgauge.functions.labels import DEFAULTS, LABEL_COLUMNS
+from forumgauge.functions.labels import DEFAULTS, LABEL_COLUMNS, tree_pattern
 from forumgauge.functions.lexicon import DEFAULT_EXPERIENCE, KINDS, NEUTRAL
 from forumgauge.operators.once import compute_once
 
@@ -25,23 +26,42 @@ SIGN = r"[^\p{L}\p{N}_]"
 MOST_SIGNS = 4
 
 
+# Keywords begin in one of so many ways, at most; up to so many characters tell these apart.
+MOST_STARTS, START_LENGTH = 1000, 3
+
+
+def _place_pattern(words: int, before: int, after: int, starts: list[str] | None) -> str:
+    """A place where a keyword may begin, as group 1: its words and signs, and enough behind them to see where they end."""
+    start = f"(?={tree_pattern(starts)})" if starts else ""
+    ends = rf"(?:{SIGN}{{{after + 1}}}|{SIGN}{{0,{after}}}+{WORD}?)"
+    return rf"(?<!{WORD}){start}(?=({SIGN}{{{before}}}{WORD}++(?:{SIGN}++{WORD}++){{0,{words - 1}}}{ends}))"
+
+
 def _run_pattern(words: int, before: int, after: int) -> str:
-    """Runs of that many words with that many signs before and after them, as group 1, wherever one begins.
+    """The run of that many words, with that many signs before and after it, at the beginning of a place.
 
-    Signs at an outer end are no blanks, and no word stands beside them.  The part behind the
-    group takes the first word, so that the next search does not begin inside it.
+    Signs at an outer end are no blanks, and no word stands beside them.
     """
     lead = rf"(?!\s){SIGN}{{{before}}}" if before else ""
     tail = rf"{SIGN}{{{after}}}(?<!\s)" if after else ""
-    more = f"(?:{SIGN}++{WORD}++){{{words - 1}}}" if words > 1 else ""
-    return f"(?<!{WORD})(?=({lead}{WORD}++{more}{tail})(?!{WORD}))" + ("" if before else f"{WORD}++")
+    return f"^({lead}{WORD}++(?:{SIGN}++{WORD}++){{{words - 1}}}{tail})(?!{WORD})"
 
 
-def word_runs(posts: DataFrame, text_col: str, shapes: Iterable[tuple[int, int, int]], out: str = "_runs") -> DataFrame:
-    """Add the distinct runs of words of the lower-cased text that have one of the shapes: words, signs before and after."""
+def word_runs(posts: DataFrame, text_col: str, shapes: Iterable[tuple[int, int, int]], starts: list[str] | None = None,
+              out: str = "_runs") -> DataFrame:
+    """Add the distinct runs of words of the lower-cased text that have one of the shapes: words, signs before and after.
+
+    With ``starts`` only runs that begin with one of them are listed.  A text is searched once, and
+    once more for each number of signs before a word.
+    """
     lowered = F.lower(F.coalesce(text_col, F.lit("")))
-    found = [F.regexp_extract_all(lowered, F.lit(_run_pattern(*shape)), F.lit(1)) for shape in shapes]
-    return compute_once(posts, out, F.array_distinct(F.concat(F.array().cast("array<string>"), *found)))
+    runs = [F.array().cast("array<string>")]
+    for before, alike in groupby(sorted(shapes, key=lambda s: s[1]), key=lambda s: s[1]):
+        alike = list(alike)
+        pattern = _place_pattern(max(s[0] for s in alike), before, max(s[2] for s in alike), starts)
+        places = F.array_distinct(F.regexp_extract_all(lowered, F.lit(pattern), F.lit(1)))
+        runs.append(F.flatten(F.transform(places, lambda p: F.array(*(F.regexp_extract(p, _run_pattern(*s), 1) for s in alike)))))  # noqa: B023
+    return compute_once(posts, out, F.array_remove(F.array_distinct(F.concat(*runs)), ""))
 
 
 def keyword_words(keyword: Column) -> Column:
@@ -63,13 +83,23 @@ def keyword_shapes(lexicon: DataFrame) -> list[tuple[int, int, int]]:
     return sorted(tuple(row) for row in shapes.collect() if max(row["before"], row["after"]) <= MOST_SIGNS)
 
 
+def keyword_starts(lexicon: DataFrame) -> list[str] | None:
+    """The first characters of the keywords, as many as leave ``MOST_STARTS`` ways to begin, None if one is too many."""
+    for length in range(START_LENGTH, 0, -1):
+        found = lexicon.select(F.substring("keyword", 1, length)).distinct().limit(MOST_STARTS + 1).collect()
+        if len(found) <= MOST_STARTS:
+            return sorted(row[0] for row in found)
+    return None
+
+
 def found_rows(posts: DataFrame, lexicon: DataFrame, text_col: str = "full_text", key: str = "id") -> DataFrame:
     """key and the row of ``lexicon`` (kind, priority, category, keyword) for each keyword in a text.
 
-    Keywords without a word are an error.  The shapes of the keywords, few whatever their number,
-    go to the driver; a text is searched once for each shape.
+    Keywords without a word are an error.  The shapes of the keywords and the ways in which they
+    begin, few whatever the number of keywords, go to the driver.
     """
-    runs = word_runs(posts.select(key, text_col), text_col, keyword_shapes(lexicon)).select(key, F.explode("_runs").alias("keyword"))
+    runs = word_runs(posts.select(key, text_col), text_col, keyword_shapes(lexicon), keyword_starts(lexicon))
+    runs = runs.select(key, F.explode("_runs").alias("keyword"))
     return runs.join(lexicon, "keyword").select(key, "kind", "priority", "category", "keyword")
 
 
