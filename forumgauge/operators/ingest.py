@@ -104,10 +104,12 @@ def rows_of(rows: DataFrame, chosen: DataFrame, key: str, order: Mapping[str, in
     or not at all where Spark finds the chosen ones few enough to send them to the
     rows.  Rows that are equal in the order are told apart by the hash of all columns.
     """
-    known = chosen.select(F.col(key).alias("_key"), F.col(where).alias("_first"))
-    met = rows.withColumn(where, packed(order))
-    met = met.join(known, met[key].eqNullSafe(known["_key"]) & (met[where] == known["_first"]), "left_semi")
-    same = Window.partitionBy(key).orderBy(F.xxhash64(*rows.columns))
+    written = F.to_json(F.struct(key))  # a null key is a key of its own
+    known = chosen.select(written.alias("_known"), F.col(where).alias("_first"))
+    met = rows.withColumns({where: packed(order), "_key": written})
+    met = met.join(known, (met["_key"] == known["_known"]) & (met[where] == known["_first"]), "left_semi")
+    # A key has one order by now; as the join, by both, so that rows stay where it put them.
+    same = Window.partitionBy("_key", where).orderBy(F.xxhash64(*rows.columns))
     return met.withColumn("_nth", F.row_number().over(same)).filter("_nth = 1").select(*rows.columns)
 
 

@@ -70,14 +70,17 @@ def _bodyless(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.unionByName(items)
 
 
-def post_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def post_texts(spark: SparkSession, sf_dir: str, dealt: bool = True) -> DataFrame:
     """doc_id, id, title, selftext, subreddit: one row per post.
 
     The supplied documents may be one row group, which one task would read and label
     alone, so their texts are dealt out once, at every size.
+    Not ``dealt``, texts stay where they are read, for callers that move them anyway.
     """
     documents = _read(spark, sf_dir, "documents").select(
-        "doc_id", F.col("text").alias("selftext"), F.col("source").alias("subreddit")).repartition("doc_id")
+        "doc_id", F.col("text").alias("selftext"), F.col("source").alias("subreddit"))
+    if dealt:
+        documents = documents.repartition("doc_id")
     doc = F.col("doc_id")
     titles = F.split(F.lit("\n".join(TITLES)), "\n")
     return documents.unionByName(_bodyless(spark, sf_dir)).select(
@@ -122,9 +125,9 @@ def add_urls(posts: DataFrame, sf_dir: str) -> DataFrame:
     return posts.join(pages, "doc_id", "left").withColumn("url", url).drop("_page_url")
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def posts(spark: SparkSession, sf_dir: str, dealt: bool = True) -> DataFrame:
     """Whole raw posts, for the readers and writers of raw data."""
-    texts = post_texts(spark, sf_dir)
+    texts = post_texts(spark, sf_dir, dealt)
     return add_urls(add_measures(texts, sf_dir), sf_dir).select(*POST_COLUMNS)
 
 
@@ -137,7 +140,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     child = F.struct(F.struct("id", "title", "selftext", "score", "created_utc",
                               "num_comments", "url").alias("data"))
     number = F.col("id").cast("bigint")
-    pages = posts(spark, sf_dir).groupBy("subreddit", F.expr(f"bigint(id) % {PAGE_POSTS} div {PER_PAGE}").alias("page")).agg(
+    pages = posts(spark, sf_dir, dealt=False).groupBy("subreddit", F.expr(f"bigint(id) % {PAGE_POSTS} div {PER_PAGE}").alias("page")).agg(
         F.array_sort(F.collect_list(F.struct(number.alias("number"), child.alias("child")))).alias("found"))
     page = F.struct(F.struct(F.transform("found", lambda x: x["child"]).alias("children"),
                              F.concat(F.lit("t3_"), F.element_at("found", -1)["number"]).alias("after")).alias("data"))
@@ -149,10 +152,13 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A post has one vote more by the time that it is in ``top``.
     """
-    new = listing_pages(spark, sf_dir)
-    top = new.filter("page % 2 = 0").withColumn("payload", F.to_json(_voted(F.from_json("payload", LISTING))))
-    return new.withColumn("listing", F.lit("new")).unionByName(top.withColumn("listing", F.lit("top"))).select(
-        "payload", "subreddit", "listing", F.col("page").cast("int").alias("page"))
+    voted = F.to_json(_voted(F.from_json("payload", LISTING)))
+    new, top = (F.struct(payload.alias("payload"), F.lit(listing).alias("listing"))
+                for payload, listing in ((F.col("payload"), "new"), (voted, "top")))
+    # Both from one row, so that the pages are put together once.
+    listings = F.when(F.expr("page % 2 = 0"), F.array(new, top)).otherwise(F.array(new))
+    landed = listing_pages(spark, sf_dir).select("subreddit", F.col("page").cast("int").alias("page"), F.explode(listings).alias("landed"))
+    return landed.select("landed.payload", "subreddit", "landed.listing", "page")
 
 
 def _voted(page: Column) -> Column:

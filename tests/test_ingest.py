@@ -319,3 +319,44 @@ def test_pages_are_numbered_along_their_chain(spark):
         ("", "", 0), ("", "x", 1), ("u", "", 0), ("u", "", 0), ("lost", "p", None), ("lost", "q", None), ("ring", "k", None), ("ring", "l", None)]
     assert got == sorted(wanted, key=repr)
     assert ingest.number_pages(pages.limit(0)).count() == 0
+
+
+@pytest.fixture
+def supplied(spark, tmp_path):
+    """A folder of small supplied tables: 50 documents in one file, two of them with one key, and five pages."""
+    from forumgauge.sources import tables
+
+    rows = {
+        "documents": [(i % 49, f"text {i}", "en", f"src{i % 2}", 6) for i in range(50)],
+        "pages": [(i, f"http://a/{i}", "<p>") for i in range(5)],
+        "benchmark": [(1, "item")],
+        "events": [],
+    }
+    for name, found in rows.items():
+        spark.createDataFrame(found, tables.SCHEMAS[name]).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_pages_of_all_listings_are_put_together_once(spark, supplied):
+    from forumgauge.sources import tables
+
+    landed = tables.landed_pages(spark, supplied)
+    assert landed._jdf.queryExecution().executedPlan().toString().count("ReadSchema: struct<doc_id:bigint,text:string,") == 1
+    new = {(r.subreddit, r.page): r.payload for r in landed.where("listing = 'new'").collect()}
+    top = {(r.subreddit, r.page): r.payload for r in landed.where("listing = 'top'").collect()}
+    assert set(top) == {key for key in new if key[1] % 2 == 0} and len(new) == 12
+    assert all(top[key] == new[key].replace('"score":0', '"score":1') for key in top)
+
+
+def test_chosen_rows_stay_where_the_join_put_them(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 0, "y"), ("a", 0, "z"), (None, 3, "n"), (None, 4, "m"), ("b", 2, "w")],
+                                 "id string, page int, title string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        first = ingest.first_occurrence(rows, "id", {"page": 30})
+        above_join = first._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[0]
+        assert "Window" in above_join and "Exchange" not in above_join
+        found = {r.id: r.title for r in first.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert set(found) == {"a", "b", None} and found["a"] in "yz" and (found["b"], found[None]) == ("w", "n")
