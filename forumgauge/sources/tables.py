@@ -44,6 +44,8 @@ TITLES = (
 MONTH_SECONDS = 2_592_000
 PAGE_POSTS, ITEM_POSTS = 10 ** 12, 2 * 10 ** 12  # where their post numbers begin
 PER_PAGE = 10
+# Posts that one task labels, and the fewest tasks among which documents are dealt out.
+PER_TASK, FEWEST_TASKS = 5000, 12
 
 
 SCHEMAS = {
@@ -74,13 +76,15 @@ def post_texts(spark: SparkSession, sf_dir: str, dealt: bool = True) -> DataFram
     """doc_id, id, title, selftext, subreddit: one row per post.
 
     The supplied documents may be one row group, which one task would read and label
-    alone, so their texts are dealt out once, at every size.
+    alone, so their texts are dealt out once, at every size.  Labelling a text takes far longer than moving it,
+    so tasks are made by the number of posts: by bytes they would be so few and large that cores wait for the last.
     Not ``dealt``, texts stay where they are read, for callers that move them anyway.
     """
     documents = _read(spark, sf_dir, "documents").select(
         "doc_id", F.col("text").alias("selftext"), F.col("source").alias("subreddit"))
     if dealt:
-        documents = documents.repartition("doc_id")
+        tasks = max(FEWEST_TASKS, -(-documents.count() // PER_TASK))  # counted from the files' footers
+        documents = documents.repartition(tasks, "doc_id")
     doc = F.col("doc_id")
     titles = F.split(F.lit("\n".join(TITLES)), "\n")
     return documents.unionByName(_bodyless(spark, sf_dir)).select(

@@ -337,6 +337,16 @@ def supplied(spark, tmp_path):
     return str(tmp_path)
 
 
+def test_texts_are_dealt_out_by_their_number(spark, supplied, monkeypatch):
+    from forumgauge.sources import tables
+
+    monkeypatch.setattr(tables, "PER_TASK", 2)
+    texts = tables.post_texts(spark, supplied)
+    assert "hashpartitioning(doc_id" in (plan := texts._jdf.queryExecution().executedPlan().toString())
+    assert ", 25), REPARTITION_BY_NUM" in plan
+    assert texts.count() == 56
+
+
 def test_pages_of_all_listings_are_put_together_once(spark, supplied):
     from forumgauge.sources import tables
 

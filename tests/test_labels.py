@@ -183,3 +183,12 @@ def test_runs_have_the_shapes_of_keywords(spark):
     texts = [".net ++x+", "a.net", "a ++x+y", "a+++x++ .net.", "++x+"]
     got = table_tagging.tag_by_table(_posts(spark, texts), signs, ["skill"]).orderBy("id").collect()
     assert [r.mentioned_skills for r in got] == [["Net", "Plus"], [], [], ["Net", "Plus"], ["Plus"]]
+
+
+def test_few_keywords_are_looked_for_one_by_one(spark):
+    df = spark.createDataFrame([("Meta and metamask at google", ), ("none",), (None,)], "full_text string").repartition(2)
+    tagged = tagging.tag_companies(df)
+    assert "regexp" not in tagged._jdf.queryExecution().optimizedPlan().toString()
+    few = tagged.withColumn("found", found_keywords(F.lower("full_text"), ["meta", "metam", "x"])).collect()
+    assert sorted(map(sorted, (r.found for r in few))) == [[], [], ["meta", "metam"]]
+    assert sorted(len(r.mentioned_companies) for r in few) == [0, 0, 2]
