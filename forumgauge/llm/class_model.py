@@ -13,10 +13,13 @@ unit within the class, times that of the word within its unit, each smoothed: cl
 their overall share, words by half a count and one unknown word per unit.  The base
 score is the unigram score with half a count.
 
-Counts cover all training texts.  Units and their classes are tables that meet the unit
-bigrams in joins; the driver holds the class bigrams.  The most frequent words, ``LEXICON``
-at most, travel to the tasks with counts and classes; the others are looked up by joins, as
-no word among them is frequent.
+Counts cover all training texts.  Words that are units of their own, ``LEXICON`` at most, travel
+to the tasks with counts and classes, and rarer ones while there are few words in all; the others are
+looked up by joins, as no word among them is frequent.  The driver holds the class bigrams and a byte
+for each unit that travels.  The neighbours of every unit are dealt out once, packed in parts, and
+each pass reads them where they lie; the most frequent units are in all parts and their counts
+are added up.  Only where more than ``LEXICON`` words are units, these and their classes
+are tables that meet the unit bigrams in joins in every pass.
 
 Cases: a null or empty text is the end token alone; rows with one key, and those with a
 null key, are scored as one document, whose counts and scores are their sums; a null key is
@@ -40,7 +43,12 @@ from forumgauge.llm.tables import Work, map_batches
 CLASSES = 48
 PASSES = 5
 LEAST = 5
-LEXICON = 500_000
+LEXICON, RARER = 1 << 24, 500_000  # words that travel at most: units of their own, and all if rarer ones travel, too
+HEAVY = 4000  # a unit with more than this part of all tokens is in all parts
+PART = 1 << 19  # tokens of a part
+ROW = 1 << 16  # pairs of a row of a part, where no unit has more
+BATCH_BYTES = 1 << 24  # of rows of packed pairs that are handed to a task at once
+TOGETHER = 512  # units whose best classes are found at once
 CLASS_PRIOR = 5.0
 END, OTHER, WORDS, HASHES = 0, (1 << 17) - 1, 1 << 17, 1 << 32  # ids: end token, endings, unseen ones, known and all words
 HELD = 2_000_000
@@ -130,7 +138,7 @@ class Lexicon:
 class Units:
     """The table of units (unit, n, types), and of each word that has one (word, n, unit).
 
-    ``known`` are the words that travel to the tasks, at most ``LEXICON`` and the end token, ``rare`` all others;
+    ``known`` are the words that travel to the tasks, units of their own first, and the end token, ``rare`` all others;
     ``complete`` says that no rare word is a unit of its own.  Ids of units below ``HASHES``, endings and
     known words, are bounded in number; those of known words follow their frequency.
     """
@@ -143,7 +151,7 @@ class Units:
         cut, held = 1 << 10, 0
         for row in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
             held += row["count"]
-            if held > LEXICON:
+            if held > (LEXICON if row["level"] >= int(4 * np.log2(LEAST)) else min(LEXICON, RARER)):
                 break
             cut = row["level"]
         listed = (F.col("word") == END) | (level >= cut)
@@ -154,7 +162,8 @@ class Units:
         order = np.lexsort((word, -n))
         word, ending, n = word[order], ending[order], n[order]
         unit = np.where(word == END, END, np.where(n >= LEAST, WORDS + np.arange(len(word)), ending))
-        self.lexicon = Lexicon(word, unit=unit)
+        self.size = WORDS + len(word)  # ids of units that travel are below
+        self.lexicon = Lexicon(word, unit=unit.astype(np.int32))
         self.known = work.keep(spark.createDataFrame(pa.table({"word": word, "n": n, "unit": unit})), "known")
         own = F.col("n") >= LEAST
         self.rare = counts.where(~listed).select("word", "n", F.when(own, F.col("word")).otherwise(F.col("ending")).alias("unit"))
@@ -172,6 +181,102 @@ def _spread(*columns: str) -> Column:
     return -1 - F.pmod(F.xxhash64(*columns), F.lit(1 << 50))
 
 
+def _adjacent(batches: Iterator[pa.RecordBatch], lexicon: Lexicon, complete: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Adjacent units of texts, with an end before each; without ``complete``, words that the lexicon lacks are negative."""
+    for batch in batches:
+        for _, _, code, ending, _ in tokens(batch.column(0)):
+            at, known = lexicon.find(code)
+            line = np.append(END, np.where(known, lexicon.values["unit"][at], ending if complete else -code))
+            yield line[:-1], line[1:]
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of numbers below 2**32, byte by byte, so that like bytes lie side by side and compress."""
+    return np.stack(columns).astype("<u4").view(np.uint8).reshape(len(columns), -1, 4).transpose(0, 2, 1).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    """The columns unit, neighbour and times."""
+    planes = np.frombuffer(data, np.uint8).reshape(3, 4, -1).transpose(0, 2, 1)
+    return np.ascontiguousarray(planes).view("<u4")[:, :, 0].astype(np.int64)
+
+
+def _merged(unit: np.ndarray, other: np.ndarray, times: np.ndarray | None = None) -> np.ndarray:
+    """Distinct pairs in order, and how often each comes."""
+    code = unit << 32 | other
+    if times is None:
+        code.sort()
+    else:
+        order = np.argsort(code)
+        code, times = code[order], times[order]
+    starts = np.flatnonzero(np.append(True, code[1:] != code[:-1])[:len(code)])
+    n = np.diff(np.append(starts, len(code))) if times is None else np.add.reduceat(times, starts) if len(starts) else times
+    return np.stack([code[starts] >> 32, code[starts] & 0xFFFFFFFF, n])
+
+
+def neighbours(texts: DataFrame, units: Units, heavy: np.ndarray, work: Work) -> DataFrame:
+    """after, before: for the units of a part, packed, what comes after and before each and how often.
+
+    A unit is in one part, but for the heavy ones, whose neighbours are spread over all.  Pairs of a unit with itself
+    are in ``after`` alone.  For complete units.
+    """
+    parts = max(16, units.total // PART)
+    shared = texts.sparkSession.sparkContext.broadcast(units.lexicon)
+    dealt = T.StructType([*_longs("part", "side"), T.StructField("pairs", T.BinaryType())])
+    merged = T.StructType([T.StructField(name, T.BinaryType()) for name in ("after", "before")])
+
+    def rows(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+        pairs = _merged(u, v)
+        out = []
+        for side in (0, 1):
+            if side:
+                pairs = pairs[[1, 0, 2]][:, pairs[0] != pairs[1]]
+                pairs = pairs[:, np.argsort(pairs[0], kind="stable")]
+            spread = pairs[0] + np.where(np.isin(pairs[0], heavy), pairs[1], 0)
+            part = (words.mix(spread.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            bounds = np.searchsorted(part[order], np.arange(parts + 1))
+            ordered = pairs[:, order]
+            out += [(p, side, _packed(*ordered[:, a:b])) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if b > a]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(
+            (pa.int64(), pa.int64(), pa.binary()))], names=dealt.names)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending, held = [], 0
+        for pair in _adjacent(batches, shared.value, True):
+            pending.append(pair)
+            held += len(pair[0])
+            if held > HELD // 2:
+                yield rows(*(np.concatenate(x) for x in zip(*pending)))
+                pending, held = [], 0
+        if pending:
+            yield rows(*(np.concatenate(x) for x in zip(*pending)))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def cut(blocks: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            sides = [_merged(*np.concatenate([np.empty((3, 0), np.int64), *side], 1)) for side in blocks]
+            firsts = np.unique(np.sort(np.concatenate([side[0] for side in sides]))[::ROW])
+            bounds = [np.append(np.searchsorted(side[0], firsts), side.shape[1]) for side in sides]
+            for i in range(len(firsts)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([_packed(*side[:, at[i]:at[i + 1]])], pa.binary()) for side, at in zip(sides, bounds)],
+                    names=merged.names)
+
+        now, blocks = None, [[], []]
+        for batch in batches:
+            for part, side, pairs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if part != now and now is not None:
+                    yield from cut(blocks)
+                    blocks = [[], []]
+                now = part
+                blocks[side].append(_unpacked(pairs.as_buffer()))
+        if now is not None:
+            yield from cut(blocks)
+
+    table = map_batches(texts, deal, dealt).repartition(parts, "part").sortWithinPartitions("part")
+    return work.keep(map_batches(table, merge, merged), "neighbours")
+
+
 def unit_bigrams(texts: DataFrame, units: Units, work: Work) -> DataFrame:
     """u, v, n: adjacent units of all texts, with an end before each text.
 
@@ -183,16 +288,7 @@ def unit_bigrams(texts: DataFrame, units: Units, work: Work) -> DataFrame:
     schema = _longs("u", "v", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = shared.value
-
-        def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            for batch in batches:
-                for _, _, code, ending, _ in tokens(batch.column(0)):
-                    at, known = lexicon.find(code)
-                    line = np.append(END, np.where(known, lexicon.values["unit"][at], ending if complete else -code))
-                    yield line[:-1], line[1:]
-
-        yield from _tallied(pairs(), schema)
+        yield from _tallied(_adjacent(batches, shared.value, complete), schema)
 
     pairs = map_batches(texts, run, schema)
     if not complete:
@@ -306,6 +402,112 @@ def _moves(around: DataFrame, grid: np.ndarray) -> DataFrame:
     return map_batches(rows, run, schema)
 
 
+def _grid(table: DataFrame, of: np.ndarray, classes: int) -> np.ndarray:
+    """How often classes follow each other, from the units' neighbours and their classes."""
+    shared = table.sparkSession.sparkContext.broadcast(of)
+    schema = _longs("cu", "cv", "n")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, total = shared.value, np.zeros(classes * classes)
+        for batch in batches:
+            for after in batch.column(0):
+                u, v, n = _unpacked(after.as_buffer())
+                total += np.bincount(of[u].astype(np.int64) * classes + of[v], n, classes * classes)
+        met = np.flatnonzero(total)
+        yield _batch(schema, met // classes, met % classes, total[met])
+
+    grid = np.zeros((classes, classes))
+    for row in map_batches(table.select("after"), run, schema).groupBy("cu", "cv").agg(F.sum("n").alias("n")).collect():
+        grid[row["cu"], row["cv"]] = row["n"]
+    shared.unpersist()
+    return grid
+
+
+def _best(table: DataFrame, of: np.ndarray, chosen: np.ndarray, heavy: np.ndarray, grid: np.ndarray
+          ) -> tuple[np.ndarray, np.ndarray]:
+    """The chosen units that fit another class better, and that class."""
+    classes = len(grid)
+    shared = table.sparkSession.sparkContext.broadcast((of, chosen, grid))
+    schema = _longs("unit", "side", "c", "n")
+
+    def counted(at: np.ndarray, c: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+        return np.bincount(at * classes + c, n, size * classes).reshape(size, classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, chosen, grid = shared.value
+        total = np.zeros((3, len(heavy), classes))
+        for batch in batches:
+            for block in zip(*batch.columns):
+                sides = []
+                for side, data in enumerate(block):
+                    pairs = _unpacked(data.as_buffer())
+                    unit, other, n = pairs[:, chosen[pairs[0]]]
+                    sides.append((unit[unit != other], of[other[unit != other]], n[unit != other]))
+                    if side == 0:
+                        itself = (unit[unit == other], of[unit[unit == other]], n[unit == other])
+                sides.append(itself)
+                units = np.unique(np.concatenate([unit for unit, _, _ in sides]))
+                met = np.stack([counted(np.searchsorted(units, unit), c, n, len(units)) for unit, c, n in sides])
+                often = np.isin(units, heavy)
+                total[:, np.searchsorted(heavy, units[often])] += met[:, often]
+                units, met = units[~often], met[:, ~often]
+                for first in range(0, len(units), TOGETHER):
+                    some = slice(first, first + TOGETHER)
+                    own = of[units[some]].astype(np.int64)
+                    to = best_classes(grid, own, met[0, some], met[1, some], met[2, some].sum(1))
+                    other = np.flatnonzero(to != own)
+                    yield _batch(schema, units[some][other], np.full(len(other), -1), to[other], np.ones(len(other)))
+        side, at, c = np.nonzero(total)
+        yield _batch(schema, heavy[at], side, c, total[side, at, c])
+
+    found = map_batches(table, run, schema).groupBy("unit", "side", "c").agg(F.sum("n").alias("n")).toArrow()
+    shared.unpersist()
+    unit, side, c, n = (found[name].to_numpy() for name in schema.names)
+    light = side < 0
+    total = np.zeros((3, len(heavy), classes))
+    total[side[~light], np.searchsorted(heavy, unit[~light]), c[~light]] = n[~light]
+    met = np.flatnonzero(total.any((0, 2)))
+    to = best_classes(grid, of[heavy[met]].astype(np.int64), *total[:2, met], total[2, met].sum(1))
+    return np.append(unit[light], heavy[met]), np.append(c[light], to)
+
+
+def cluster_packed(texts: DataFrame, units: Units, classes: int, passes: int, work: Work) -> tuple[DataFrame, np.ndarray]:
+    """As ``cluster``, for complete units, whose neighbours stay in place; a pass moves a byte for each unit."""
+    spark = texts.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    heavy = np.sort(units.table.where(F.col("n") * HEAVY > units.total).select("unit").toArrow()["unit"].to_numpy())
+    table = neighbours(texts, units, heavy, work)
+    spark._jvm.System.gc()  # lets Spark delete the shuffles so far
+    of = np.arange(-WORDS, units.size - WORDS) % classes
+    start = _start(units, classes).where(F.col("unit") < WORDS).toArrow()
+    of[start["unit"].to_numpy()] = start["c"].to_numpy()
+    of = of.astype(np.min_scalar_type(classes))
+    most, stride, best = -np.inf, 2, None
+    for number in range(passes + 1):
+        grid = _grid(table, of, classes)
+        now = information(grid)
+        if now > most:
+            best, most = (of, grid), now
+        else:
+            stride *= 2  # too many units moved at once
+        if number == passes:
+            break
+        of, grid = best[0].copy(), best[1]
+        chosen = np.zeros(len(of), bool)
+        chosen[spark.range(len(of)).where(F.pmod(F.xxhash64("id", F.lit(number)), F.lit(stride)) == 0).toArrow()["id"].to_numpy()] = True
+        unit, to = _best(table, of, chosen, heavy, grid)
+        of[unit] = to
+    work.drop("neighbours")
+    shared, schema = spark.sparkContext.broadcast(best[0]), _longs("unit", "c")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            unit = batch.column(0).to_numpy()
+            yield _batch(schema, unit, shared.value[unit])
+
+    return work.keep(map_batches(units.table.select("unit"), run, schema), "assigned"), best[1]
+
+
 def cluster(bigrams: DataFrame, units: Units, classes: int, passes: int, work: Work) -> tuple[DataFrame, np.ndarray]:
     """The table unit, c, and how often classes follow each other.
 
@@ -357,7 +559,7 @@ class Model:
             "unit", "c", F.log10(F.col("weight") / F.col("in_class")).alias("share"),
             (F.col("n") + 0.5 * (F.col("types") + 1)).alias("spread")), "model")
         known = self._valued(units.known).toArrow()
-        self.known = Lexicon(known["word"].to_numpy(), n=known["n"].to_numpy(), c=known["c"].to_numpy(),
+        self.known = Lexicon(known["word"].to_numpy(), n=known["n"].to_numpy(), c=known["c"].to_numpy().astype(np.int16),
                              own=known["own"].to_numpy())
         ending = self.table.where((F.col("unit") > END) & (F.col("unit") < WORDS)).toArrow()
         at, other = ending["unit"].to_numpy(), ending["unit"].to_numpy() == OTHER
@@ -394,8 +596,11 @@ def train(documents: DataFrame, work: Work, text: str = "text", classes: int = C
     """The model, and word, n, class and probability for the words that tasks do not know."""
     texts = documents.select(text)
     units = Units(work.keep(word_counts(texts), "counts"), work)
-    bigrams = work.keep(unit_bigrams(texts, units, work), "bigrams")
-    assigned, grid = cluster(bigrams, units, classes, passes, work)
+    if units.complete:
+        assigned, grid = cluster_packed(texts, units, classes, passes, work)
+    else:
+        bigrams = work.keep(unit_bigrams(texts, units, work), "bigrams")
+        assigned, grid = cluster(bigrams, units, classes, passes, work)
     model = Model(units, assigned, grid, work)
     return model, model.rare
 

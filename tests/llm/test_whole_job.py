@@ -62,6 +62,28 @@ def test_classes_reach_the_bigrams_by_either_join(spark, long_rows, monkeypatch)
     assert not units.complete and rows and all((r.cu, r.cv) == (of[r.u], of[r.v]) for r in rows)
 
 
+def test_units_travel_beyond_the_words_that_may_be_rare(spark, long_rows, monkeypatch):
+    monkeypatch.setattr(class_model, "RARER", 100, raising=False)
+    documents, work = spark.createDataFrame(long_rows, SCHEMA).select("text"), Work(spark, "t")
+    units = class_model.Units(work.keep(class_model.word_counts(documents), "counts"), work)
+    assert units.complete and units.rare.count() > 0
+    assert units.rare.where(f"n >= {class_model.LEAST}").count() == 0
+
+
+def test_classes_from_packed_neighbours_equal_those_of_the_joins(spark, long_rows, monkeypatch):
+    for name, value in (("HEAVY", 60), ("PART", 4096), ("ROW", 256), ("HELD", 10_000)):
+        monkeypatch.setattr(class_model, name, value)
+    rows = long_rows + [(1000, "tea tea tea tea seldom1 seldom1", None, None, None), (1001, None, None, None, None)]
+    documents, work = spark.createDataFrame(rows, SCHEMA).select("text").repartition(3), Work(spark, "p")
+    units = class_model.Units(work.keep(class_model.word_counts(documents), "counts"), work)
+    assert units.table.where(f"n * 60 > {units.total}").count() > 1
+    packed, grid = class_model.cluster_packed(documents, units, 6, 3, work)
+    joined, expected = class_model.cluster(
+        work.keep(class_model.unit_bigrams(documents, units, work), "bigrams"), units, 6, 3, work)
+    assert grid.tolist() == expected.tolist() and grid.sum() == units.total
+    assert sorted(packed.collect()) == sorted(joined.select("unit", "c").collect())
+
+
 # --- pipeline -------------------------------------------------------------------------
 
 def shingles(text, size):
