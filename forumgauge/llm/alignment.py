@@ -7,13 +7,15 @@ spans that both tokenizers report.  (The piece library has them in its offset ma
 its present release refuses the immutable proto that had them.)  Tokens that end
 inside a character are not told apart by spans, so wherever a coarse group holds a
 multibyte character or a byte piece it is refined by the ends of the tokens' decoded
-bytes.  A text counts only if the decoded bytes of each tokenizer,
+bytes.  Where all characters are ASCII, a token's span and its bytes are the same, and the
+tokenizers, which spend much of their time on spans, are asked for ids alone.  A text counts only if the decoded bytes of each tokenizer,
 joined, are the space and the text.
 
 Words recur, so a text is first cut at spaces that follow other characters than
 blanks, where neither tokenizer can join what stands on both sides: A's pattern
 splits there, and no piece of B has a space inside.  Pieces of text met lately keep
-their alignment, and a text's is put together from those of its pieces.
+their alignment, and a text's is put together from those of its pieces; when a task holds too
+many, those met most often stay.
 
 All pairs of an A and a B token of one group are links.  A document holds each id
 pair with the number of its links; ids that repeat inside a group are multiplied,
@@ -38,6 +40,7 @@ import re
 from collections.abc import Iterator
 from hashlib import sha256
 from itertools import chain
+from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -57,7 +60,7 @@ COMMON = 100_000
 PART = 1 << 16
 CHUNK_BYTES = 1 << 19
 # What one task keeps of pieces of text met lately, and how many new pieces are encoded as one text.
-CACHED_PIECES, CACHED_CHARS, CACHED_PAIRS = 300_000, 1 << 24, 1 << 22
+CACHED_PIECES, CACHED_CHARS, CACHED_PAIRS = 500_000, 1 << 24, 1 << 22
 TOGETHER = 20_000
 # Links of a group that are listed before its ids are counted.
 NARROW = 64
@@ -97,13 +100,13 @@ class Store:
 
     ``sums`` has n_a, n_b, n_groups, n_links of each piece; the linked id pairs of piece
     i are those from ``bounds[i]`` to ``bounds[i + 1]`` of ``codes`` (a * ids of B + b),
-    with the number of links in ``times``.
+    with the number of links in ``times``.  ``met`` says how often texts had the piece.
     """
 
     def __init__(self):
         self.number: dict[str, int] = {}
         self.listing: list[str | None] = []
-        self.sums = np.zeros((0, 4), np.int64)
+        self.sums, self.met = np.zeros((0, 4), np.int64), np.empty(0, np.int64)
         self.bounds, self.codes, self.times = np.zeros(1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.chars = 0
 
@@ -113,13 +116,27 @@ class Store:
             self.number[piece] = len(self.number)
             self.chars += len(piece)
         self.listing += listing
-        self.sums = np.concatenate([self.sums, sums])
+        self.sums, self.met = np.concatenate([self.sums, sums]), np.append(self.met, np.zeros(len(pieces), np.int64))
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(held)])
         self.codes, self.times = np.concatenate([self.codes, codes]), np.concatenate([self.times, times])
 
     def full(self) -> bool:
         return len(self.listing) > CACHED_PIECES or self.chars > CACHED_CHARS or len(self.codes) > CACHED_PAIRS
 
+    def often(self) -> Store:
+        """A store of the pieces met most often, more than once, half as full at most; their counts are halved."""
+        pieces, held = list(self.number), np.diff(self.bounds)
+        chars = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        least, kept = 2, np.flatnonzero(self.met >= 2)
+        while 2 * len(kept) > CACHED_PIECES or 2 * chars[kept].sum() > CACHED_CHARS or 2 * held[kept].sum() > CACHED_PAIRS:
+            least *= 2
+            kept = kept[self.met[kept] >= least]
+        where, out = _runs(self.bounds[kept], held[kept]), Store()
+        out.add([pieces[i] for i in kept.tolist()], [self.listing[i] for i in kept.tolist()], self.sums[kept], held[kept],
+                self.codes[where], self.times[where])
+        out.met = self.met[kept] // 2
+        return out
+
 
 class Aligned(NamedTuple):
     """The alignment of one text."""
@@ -166,11 +183,12 @@ class Aligner:
         """The alignment of each text, put together from its pieces; None without tokens."""
         cut = [self.cut(text) if text else [] for text in texts]
         if self.store.full():
-            self.store = Store()
+            self.store = self.store.often()
         self._learn([p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.store.number])
         store = self.store
         sizes = np.array([len(pieces) for pieces in cut], np.int64)
         numbers = np.fromiter(map(store.number.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        store.met += np.bincount(numbers, minlength=len(store.met))
         ends = np.cumsum(sizes)
         # Pairs of all texts at once, put in order by text and code.
         held = np.diff(store.bounds)[numbers]
@@ -193,11 +211,12 @@ class Aligner:
     def _learn(self, pieces: list[str]) -> None:
         """Put pieces that the store lacks into it.
 
-        Those that the cut would find again are encoded as one text, the others alone.
+        Those that the cut would find again are encoded as one text, ASCII ones apart from the rest, the others alone.
         """
         together = [p for p in pieces if not p[-1].isspace() and "▁" not in p]
-        for first in range(0, len(together), TOGETHER):
-            self._encode(together[first:first + TOGETHER])
+        for alike in ([p for p in together if p.isascii()], [p for p in together if not p.isascii()]):
+            for first in range(0, len(alike), TOGETHER):
+                self._encode(alike[first:first + TOGETHER])
         for piece in pieces:
             if piece not in self.store.number:
                 self._encode([piece])
@@ -205,13 +224,21 @@ class Aligner:
     def _encode(self, pieces: list[str]) -> None:
         """Encode pieces as one text with a space before each, align it and store what belongs to each piece."""
         text = " " + " ".join(pieces)
-        a, b = self.a.encode(text, add_special_tokens=False), self.b.encode(text[1:], return_type="offset_mapping")
+        ascii_only = text.isascii()
+        if ascii_only:
+            a, = self.a.encode_batch_fast([text], add_special_tokens=False)
+            b = {"ids": self.b.encode(text[1:], out_type=int)}
+        else:
+            a, b = self.a.encode(text, add_special_tokens=False), self.b.encode(text[1:], return_type="offset_mapping")
         a_ids, b_ids = np.array(a.ids, np.int64), np.array(b["ids"], np.int64)
         raw = np.frombuffer(text.encode(), np.uint8)
         if not all(np.array_equal(_taken(v.tokens, ids), raw) for v, ids in ((self.a_words, a_ids), (self.b_words, b_ids))):
             return self._apart(pieces)
         a_ends, b_ends = np.cumsum(self.a_words.tokens.sizes[a_ids]), np.cumsum(self.b_words.tokens.sizes[b_ids])
-        cuts = self._cuts(text, raw, a, b, a_ends, b_ends, b_ids)
+        if ascii_only:
+            cuts = np.intersect1d(a_ends, b_ends)
+        else:
+            cuts = self._cuts(text, raw, a, b, a_ends, b_ends, b_ids)
         piece_ends = np.cumsum([len(p.encode()) + 1 for p in pieces])
         last_group = np.searchsorted(cuts, piece_ends)
         if not np.array_equal(cuts[np.minimum(last_group, len(cuts) - 1)], piece_ends):
@@ -236,7 +263,7 @@ class Aligner:
     def _cuts(self, text: str, raw: np.ndarray, a, b, a_ends: np.ndarray, b_ends: np.ndarray, b_ids: np.ndarray) -> np.ndarray:
         """Byte offsets at which a token of each tokenizer ends."""
         spans = np.fromiter(chain.from_iterable(a.offsets), np.int64, 2 * len(a_ends)).reshape(-1, 2)
-        b_spans = np.fromiter((end for _, end in b["offsets"]), np.int64, len(b_ids)) + 1  # the space before
+        b_spans = np.fromiter(map(itemgetter(1), b["offsets"]), np.int64, len(b_ids)) + 1  # the space before
         last = np.append(spans[1:, 0] >= spans[:-1, 1], True)  # no other token ends in the same character
         a_spans = spans[last, 1]
         wide = len(raw) > len(text)

@@ -291,5 +291,37 @@ def test_pieces_are_forgotten_and_learned_again(aligner, plain_tokens, monkeypat
     assert sum(found is None for found in got) < 290
 
 
+def test_frequent_pieces_stay_when_the_store_is_full(aligner, monkeypatch):
+    monkeypatch.setattr(alignment, "CACHED_PIECES", 50)
+    monkeypatch.setattr(aligner, "store", alignment.Store())
+    texts = ["tea and tea", "green tea and café", *("x" * i + "y tea and café" for i in range(120))]
+    for i in range(0, len(texts), 2):
+        list(aligner.align(texts[i:i + 2]))
+    assert len(aligner.store.listing) <= 60
+    learned, encode = [], aligner._encode
+    monkeypatch.setattr(aligner, "_encode", lambda pieces: (learned.extend(pieces), encode(pieces)))
+    aligner.store = aligner.store.often()
+    found, = aligner.align(["tea and café"])
+    assert learned == []
+    aligner.store = alignment.Store()
+    again, = aligner.align(["tea and café"])
+    assert found.listing == again.listing and found.codes.tolist() == again.codes.tolist()
+
+
+def test_ascii_pieces_are_cut_as_by_spans(aligner, monkeypatch):
+    text = "<|endoftext|> tabs\there, \x00 \x7f 1234567 https://a.b/c?d=e  two\n\nlines <s> </s> ~~~ don't"
+    monkeypatch.setattr(aligner, "store", alignment.Store())
+    plain, = aligner.align([text])
+    monkeypatch.setattr(aligner, "store", alignment.Store())
+    asked, encode = [], aligner.b.encode
+    monkeypatch.setattr(aligner.b, "encode", lambda *args, **how: (asked.append(how), encode(*args, **how))[1])
+    aligner._learn(["é", *aligner.cut(text)])
+    assert any("out_type" in how for how in asked) and any("return_type" in how for how in asked)
+    raw = " " + text
+    a, b = aligner.a.encode(raw, add_special_tokens=False), encode(text, return_type="offset_mapping")
+    cuts = {end for _, end in a.offsets} & {end + 1 for _, end in b["offsets"]}
+    assert plain.sums.tolist()[:3] == [len(a.ids), len(b["ids"]), len(cuts)]
+
+
 def test_alignment_of_nothing(spark, nothing):
     assert alignment.align(nothing, *PATHS, Work(spark, "test")).count() == 0
